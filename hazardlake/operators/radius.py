@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import haversine_km
 from ..functions.geo import EARTH_RADIUS_KM
 from ..schemas import NEAR_COLUMNS
-from ..session import NARROW_BROADCAST_ROWS, at_most
+from ..session import NARROW_BROADCAST_ROWS, fits_broadcast
 
 # Defaults and the largest row limit of a search.
 DEFAULT_RADIUS_KM = 500.0
@@ -155,7 +155,7 @@ def radius_join(points: DataFrame, hazards: DataFrame, radius_km: float | None =
         placed = placed.withColumn("_cell", F.explode(F.array(*cells) if cells else none))
 
     keys = ["_cell"]
-    if at_most(pts, broadcast_rows):
+    if fits_broadcast(pts, broadcast_rows):
         pts = F.broadcast(pts)
     else:
         pts, placed = _sliced(pts, placed, point_key, hazard_key, rows_per_slice)

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import geo_source, vertex_centroid
-from ..session import NARROW_BROADCAST_ROWS, at_most
+from ..session import fits_broadcast
 
 
 def unresolved_zones(events: DataFrame) -> DataFrame:
@@ -46,7 +46,7 @@ def zone_coverage(zones: DataFrame, cache: DataFrame, fetched: DataFrame) -> Dat
 
 def resolve_zones(zone_lists: DataFrame, lookup: DataFrame) -> DataFrame:
     """(zones) to (zones, zone_lat, zone_lon): the first zone in list order with a centroid."""
-    if at_most(lookup, NARROW_BROADCAST_ROWS):
+    if fits_broadcast(lookup):
         lookup = F.broadcast(lookup)
     centre = F.struct(F.col("lat").alias("zone_lat"), F.col("lon").alias("zone_lon"))
     rank = F.struct("pos", "lat", "lon")

@@ -526,7 +526,7 @@ def stream_silver(spark, sf):
     for part in (F.col("seq") < half, F.col("seq") >= half):
         bus.write_bus(I.event_texts(rows.filter(part)), "earthquakes", f"{root}/bus")
         layers.run_bronze(bus.read_bus(spark, f"{root}/bus"), f"{root}/bronze", f"{root}/c/bronze")
-        layers.run_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/c/silver", buckets=8)
+        layers.run_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/c/silver")
     return tables.read_table(spark, f"{root}/silver").select(
         "event_id", to_iso(F.col("updated_at")).alias("updated_at"), "url")
 

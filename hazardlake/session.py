@@ -5,13 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-# Broadcast is used only below these row counts, which are checked at run time.
-# Rows that are broadcast hold numbers and short keys only, so a row stays
-# below about 100 bytes (NARROW) or 4 KB (VECTOR).
+# A side is broadcast only when it is measured to stay below both bounds.
 NARROW_BROADCAST_ROWS = 500_000
-VECTOR_BROADCAST_ROWS = 10_000
+BROADCAST_BYTES = 64 << 20
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -54,6 +52,25 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """True when `df` has no more than `rows` rows (stops reading beyond that)."""
-    return df.select(*df.columns[:1]).limit(rows + 1).count() <= rows
+def _row_bytes(df: DataFrame) -> Column:
+    """Approximate bytes of a row; nested types other than flat arrays count as too big."""
+    width = F.lit(0).cast("long")
+    for field in df.schema.fields:
+        value, dtype = F.col(field.name), field.dataType
+        if isinstance(dtype, (T.StringType, T.BinaryType)):
+            width += F.coalesce(F.octet_length(value), F.lit(0)) + 16
+        elif isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.NumericType):
+            width += F.coalesce(F.size(value), F.lit(0)) * 8 + 16
+        elif isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
+            width += BROADCAST_BYTES
+        else:
+            width += 8
+    return width
+
+
+def fits_broadcast(df: DataFrame, rows: int = NARROW_BROADCAST_ROWS) -> bool:
+    """True when `df` is measured to be small enough to send to every executor."""
+    if rows <= 0:
+        return False
+    n, size = df.agg(F.count("*"), F.sum(_row_bytes(df))).first()
+    return n <= rows and (size or 0) <= BROADCAST_BYTES
