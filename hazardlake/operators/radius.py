@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import haversine_km
 from ..functions.geo import EARTH_RADIUS_KM
 from ..schemas import NEAR_COLUMNS
-from ..session import NARROW_BROADCAST_ROWS, fits_broadcast
+from ..session import BROADCAST_BYTES, NARROW_BROADCAST_ROWS, row_bytes
 
 # Defaults and the largest row limit of a search.
 DEFAULT_RADIUS_KM = 500.0
@@ -85,19 +85,48 @@ def grid_cell(lat: Column, lon: Column, level: Column) -> Column:
     return _cell_id(level, _row_index(lat, level), column)
 
 
-def _touched_cells(lat: Column, lon: Column, radius_km: Column, level: Column) -> Column:
-    """All grid cells a circle may touch, also across the date line and the poles."""
-    dlat = radius_km / KM_PER_DEGREE + SLACK
-    rows = F.sequence(_row_index(lat - dlat, level), _row_index(F.least(lat + dlat, F.lit(90.0)), level))
-    reach = F.sin(radius_km / EARTH_RADIUS_KM) / F.cos(F.radians(lat))
-    dlon = F.degrees(F.asin(F.least(reach, F.lit(1.0)))) + SLACK
-    west, east = _column_index(lon - dlon, level), _column_index(lon + dlon, level)
-    around = _columns(level)
-    everywhere = (F.abs(lat) + dlat >= 90) | (east - west + 1 >= around)
-    columns = F.when(everywhere, F.sequence(F.lit(0), around - 1)).otherwise(
-        F.transform(F.sequence(west, east), lambda c: F.pmod(c, around)))
-    return F.flatten(F.transform(
-        rows, lambda r: F.transform(columns, lambda c: _cell_id(level, r, c))))
+def _with_reach(points: DataFrame, radius: Column) -> DataFrame:
+    """Points with their grid level and the rows and columns of cells their circle may
+    touch, also across the date line and the poles."""
+    lat, lon, level = F.col("_qlat"), F.col("_qlon"), F.col("_level")
+    around, dlat, dlon = F.col("_around"), F.col("_dlat"), F.col("_dlon")
+    reach = F.sin(F.col("_r") / EARTH_RADIUS_KM) / F.cos(F.radians(lat))
+    return (
+        points.withColumns({
+            "_r": radius, "_qlat": F.col("lat"), "_qlon": F.col("lon"), "_level": _level(radius)})
+        .drop("lat", "lon", "radius_km")
+        .withColumns({
+            "_around": _columns(level), "_dlat": F.col("_r") / KM_PER_DEGREE + SLACK,
+            "_dlon": F.degrees(F.asin(F.least(reach, F.lit(1.0)))) + SLACK})
+        .withColumns({
+            "_south": _row_index(lat - dlat, level),
+            "_north": _row_index(F.least(lat + dlat, F.lit(90.0)), level),
+            "_west": _column_index(lon - dlon, level), "_east": _column_index(lon + dlon, level)})
+        .withColumn("_ring", (F.abs(lat) + dlat >= 90)
+                    | (F.col("_east") - F.col("_west") + 1 >= around))
+        .withColumns({
+            "_west": F.when(F.col("_ring"), F.lit(0)).otherwise(F.col("_west")),
+            "_east": F.when(F.col("_ring"), around - 1).otherwise(F.col("_east"))})
+        .drop("_ring", "_dlat", "_dlon"))
+
+
+def _with_cells(reaching: DataFrame) -> DataFrame:
+    """One row per point and touched cell."""
+    return (
+        reaching.withColumn("_row", F.explode(F.sequence("_south", "_north")))
+        .withColumn("_column", F.explode(F.sequence("_west", "_east")))
+        .withColumn("_cell", _cell_id(
+            F.col("_level"), F.col("_row"), F.pmod("_column", "_around")))
+        .drop("_level", "_around", "_south", "_north", "_west", "_east", "_row", "_column"))
+
+
+def _survey(reaching: DataFrame, rows: int) -> tuple[list[int], bool]:
+    """The grid levels in use (eleven at most), and whether the touched cells fit a broadcast."""
+    cells = ((F.col("_north") - F.col("_south") + 1)
+             * (F.col("_east") - F.col("_west") + 1)).cast("long")
+    levels, n, size = reaching.agg(
+        F.collect_set("_level"), F.sum(cells), F.sum(cells * row_bytes(reaching))).first()
+    return sorted(levels), (n or 0) <= rows and (size or 0) <= BROADCAST_BYTES
 
 
 def _slices(counts: DataFrame, rows_per_slice: int, name: str) -> DataFrame:
@@ -140,12 +169,9 @@ def radius_join(points: DataFrame, hazards: DataFrame, radius_km: float | None =
     grid cell, crowded cells being cut into slices.
     """
     radius = F.lit(float(radius_km)) if radius_km is not None else F.col("radius_km")
-    pts = points.withColumns({
-        "_r": radius, "_qlat": F.col("lat"), "_qlon": F.col("lon"), "_level": _level(radius),
-    }).drop("lat", "lon", "radius_km")
-    pts = pts.withColumn("_cell", F.explode(
-        _touched_cells(F.col("_qlat"), F.col("_qlon"), F.col("_r"), F.col("_level"))))
-    levels = sorted(r[0] for r in pts.select("_level").distinct().collect())
+    reaching = _with_reach(points, radius)
+    levels, few = _survey(reaching, broadcast_rows)
+    pts = _with_cells(reaching)
     placed = hazards.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
     cells = [grid_cell(F.col("lat"), F.col("lon"), F.lit(level)) for level in levels]
     if len(cells) == 1:
@@ -155,7 +181,7 @@ def radius_join(points: DataFrame, hazards: DataFrame, radius_km: float | None =
         placed = placed.withColumn("_cell", F.explode(F.array(*cells) if cells else none))
 
     keys = ["_cell"]
-    if fits_broadcast(pts, broadcast_rows):
+    if few:
         pts = F.broadcast(pts)
     else:
         pts, placed = _sliced(pts, placed, point_key, hazard_key, rows_per_slice)
@@ -167,7 +193,7 @@ def radius_join(points: DataFrame, hazards: DataFrame, radius_km: float | None =
         .withColumn("distance_km", distance)
         .filter(F.col("distance_km") <= F.col("_r"))
         .withColumnRenamed("_r", "radius_km")
-        .drop("_qlat", "_qlon", "_level", "_cell", "_pslot", "_hslot"))
+        .drop("_qlat", "_qlon", "_cell", "_pslot", "_hslot"))
 
 
 def nearest_per_point(pairs: DataFrame, point_key: str = "qid",

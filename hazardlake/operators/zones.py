@@ -1,10 +1,15 @@
 """Zone lookups: which zones matter, and filling positions from zone centroids."""
 
-from pyspark.sql import DataFrame, functions as F
+import json
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import geo_source, vertex_centroid
 from ..session import fits_broadcast
 
+# Largest lookup that is held as a constant inside the plan.
+CONSTANT_ROWS = 50_000
+
 
 def unresolved_zones(events: DataFrame) -> DataFrame:
     """Sorted distinct zones named by events without a latitude."""
@@ -44,34 +49,61 @@ def zone_coverage(zones: DataFrame, cache: DataFrame, fetched: DataFrame) -> Dat
         count_if(todo & ~ok).alias("failed"))
 
 
+def _first_hit(zones: Column, lookup: DataFrame) -> Column:
+    """The first zone with a centroid, as struct(lat, lon), from a lookup held as a constant.
+
+    Map access searches linearly, so the entries are dealt into as many small maps as
+    there are zones, addressed by hash.
+    """
+    def slot(zone: Column) -> Column:
+        return F.pmod(F.xxhash64(zone), F.lit(size)).cast("int")
+
+    size = max(1, lookup.count())
+    maps: list[dict] = [{} for _ in range(size)]
+    for row in lookup.select("zone_url", "lat", "lon", slot(F.col("zone_url")).alias("i")).collect():
+        maps[row.i][row.zone_url] = {"lat": row.lat, "lon": row.lon}
+    constant = F.from_json(
+        F.lit(json.dumps(maps)), "array<map<string,struct<lat:double,lon:double>>>")
+    hits = F.transform(zones, lambda z: F.try_element_at(F.get(constant, slot(z)), z))
+    return F.get(F.filter(hits, lambda hit: hit.isNotNull()), F.lit(0))
+
+
 def resolve_zones(zone_lists: DataFrame, lookup: DataFrame) -> DataFrame:
     """(zones) to (zones, zone_lat, zone_lon): the first zone in list order with a centroid."""
-    if fits_broadcast(lookup):
-        lookup = F.broadcast(lookup)
     centre = F.struct(F.col("lat").alias("zone_lat"), F.col("lon").alias("zone_lon"))
-    rank = F.struct("pos", "lat", "lon")
     return (
         zone_lists.select("zones", F.posexplode("zones").alias("pos", "zone_url"))
         .join(lookup, "zone_url")
-        .groupBy("zones").agg(F.min_by(centre, rank).alias("c"))
+        .groupBy("zones").agg(F.min_by(centre, "pos").alias("c"))
         .select("zones", "c.*"))
 
 
-def zone_fill(events: DataFrame, lookup: DataFrame) -> DataFrame:
+def _fill(rows: DataFrame, lat: Column, lon: Column) -> DataFrame:
+    return rows.withColumns({
+        "geo_source": geo_source(F.col("lat"), lat),
+        "lat": F.coalesce("lat", lat), "lon": F.coalesce("lon", lon)})
+
+
+def zone_fill(events: DataFrame, lookup: DataFrame,
+              constant_rows: int = CONSTANT_ROWS) -> DataFrame:
     """Fill missing positions from zone centroids and say where each position is from.
 
-    Only rows that lack a position and name zones meet the lookup, and each distinct
-    zone list is resolved once; all other rows pass through without a shuffle.
+    A lookup measured to be small becomes a constant: one pass, no join, no shuffle.
+    With a large one, only rows that lack a position and name zones are joined, and
+    each distinct zone list is resolved once.
     """
+    usable = lookup.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
     open_row = (F.col("lat").isNull() | F.col("lon").isNull()) & (
         F.coalesce(F.size("zones"), F.lit(0)) > 0)
-    passed = events.filter(~open_row).withColumn(
-        "geo_source", geo_source(F.col("lat"), F.lit(None).cast("double")))
+    none = F.lit(None).cast("double")
+    if fits_broadcast(usable, constant_rows):
+        hit = F.when(open_row, _first_hit(F.col("zones"), usable))
+        # A generator is evaluated once; a plain column would be copied into later filters.
+        found = events.select("*", F.inline(F.array(hit)).alias("_zlat", "_zlon"))
+        return _fill(found, F.col("_zlat"), F.col("_zlon")).drop("_zlat", "_zlon")
+
     todo = events.filter(open_row)
-    resolved = resolve_zones(todo.select("zones").distinct(), lookup)
-    filled = todo.join(resolved, "zones", "left").withColumns({
-        "geo_source": geo_source(F.col("lat"), F.col("zone_lat")),
-        "lat": F.coalesce("lat", "zone_lat"),
-        "lon": F.coalesce("lon", "zone_lon"),
-    }).drop("zone_lat", "zone_lon")
-    return passed.unionByName(filled)
+    resolved = resolve_zones(todo.select("zones").distinct(), usable)
+    filled = _fill(todo.join(resolved, "zones", "left"), F.col("zone_lat"), F.col("zone_lon"))
+    return _fill(events.filter(~open_row), none, none).unionByName(
+        filled.drop("zone_lat", "zone_lon"))

@@ -157,6 +157,13 @@ def zone_fill_versions(spark, sf):
     return filled.select("seq", "geo_source", "lat", "lon")
 
 
+@query
+def zone_fill_joined(spark, sf):
+    """The same with the lookup joined, as a lookup too large for a constant is."""
+    filled = zones.zone_fill(I.hazard_versions(spark, sf), I.zone_lookup(spark, sf), 0)
+    return filled.select("seq", "geo_source", "lat", "lon")
+
+
 @query
 def gold_hazards(spark, sf):
     return _hazards(spark, sf).withColumns({
@@ -481,7 +488,7 @@ def geo_semantic_topk_own_k(spark, sf):
 @query
 def embed_events(spark, sf):
     """Hashed, weighted, unit-length text vectors of every document."""
-    docs = I.table(spark, sf, "documents").select(
+    docs = I.spread_table(spark, sf, "documents").select(
         F.col("doc_id").alias("event_id"), F.col("source").alias("title"),
         F.col("text").alias("description"))
     vec = F.col("vec")

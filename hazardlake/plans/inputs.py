@@ -15,6 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for work that is heavy per row: one that comes as fewer splits than
+    there are cores is dealt out over them, any larger one is read as it is."""
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _text(*parts: Column | str | int) -> Column:
     return F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts])
 
@@ -32,7 +40,7 @@ def hazard_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (1 + n % 4).cast("double"))
     placed = n % 3 != 0
     second = F.date_trunc("second", ts)
-    return table(spark, sf_dir, "events").select(
+    return spread_table(spark, sf_dir, "events").select(
         _text(F.when(quake, "us").otherwise("urn"), F.col("user_id")).alias("event_id"),
         F.when(quake, "usgs").otherwise("nws").alias("source"),
         F.when(n % 97 == 0, "test message").otherwise(F.col("event_type")).alias("hazard_type"),
@@ -113,7 +121,7 @@ def geometries(spark: SparkSession, sf_dir: str) -> DataFrame:
     multi = _text('{"type":"MultiPolygon","coordinates":[[[[', x, ", ", y, ", 7],[", x + 4, ",",
                   y + 2, ",7]]],[[[-", x, ",-", y, "]]]]}")
     point = _text('{"type":"Point","coordinates":[', x, ".25,", y, ".5]}")
-    return table(spark, sf_dir, "events").select(
+    return spread_table(spark, sf_dir, "events").select(
         "event_id", F.when(n % 4 == 0, polygon).when(n % 4 == 1, multi)
         .when(n % 4 == 2, point).alias("geometry"))
 
@@ -134,7 +142,7 @@ def quake_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         _quoted("type", F.when(n % 7 == 0, None).when(n % 7 == 1, "").otherwise("Quarry Blast")),
         ",", _quoted("title", F.when(n % 11 != 0, _text("M at ", user))), ",",
         _quoted("place", _text("place ", user % 20)), ',"url":"https://example.org/', n, '"}}')
-    return _snapshots(table(spark, sf_dir, "events"), feature)
+    return _snapshots(spread_table(spark, sf_dir, "events"), feature)
 
 
 def alert_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,7 +168,7 @@ def alert_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         _quoted("sent", at), ",", _quoted("web", F.when(n % 8 == 0, F.lit("http://w.example"))),
         ',"affectedZones":', F.when(n % 10 == 0, "null").otherwise(_text('["z', n % 60, '"]')),
         "}}")
-    return _snapshots(table(spark, sf_dir, "events"), feature)
+    return _snapshots(spread_table(spark, sf_dir, "events"), feature)
 
 
 def _snapshots(events: DataFrame, feature: Column) -> DataFrame:
@@ -175,7 +183,7 @@ def _snapshots(events: DataFrame, feature: Column) -> DataFrame:
 def search_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every supplier as a place to search around, with its own radius and limit."""
     key = F.col("s_suppkey")
-    return table(spark, sf_dir, "supplier").select(
+    return spread_table(spark, sf_dir, "supplier").select(
         key.alias("qid"), _grid(key, 7919, 18000).alias("lat"), _grid(key, 104729, 36000).alias("lon"),
         (100 * (1 + key % 40)).cast("double").alias("radius_km"),
         (1 + key % 60).cast("int").alias("limit"))
@@ -193,5 +201,5 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unit_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..functions import l2_normalize
-    return table(spark, sf_dir, "embeddings").select(
+    return spread_table(spark, sf_dir, "embeddings").select(
         "vec_id", "label", l2_normalize(F.col("embedding")).alias("vec"))

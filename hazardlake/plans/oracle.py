@@ -237,6 +237,8 @@ FROM silver ORDER BY event_id LIMIT 5""",
     "zone_fill_versions": f"""WITH {HZ}, {Z},
 part AS (SELECT * REPLACE (CASE WHEN seq % 5 <> 0 THEN lon END AS lon) FROM hz),
 filled AS ({_filled('part')})
+SELECT seq, geo_source, lat, lon FROM filled""",
+    "zone_fill_joined": f"""WITH {HZ}, {Z}, filled AS ({_filled('hz')})
 SELECT seq, geo_source, lat, lon FROM filled""",
     "gold_hazards": f"""WITH {HAZARDS}
 SELECT event_id, source, hazard_type, round(severity, 6) AS severity, severity_level, lat, lon,

@@ -52,7 +52,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def _row_bytes(df: DataFrame) -> Column:
+def row_bytes(df: DataFrame) -> Column:
     """Approximate bytes of a row; nested types other than flat arrays count as too big."""
     width = F.lit(0).cast("long")
     for field in df.schema.fields:
@@ -72,5 +72,5 @@ def fits_broadcast(df: DataFrame, rows: int = NARROW_BROADCAST_ROWS) -> bool:
     """True when `df` is measured to be small enough to send to every executor."""
     if rows <= 0:
         return False
-    n, size = df.agg(F.count("*"), F.sum(_row_bytes(df))).first()
+    n, size = df.agg(F.count("*"), F.sum(row_bytes(df))).first()
     return n <= rows and (size or 0) <= BROADCAST_BYTES
