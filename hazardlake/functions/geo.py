@@ -2,6 +2,8 @@
 
 from pyspark.sql import Column, functions as F
 
+from .numbers import round_exact
+
 # Fixed value: mean Earth radius in km.
 EARTH_RADIUS_KM = 6371.0
 # A GeoJSON position inside coordinate text: "[lon, lat" with optional further numbers.
@@ -41,7 +43,8 @@ def vertex_centroid(geometry_json: Column) -> Column:
     def mean(group: int) -> Column:
         values = F.regexp_extract_all(coordinates, F.lit(POSITION), F.lit(group))
         total = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v.try_cast("double"))
-        return F.round(F.try_divide(total, F.size(values)), 4)
+        bound = F.array(F.try_divide(total, F.size(values)))
+        return F.transform(bound, lambda x: round_exact(x, 4))[0]
 
     return F.struct(mean(2).alias("lat"), mean(1).alias("lon"))
 

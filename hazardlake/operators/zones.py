@@ -5,10 +5,11 @@ import json
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import geo_source, vertex_centroid
-from ..session import fits_broadcast
+from ..session import measure
 
 # Largest lookup that is held as a constant inside the plan.
 CONSTANT_ROWS = 50_000
+CONSTANT_BYTES = 8 << 20
 
 
 def unresolved_zones(events: DataFrame) -> DataFrame:
@@ -49,16 +50,15 @@ def zone_coverage(zones: DataFrame, cache: DataFrame, fetched: DataFrame) -> Dat
         count_if(todo & ~ok).alias("failed"))
 
 
-def _first_hit(zones: Column, lookup: DataFrame) -> Column:
+def _first_hit(zones: Column, lookup: DataFrame, size: int) -> Column:
     """The first zone with a centroid, as struct(lat, lon), from a lookup held as a constant.
 
-    Map access searches linearly, so the entries are dealt into as many small maps as
-    there are zones, addressed by hash.
+    Map access searches linearly, so the entries are dealt into `size` small maps,
+    addressed by hash.
     """
     def slot(zone: Column) -> Column:
         return F.pmod(F.xxhash64(zone), F.lit(size)).cast("int")
 
-    size = max(1, lookup.count())
     maps: list[dict] = [{} for _ in range(size)]
     for row in lookup.select("zone_url", "lat", "lon", slot(F.col("zone_url")).alias("i")).collect():
         maps[row.i][row.zone_url] = {"lat": row.lat, "lon": row.lon}
@@ -96,8 +96,9 @@ def zone_fill(events: DataFrame, lookup: DataFrame,
     open_row = (F.col("lat").isNull() | F.col("lon").isNull()) & (
         F.coalesce(F.size("zones"), F.lit(0)) > 0)
     none = F.lit(None).cast("double")
-    if fits_broadcast(usable, constant_rows):
-        hit = F.when(open_row, _first_hit(F.col("zones"), usable))
+    rows, size = measure(usable) if constant_rows else (1, 0)
+    if rows <= constant_rows and size <= CONSTANT_BYTES:
+        hit = F.when(open_row, _first_hit(F.col("zones"), usable, max(1, rows)))
         # A generator is evaluated once; a plain column would be copied into later filters.
         found = events.select("*", F.inline(F.array(hit)).alias("_zlat", "_zlon"))
         return _fill(found, F.col("_zlat"), F.col("_zlon")).drop("_zlat", "_zlon")

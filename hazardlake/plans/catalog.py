@@ -211,7 +211,7 @@ def gold_table_roundtrip(spark, sf):
     hazards = _hazards(spark, sf)
     tables.overwrite_table(hazards.drop("geo_source"), path)
     cell = radius.grid_cell(F.col("lat"), F.col("lon"), F.lit(4))
-    tables.overwrite_table(hazards, path, cluster_by=[cell])
+    tables.overwrite_table(hazards, path, cluster_by=[cell, F.col("event_id")])
     return tables.read_table(spark, path).select("event_id", "geo_source", "lat", "lon")
 
 

@@ -68,9 +68,15 @@ def row_bytes(df: DataFrame) -> Column:
     return width
 
 
+def measure(df: DataFrame) -> tuple[int, int]:
+    """Rows and approximate bytes of `df`, in one narrow pass."""
+    n, size = df.agg(F.count("*"), F.sum(row_bytes(df))).first()
+    return n, size or 0
+
+
 def fits_broadcast(df: DataFrame, rows: int = NARROW_BROADCAST_ROWS) -> bool:
     """True when `df` is measured to be small enough to send to every executor."""
     if rows <= 0:
         return False
-    n, size = df.agg(F.count("*"), F.sum(row_bytes(df))).first()
-    return n <= rows and (size or 0) <= BROADCAST_BYTES
+    n, size = measure(df)
+    return n <= rows and size <= BROADCAST_BYTES

@@ -22,3 +22,9 @@ def haversine(lat1, lon1, lat2, lon2):
     h = (math.sin((lat2 - lat1) / 2) ** 2
          + math.cos(lat1) * math.cos(lat2) * math.sin((lon2 - lon1) / 2) ** 2)
     return 2 * 6371.0 * math.asin(min(1.0, math.sqrt(h)))
+
+
+def plan_of(df):
+    """The physical plan in full."""
+    jvm = df.sparkSession._jvm
+    return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")

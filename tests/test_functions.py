@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -91,3 +92,20 @@ def test_prompt_block(spark):
         F.lit(1), F.lit("flood"), F.lit("minor"), F.lit(None), F.lit(3.0), c))
     assert got == ["[1] flood (severity: minor) — None, 3.0 km away\n" + "x" * 400,
                    "[1] flood (severity: minor) — None, 3.0 km away\n"]
+
+
+def test_rounding_goes_by_the_binary_value(spark):
+    rng = random.Random(9)
+    values = [0.00015, -0.00015, 0.03125, 0.09375, 2.67505, 1.00005, -1.00005, 0.0, -98.35, 179.99995,
+              *[(2 * rng.randrange(-1800000, 1800000) + 1) / 20000 for _ in range(2000)],
+              *[rng.uniform(-180, 180) for _ in range(2000)]]
+    assert column(spark, values, "double", lambda c: H.round_exact(c, 4)) == [
+        round(v, 4) for v in values]
+    assert column(spark, [0.25, 0.35, 12.05, 999.95], "double", lambda c: H.round_exact(c, 1)) == [
+        round(v, 1) for v in (0.25, 0.35, 12.05, 999.95)]
+
+
+def test_centroid_rounding(spark):
+    shape = '{"type":"LineString","coordinates":[[0.0001,5.0001],[0.0002,5.0002]]}'
+    got = column(spark, [shape], "string", H.vertex_centroid)[0]
+    assert (got.lat, got.lon) == (round((5.0001 + 5.0002) / 2, 4), round((0.0001 + 0.0002) / 2, 4))

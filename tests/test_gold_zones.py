@@ -4,10 +4,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from hazardlake.operators import gold, zones
+from hazardlake.operators import gold, radius, reports, zones
 from hazardlake.schemas import HAZARD_COLUMNS, SILVER
-from hazardlake.sources import lookup
-from helpers import rows
+from hazardlake.sources import lookup, tables
+from helpers import plan_of, rows
 
 SHAPE = "event_id string, lat double, lon double, zones array<string>"
 
@@ -118,3 +118,30 @@ def test_lookup_file_and_table(spark, root):
     lookup.save_zone_lookup(spark, table, batch)
     lookup.save_zone_lookup(spark, table, batch.withColumn("lat", F.lit(9.0)))
     assert rows(lookup.read_zone_lookup(spark, table)) == [("A", 1.0, 2.0), ("B", 9.0, None)]
+
+
+def test_reports(spark, centres):
+    silver = _silver(spark)
+    enriched = gold.enrich(silver, centres)
+    parts = reports.gold_report(silver, gold.gold_hazards(enriched), gold.gold_summary(enriched))
+    assert tuple(parts["coverage"].first()) == (4, 3)
+    assert parts["top_groups"].count() == 4 and parts["top_hazards"].count() == 3
+    assert reports.silver_report(silver)["total"].first().total == 4
+    assert rows(reports.silver_report(silver)["types"], "source", "event_count") == [
+        ("nws", 2), ("usgs", 2)]
+    bronze = spark.createDataFrame([("t", "k", 1)], "topic string, event_key string, kafka_timestamp int")
+    assert rows(reports.bronze_report(bronze)["topics"]) == [("t", 1)]
+
+
+def test_stored_gold_is_read_by_box_and_column(spark, centres, root):
+    path = os.path.join(root, "gold")
+    hazards = gold.gold_hazards(gold.enrich(_silver(spark), centres))
+    tables.overwrite_table(hazards, path, cluster_by=[F.col("lat"), F.col("event_id")])
+    stored = tables.read_table(spark, path)
+    near = radius.hazards_near(stored, 1.0, 2.0, 300.0)
+    assert [r.event_id for r in near.collect()] == ["a", "b"]
+    plan = plan_of(near)
+    assert "GreaterThanOrEqual(lat" in plan and "LessThanOrEqual(lon" in plan
+    assert "TakeOrderedAndProject" in plan
+    counted = plan_of(gold.geo_source_counts(stored))
+    assert "ReadSchema: struct<geo_source:string>" in counted
