@@ -157,3 +157,18 @@ def test_unfinished_write_is_not_seen(spark, root):
     assert rows(tables.read_table(spark, path), "event_id") == [("a",)]
     tables.overwrite_table(_batch(spark, ("b", 1, 1, "new")), path)
     assert rows(tables.read_table(spark, path), "event_id") == [("b",)]
+
+
+def test_old_versions_are_deleted_on_demand(spark, root):
+    path = os.path.join(root, "t")
+    for i in range(4):
+        tables.upsert_batch(_batch(spark, (f"k{i}", 1, 0, "x")), i, path, max_layers=3)
+    before = rows(tables.read_table(spark, path))
+    _batch(spark, ("busy", 1, 1, "x")).write.parquet(f"{path}/data/layer=99-writing")
+    tables.expire_versions(spark, path, keep=1)
+    assert sorted(os.listdir(f"{path}/data")) == sorted(
+        [*tables.newest_commit(spark, path).layers, "layer=99-writing"])
+    assert len([f for f in os.listdir(f"{path}/_commits") if f.endswith(".json")]) == 1
+    assert rows(tables.read_table(spark, path)) == before
+    assert tables.upsert_batch(_batch(spark, ("k9", 1, 0, "x")), 4, path)
+    assert tables.read_table(spark, path).count() == 5
