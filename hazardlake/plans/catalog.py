@@ -567,9 +567,9 @@ def stream_first_seen(spark, sf):
 
 
 @query
-def pipeline_summary(spark, sf):
+def feeds_to_summary(spark, sf):
     """Both feeds from landed files to the rollup."""
-    root = scratch_dir(spark, "pipeline")
+    root = scratch_dir(spark, "feeds")
     I.quake_snapshots(spark, sf).write.partitionBy("poll").text(f"{root}/landing/usgs")
     I.alert_snapshots(spark, sf).write.partitionBy("poll").text(f"{root}/landing/nws")
     landing = {s: f"{root}/landing/{s}/poll=*" for s in ("usgs", "nws")}

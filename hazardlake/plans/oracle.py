@@ -388,7 +388,7 @@ SELECT event_id, {_iso('updated_at')}, url FROM merged""",
     "stream_first_seen": f"""WITH {VERSIONS}
 SELECT id, poll, position, updated FROM (SELECT *, row_number() OVER (
   PARTITION BY id ORDER BY poll, position) AS rn FROM versions) WHERE rn = 1""",
-    "pipeline_summary": f"""WITH {QUAKES}, {ALERTS},
+    "feeds_to_summary": f"""WITH {QUAKES}, {ALERTS},
 newest AS (
   SELECT source, hazard_type, severity, make_timestamp(t0 * 1000) AS occurred_at
   FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY t1 DESC) AS rn FROM quakes)
