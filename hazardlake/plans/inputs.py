@@ -5,7 +5,7 @@ Every row of a source table yields one row here; nothing is sampled.
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions import to_iso
+from ..functions import l2_normalize, to_iso
 from ..schemas import EVENT
 
 FEATURES_PER_SNAPSHOT = 1000
@@ -200,6 +200,5 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unit_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..functions import l2_normalize
     return spread_table(spark, sf_dir, "embeddings").select(
         "vec_id", "label", l2_normalize(F.col("embedding")).alias("vec"))
