@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from hazardlake.plans.catalog import QUERIES
+from hazardlake.plans.oracle import ORACLE
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -31,10 +33,12 @@ def _text(value):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= driver.queries().items()
+    assert ORACLE.items() <= driver.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = driver.queries()[name](spark, SF)
     columns = sorted(df.columns)
