@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_dir
-from . import exact, mixing, packing, simhash, simple8b, spans, toxicity
+from . import exact, mixing, packing, secret_scan, simhash, simple8b, spans, spotsigs, toolcalls, toxicity
 from .common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def op1_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op2_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
+
+
 def op3_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,11 @@ def op6_hash_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = toolcalls.conversation_calls(table(spark, sf_dir, "conversations"))
+    return toolcalls.link_tool_calls(calls, results, toolcalls.SCHEMAS)
+
+
 def op8_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     path = scratch_dir(spark, "token-shards")
@@ -47,8 +56,55 @@ def op9_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compare(spotsigs.fingerprint_documents(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_simhash_pivots, op3_digest_index, op4_lexical_packing, op5_sentence_spans, op6_hash_mix,
-    op8_simple8b, op9_toxicity_lexicon)}
+    op1_simhash_pivots, op2_secret_entropy, op3_digest_index, op4_lexical_packing, op5_sentence_spans, op6_hash_mix,
+    op7_tool_calls, op8_simple8b, op9_toxicity_lexicon, op10_spot_signatures)}
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op3_digest_index"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+# The definition itself: documents of a source in order of their hash, taken while words are left.
+ORACLE["op6_hash_mix"] = r"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 10))::BIGINT AS h
+  FROM documents),
+per_source AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [5.0::DOUBLE, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS w
+  FROM sized GROUP BY source),
+-- Rounds of sharing: sources above their limit stop there, the others share what is left.
+rounds AS (
+  SELECT 0 AS round, source, source_size, w, false AS capped,
+         sum(source_size) OVER () * 1.5 * w / sum(w) OVER () AS target
+  FROM per_source
+  UNION ALL
+  SELECT round + 1, source, source_size, w, capped OR target > 2.0 * source_size,
+         CASE WHEN capped OR target > 2.0 * source_size THEN 2.0 * source_size
+         ELSE (sum(source_size) OVER () * 1.5
+               - sum(CASE WHEN capped OR target > 2.0 * source_size THEN 2.0 * source_size ELSE 0 END) OVER ()) * w
+              / sum(CASE WHEN capped OR target > 2.0 * source_size THEN 0 ELSE w END) OVER () END
+  FROM rounds WHERE round < (SELECT count(*) FROM per_source)),
+targets AS (
+  SELECT source, source_size, target,
+         CASE WHEN source_size > 0 THEN least(floor(target / source_size), 2)::BIGINT ELSE 0 END AS copies
+  FROM rounds WHERE round = (SELECT count(*) FROM per_source)),
+ordered AS (
+  SELECT s.*, t.source_size, t.target, t.copies, floor(t.target - t.copies * t.source_size)::BIGINT AS budget,
+         sum(size) OVER (PARTITION BY s.source ORDER BY h) AS upto,
+         sum(size) OVER (PARTITION BY s.source, h) AS tied
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       (copies * size + CASE WHEN upto <= budget THEN size WHEN upto - tied >= budget THEN 0
+        ELSE ((budget - (upto - tied)) * size) // tied END)::BIGINT AS taken
+FROM ordered
+"""
