@@ -1,7 +1,7 @@
 """SpotSigs fingerprints: content words that follow common-word anchors.
 
 A text is folded to lower-case words between single spaces. Where content follows a common word (the
-last of a run of them is the anchor), the anchor and the next content words are a chain; the
+last of a run of them is the anchor), the anchor and the next two content words are a chain; the
 hashes of its different chains are a text's signatures. Likeness is the Jaccard index of two
 signature sets, which their lengths alone bound: sets are filed by length, and pairs whose
 lengths are too far apart are pruned without being compared.
@@ -24,8 +24,6 @@ COMMON = tuple((
     "au aux avec ce ces dans de des du elle en est et il la le les leur mais ou par pas plus pour qui "
     "que sa se ses son sur un une "
     "al como con del el ella esta este fue las lo los más no para pero por su sus una y").split())
-CHAIN = 2
-MARK = "\u0001"
 
 
 def folded(text: Column) -> Column:
@@ -40,40 +38,45 @@ def _one_of(words: list[str]) -> str:
     return (f"(?:{'|'.join(branches)})" + ("?" if "" in words else "")) if branches else ""
 
 
-def signatures(text: Column, common: tuple = COMMON, chain: int = CHAIN) -> Column:
-    """The different chain hashes of a text, sorted. A text without chains (no anchors, or too few
-    words behind them) has the hash of its folded words as its only signature; one without
-    words has none."""
-    # A run of common words before content shrinks to its last word, tied to that content.
-    run = rf" (?:({_one_of(sorted(set(common)))}) )++(?=[\p{{L}}\p{{N}}])"
-    tied = F.regexp_replace(folded(text), run, f" $1{MARK}")
-    parts = F.filter(F.split(tied, " "), lambda w: w != "")
-    content = F.transform(parts, lambda w: F.substring_index(w, MARK, -1))
-    chains = parts
-    for i in range(1, chain):
-        later = F.slice(content, 1 + i, F.size(content))
-        chains = F.zip_with(chains, later, lambda c, w: F.when(
-            F.contains(c, F.lit(MARK)) & w.isNotNull(), F.concat(c, F.lit(" "), w)))
-    hashes = F.transform(F.array_compact(chains), lambda c: F.xxhash64(c))
-    found = F.array_sort(F.array_distinct(hashes))
-    whole = F.trim(folded(text))
-    return F.when(F.size(found) > 0, found).when(
-        whole != "", F.array(F.xxhash64(whole))).otherwise(F.array().cast("array<bigint>"))
-
+def with_signatures(rows: DataFrame, text: str, name: str, common: tuple = COMMON) -> DataFrame:
+    """`rows` and a column `name`: the different chain hashes of the column `text`, sorted.
 
-def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
-    """Jaccard index of two signature sets; 0 where their lengths alone keep it below `least`.
-    Two empty sets are alike."""
-    small, large = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
-    both = F.size(F.array_intersect(a, b))
-    return F.when(large == 0, 1.0).when(small < large * F.lit(least), 0.0).otherwise(
-        both / (F.size(a) + F.size(b) - both))
+    A chain is an anchor with the next two content words. A text without chains (no anchors, or too
+    few words behind them) has the hash of its folded words as its only signature; one without
+    words has none.
+    """
+    word = f"(?:{_one_of(sorted(set(common)))})"
+    # The anchor, a word that is not common, any common words, one more that is not. Looking ahead
+    # only, since chains overlap.
+    chain = rf"(?<= )(?=({word} (?!{word} )[^ ]+ (?:{word} )*+[^ ]+) )"
+    chains = F.regexp_extract_all(F.col("_folded"), F.lit(chain), F.lit(1))
+    hashes = F.transform(chains, lambda c: F.xxhash64(
+        F.substring_index(c, " ", 2), F.substring_index(c, " ", -1)))
+    whole = F.trim("_folded")
+    found = F.when(F.size("_chains") > 0, F.col("_chains")).when(
+        whole != "", F.array(F.xxhash64(whole))).otherwise(F.array().cast("array<bigint>"))
+    # Each step is a column of its own, so that none is computed twice.
+    return rows.withColumn("_folded", folded(F.col(text))) \
+        .withColumn("_chains", F.array_sort(F.array_distinct(hashes))) \
+        .withColumn(name, found).drop("_folded", "_chains")
 
 
 def length_part(size: Column, least: float) -> Column:
     """The number of the part that holds sets of this length. Sets that are alike by `least` or more
     lie in the same part or in neighbouring ones."""
-    return F.when(size == 0, -1).otherwise(F.floor(F.log(size.cast("double")) / math.log(1 / least)))
+    return F.when(size == 0, -2).otherwise(F.floor(F.log(size.cast("double")) / math.log(1 / least)))
+
+
+def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
+    """Jaccard index of two signature sets, two empty ones being alike. With a bound, sets that lie
+    more than one length part apart, or whose lengths keep the index below it, are pruned: 0."""
+    both = F.size(F.array_intersect(a, b))
+    index = F.when(F.size(a) + F.size(b) == 0, 1.0).otherwise(both / (F.size(a) + F.size(b) - both))
+    if not least:
+        return index
+    apart = F.abs(length_part(F.size(a), least) - length_part(F.size(b), least)) > 1
+    small, large = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
+    return F.when(apart | (small < large * F.lit(least)), 0.0).otherwise(index)
 
 
 def _cuts(docs: DataFrame, parts: int) -> list[int]:
@@ -125,7 +128,7 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), n - quarter), F.substring(following, F.lit(1), quarter))
 
 
-def fingerprint_documents(docs: DataFrame, common: tuple = COMMON, chain: int = CHAIN) -> DataFrame:
+def fingerprint_documents(docs: DataFrame, common: tuple = COMMON) -> DataFrame:
     """One row per row of `docs`: doc_id, n_chars, edited_sha256, and the signature sets (arrays
     of longs) `own`, `edited` and `following` of the text, its edited text and the next document's.
 
@@ -136,13 +139,13 @@ def fingerprint_documents(docs: DataFrame, common: tuple = COMMON, chain: int =
     prepare(docs.sparkSession)
     order = Window.partitionBy("part").orderBy("extra", F.col("doc_id").asc_nulls_first(), "text")
     # The next row's text and signatures are looked up in one pass over a range: one shuffle.
-    return in_ranges(docs).withColumn("next", F.lead("text").over(order)) \
-        .withColumn("own", signatures(F.col("text"), common, chain)) \
+    placed = in_ranges(docs).withColumn("next", F.lead("text").over(order))
+    rows = with_signatures(placed, "text", "own", common) \
         .withColumn("following", F.lead("own").over(order)).filter("extra = 0") \
-        .withColumn("change", edited(F.col("text"), F.col("next"))).select(
-            "doc_id", F.char_length("text").cast("long").alias("n_chars"),
-            F.sha2("change", 256).alias("edited_sha256"), "own",
-            signatures(F.col("change"), common, chain).alias("edited"), "following")
+        .withColumn("change", edited(F.col("text"), F.col("next")))
+    return with_signatures(rows, "change", "edited", common).select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("change", 256).alias("edited_sha256"), "own", "edited", "following")
 
 
 def digest(signature_set: Column) -> Column:

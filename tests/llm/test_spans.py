@@ -1,0 +1,96 @@
+import random
+from collections import Counter
+
+from hazardlake.llm import spans as S
+
+
+def brute(rows):
+    """{row: covered sentences}: all spans of all documents in order, later places removed."""
+    seen, gone = set(), {}
+    for n, (_, text) in enumerate(rows):
+        parts = [w for _, _, w in S.sentences(text)]
+        full = [i for i, w in enumerate(parts) if w]
+        cut, places = set(), []
+        for a in range(len(full)):
+            for b in range(a, len(full)):
+                size = sum(len(parts[i]) for i in full[a:b + 1])
+                if size >= S.SPAN_WORDS and b > a:
+                    # Shortest from its first sentence on, or shortest back from its last.
+                    forwards = not (b - 1 > a and size - len(parts[full[b]]) >= S.SPAN_WORDS)
+                    backwards = not (b - 1 > a and size - len(parts[full[a]]) >= S.SPAN_WORDS)
+                    if forwards or backwards:
+                        places.append((full[a], full[b]))
+        for first, last in sorted(places):
+            key = " ".join(w for p in parts[first:last + 1] for w in p)
+            if key in seen:
+                cut |= set(range(first, last + 1))
+            seen.add(key)
+        gone[n] = cut
+    return gone
+
+
+def check(df):
+    rows = [(r["doc_id"], r["text"] or "") for r in df.select("doc_id", "text").collect()]
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0))
+    gone = brute(rows)
+    expect = []
+    for n, (doc_id, text) in enumerate(rows):
+        parts = S.sentences(text)
+        assert "".join(text[a:b] for a, b, _ in parts) == text
+        expect.append((doc_id, len(parts), len(gone[n]), "".join(
+            text[a:b] for i, (a, b, _) in enumerate(parts) if i not in gone[n])))
+    got = S.remove_repeats(df).collect()
+    assert Counter((r["doc_id"], r["n_sentences"], r["n_removed"], r["text"]) for r in got) == Counter(expect)
+    return {r["doc_id"]: r for r in got}
+
+
+def test_whole_table(documents):
+    check(documents)
+
+
+def test_empty_table(none):
+    assert S.remove_repeats(none).collect() == []
+
+
+def test_odd_rows(odd):
+    rows = {r["doc_id"]: r for r in S.remove_repeats(odd).collect()}
+    assert len(S.remove_repeats(odd).collect()) == odd.count()
+    assert rows[3]["text"] == "" and rows[2]["n_removed"] == 0
+    # The long text repeats itself, and the next one repeats it but for its end.
+    assert rows[6]["text"].endswith(" end") and rows[6]["n_removed"] > 39_000
+    assert rows[5]["first_doc_ids"] == [5] == rows[6]["first_doc_ids"][-1:]
+
+
+def _sentence(rng, n):
+    return " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n)).capitalize() + "."
+
+
+def test_planted_passages(frame):
+    """Passages of over 50 words, inserted between or inside sentences of unlike documents."""
+    rng = random.Random(4)
+    passage = [_sentence(rng, n) for n in (9, 14, 4, 17, 8)]
+    one_sentence = _sentence(rng, 70)[:-1]
+    rows = []
+    for i in range(12):
+        own = [_sentence(rng, rng.randrange(3, 20)) for _ in range(20)]
+        if i in (2, 5):
+            own[10:10] = passage
+        if i in (3, 7):
+            own[8:8] = [f"inside {i} " + " ".join(passage), f"tail {i} of it."]
+        if i in (4, 9):
+            own[5:5] = [f"begin {i} {one_sentence} finish {i}."]
+        rows.append((i, " ".join(own)))
+    got = check(frame(rows))
+    words = sum((9, 14, 4, 17, 8))
+    assert got[2]["n_removed"] == 0 and got[4]["n_removed"] == 0
+    assert got[5]["removed_words"] == words
+    assert all(got[i]["removed_words"] >= 40 for i in (3, 7))
+    assert got[9]["removed_words"] >= 40 and got[9]["first_doc_ids"] == [4]
+    assert all(got[i]["n_removed"] == 0 for i in (0, 1, 6, 8, 10, 11))
+
+
+def test_short_repeats_stay(frame):
+    line = "This line is common here."
+    rng = random.Random(1)
+    rows = [(i, f"{_sentence(rng, 12)} {line} {_sentence(rng, 15)}") for i in range(30)]
+    assert all(r["n_removed"] == 0 for r in check(frame(rows)).values())

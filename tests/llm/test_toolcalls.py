@@ -1,0 +1,121 @@
+import json
+
+import pytest
+
+from hazardlake.llm import toolcalls as C
+
+CALLS = "conv_id bigint, turn bigint, call_id string, name string, arguments string, after array<string>, clash string"
+RESULTS = "conv_id bigint, turn bigint, call_id string, content string, level string"
+
+
+@pytest.fixture
+def link(spark):
+    def run(calls, results, schemas=C.SCHEMAS):
+        a = spark.createDataFrame([(*c, "x") for c in calls], CALLS)
+        b = spark.createDataFrame([(*r, "x") for r in results], RESULTS)
+        return C.link_tool_calls(a, b, schemas).collect()
+    return run
+
+
+def errors(arguments, schema):
+    """What the checks should say, from Python's own JSON reader."""
+    kinds = {"string": lambda v: isinstance(v, str), "integer": lambda v: type(v) is int,
+             "number": lambda v: type(v) in (int, float), "boolean": lambda v: type(v) is bool,
+             "object": lambda v: isinstance(v, dict), "array": lambda v: isinstance(v, list)}
+    if schema is None:
+        return "unknown tool"
+    try:
+        given = json.loads(arguments)
+    except (TypeError, ValueError):
+        given = None
+    if not isinstance(given, dict):
+        return "arguments are not a JSON object"
+    out = []
+    for key, (kind, required) in schema.items():
+        if key not in given:
+            out += [f"{key}: missing"] if required else []
+        elif not kinds[kind](given[key]):
+            out.append(f"{key}: {kind} expected")
+    return "; ".join(out + [f"{k}: unknown" for k in sorted(given) if k not in schema])
+
+
+def sort_keys(text):
+    return json.dumps(json.loads(text), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
+def test_whole_table(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    calls, results = C.conversation_calls(table)
+    ours = {(r["conv_id"], r["call_id"]): r for r in calls.collect()}
+    theirs = {(r["conv_id"], r["call_id"]): r for r in results.collect()}
+    level = {}
+
+    def depth(key):
+        if key not in level:
+            refs = [(key[0], i) for i in ours[key]["after"] or [] if (key[0], i) in ours]
+            level[key] = max((1 + depth(k) for k in refs), default=0)
+        return level[key]
+
+    got = C.link_tool_calls(calls, results, C.SCHEMAS).collect()
+    assert {(r["conv_id"], r["call_id"]) for r in got} == set(ours) | set(theirs) and len(got) == len(set(ours) | set(theirs))
+    for r in got:
+        key = (r["conv_id"], r["call_id"])
+        call, result = ours.get(key), theirs.get(key)
+        if not call:
+            assert r["status"] == "orphan" and r["level"] is None
+            continue
+        told = errors(call["arguments"], C.SCHEMAS.get(call["name"]))
+        assert (r["errors"], r["level"]) == (told, depth(key))
+        assert r["status"] == ("invalid" if told else "ok" if result else "no result")
+        back = json.loads(r["json"])
+        assert back["id"] == key[1] and back["name"] == call["name"]
+        assert back["result"] == (result["content"] if result else None)
+        assert r["json"] == sort_keys(r["json"])
+
+
+def test_order_of_a_graph(link):
+    """References forwards and backwards in turns, joined paths, circles, and unknown ids."""
+    after = {"a": ["b", "c"], "b": ["c"], "c": [], "d": ["e"], "e": ["d"], "f": ["d"], "g": ["nowhere"],
+             "h": ["a", "a", "g"], "i": ["i"], "j": None}
+    rows = link([(1, n, k, "search", '{"query":"x"}', v) for n, (k, v) in enumerate(after.items())], [])
+    level = {r["call_id"]: r["level"] for r in rows}
+    assert level == dict(a=2, b=1, c=0, d=None, e=None, f=None, g=0, h=3, i=None, j=0)
+    assert {r["call_id"] for r in rows if r["status"] == "circular"} == set("defi")
+
+
+def test_odd_rows(link):
+    rows = link(
+        [(1, 5, "a", "search", '{"query":"late"}', []), (1, 1, "a", "search", '{ "query" : "\\u00e9\\n\\"" }', []),
+         (2, 1, "a", "search", None, []), (None, 1, "a", "search", '{"query":"q"}', []),
+         (1, 2, None, None, "[1]", None), (1, 2, None, None, "[1]", None), (None,) * 6,
+         (3, None, "", "score", '{"value":1e3,"strict":true,"zz":null,"b":[{"y":1,"x":2}]}', [])],
+        [(1, 9, "a", "second"), (1, 2, "a", 'fi"rsté\n'), (2, None, "a", None), (7, 1, "x", "x" * 200_000),
+         (None, 1, "a", "lost"), (None,) * 4])
+    by = {}
+    for r in rows:
+        by.setdefault((r["conv_id"], r["call_id"], r["status"]), []).append(r)
+    first = by[(1, "a", "ok")][0]
+    assert (first["turn"], first["result_turn"], first["n_results"]) == (1, 2, 2)
+    assert first["json"] == '{"arguments":{"query":"é\\n\\""},"id":"a","name":"search","result":"fi\\"rsté\\n"}'
+    assert json.loads(by[(2, "a", "invalid")][0]["json"])["arguments"] is None
+    assert len(by[(1, None, "invalid")]) == 2 and len(by[(None, None, "invalid")]) == 1
+    assert by[(3, "", "invalid")][0]["errors"] == "b: unknown; zz: unknown"
+    assert by[(3, "", "invalid")][0]["json"].startswith('{"arguments":{"b":[{"x":2,"y":1}],"strict":true,"value":1')
+    assert len(json.loads(by[(7, "x", "orphan")][0]["json"])["result"]) == 200_000
+    assert len(rows) == 10
+
+
+def test_empty_tables(link):
+    assert link([], []) == []
+
+
+def test_kinds(link):
+    schema = {"t": {k: (k, True) for k in ("string", "integer", "number", "boolean", "object", "array")}}
+    values = ['"s"', "3", "2.5", "true", '{"a":1}', "[1]", "null", "12345678901234567890"]
+    rows = []
+    for n, v in enumerate(values):
+        rows.append((1, n, str(n), "t", "{" + ",".join(f'"{k}": {v}' for k in schema["t"]) + "}", None))
+    for r in link(rows, [], schema):
+        said = errors(rows[int(r["call_id"])][4], schema["t"])
+        if r["call_id"] != "7":  # beyond 64 bits a number is a decimal
+            assert r["errors"] == said
