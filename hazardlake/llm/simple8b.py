@@ -38,7 +38,7 @@ def _choices(ids: np.ndarray) -> np.ndarray:
         fits = ids < np.uint64(1 << bits)
         if count == 1:
             choice[fits] = selector
-        elif n >= count and fits.any():
+        elif np.count_nonzero(fits) >= count:
             run = np.concatenate([[0], np.cumsum(fits)])
             choice[:n - count + 1][run[count:] - run[:-count] == count] = selector
     return choice

@@ -1,74 +1,108 @@
 """Token ids of whole texts by a public tokenizer, inside Arrow batches.
 
-A text is cut at single spaces into pieces that the tokenizer treats alike wherever they stand,
-so each different piece is encoded once and looked up afterwards. The memory of pieces is
-emptied when it grows beyond a bound; that changes speed only.
+A text is cut into pieces that the tokenizer treats alike wherever they stand, so each different
+piece is encoded once and looked up afterwards. What is remembered is bounded: when the newer half
+is full, the older half is forgotten; that changes speed only.
 """
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
-from tokenizers import Tokenizer
 
-MOST_PIECES = 400_000
-# A space that does not follow an ordinary character: such texts are cut with more care.
-_UNSAFE = re.compile(r"\s ")
+MOST_PIECES = 500_000
+# Texts whose full stops and commas all stand behind a letter or digit and before white space, and
+# whose white space is single spaces and line feeds inside the text, may be cut at each of these.
+_NOT_PLAIN = re.compile(
+    r"[.,\s](?:(?<=[.,])(?:(?=\S)|(?<![^\W_].))|(?<=\s)(?:\s|\Z)|(?<=[^\S \n]))", re.S)
 _SAFE_CUT = re.compile(r"(?<=\S)(?= )")
+# Put before a piece that has no space before it.
+_CLOSE = "\x01"
 
 _encoders: dict = {}
 
 
+class _Memory:
+    """Pieces and their ids, laid end to end."""
+
+    def __init__(self):
+        self.known: dict[str, int] = {}
+        self.starts = self.sizes = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def add(self, pieces: list[str], ids: list[np.ndarray]) -> None:
+        sizes = np.array([len(i) for i in ids], np.int64)
+        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.flat = np.concatenate([self.flat, *ids])
+
+    def ids(self, piece: str) -> np.ndarray:
+        at = self.known[piece]
+        return self.flat[self.starts[at]:self.starts[at] + self.sizes[at]]
+
+
 class PieceEncoder:
     """Encodes texts with the tokenizer of `path`, without special tokens.
 
     `spaces` says that a space belongs to the piece behind it (byte-level vocabularies); otherwise
-    white space is dropped by the tokenizer itself.
+    white space and letter case are dropped by the tokenizer itself.
     """
 
     def __init__(self, path: str, spaces: bool):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks use the cores
+        from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.spaces = spaces
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.lists: list[np.ndarray] = []
-        self.sizes = np.zeros(0, np.int64)
-        self.starts = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
+        self.new, self.old = _Memory(), _Memory()
 
     def pieces(self, text: str) -> list[str]:
+        """Pieces in the form they are remembered in; with `spaces`, one without a space before it
+        begins with a mark."""
+        plain = text and not text[0].isspace() and _CLOSE not in text and not _NOT_PLAIN.search(text)
         if not self.spaces:
-            return text.split(" ")
-        if _UNSAFE.search(text):
-            return _SAFE_CUT.split(text)
-        head, *rest = text.split(" ")
-        return [head, *[" " + p for p in rest]]
+            if not plain:
+                return text.split(" ")
+            if "Σ" not in text:  # the only letter whose lower case depends on its place
+                text = text.lower()
+            return text.replace("\n", " ").replace(".", " .").replace(",", " ,").split(" ")
+        if plain:
+            return (_CLOSE + text.replace("\n", f" {_CLOSE}\n {_CLOSE}").replace(".", f" {_CLOSE}.")
+                    .replace(",", f" {_CLOSE},")).split(" ")
+        cut = _SAFE_CUT.split(text)
+        return [p[1:] if p[:1] == " " and p[1:2] != _CLOSE else _CLOSE + p for p in cut]
+
+    def _literal(self, piece: str) -> str:
+        if not self.spaces:
+            return piece
+        return piece[1:] if piece[:1] == _CLOSE else " " + piece
+
+    def _learn(self, fresh: list[str]) -> None:
+        if len(self.new.known) > MOST_PIECES // 2:
+            self.new, self.old = _Memory(), self.new
+        unseen = [p for p in fresh if p not in self.old.known]
+        found = dict(zip(unseen, (np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(
+            list(map(self._literal, unseen)), add_special_tokens=False))))
+        self.new.add(fresh, [found[p] if p in found else self.old.ids(p) for p in fresh])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.pieces(t) for t in texts]
-        if len(self.known) > MOST_PIECES:
-            self._clear()
-        known = self.known
-        fresh = list(dict.fromkeys(p for ps in cut for p in ps if p not in known))
+        fresh = set().union(*cut).difference(self.new.known)
+        if len(self.new.known) > MOST_PIECES // 2:
+            fresh = set().union(*cut)
         if fresh:
-            ids = [np.array(e.ids, np.uint32) for e in
-                   self.tokenizer.encode_batch(fresh, add_special_tokens=False)]
-            known.update(zip(fresh, range(len(known), len(known) + len(fresh))))
-            sizes = np.array([len(i) for i in ids], np.int64)
-            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
-            self.sizes = np.concatenate([self.sizes, sizes])
-            self.flat = np.concatenate([self.flat, *ids])
+            self._learn(sorted(fresh))
+        known, new = self.new.known, self.new
         out = []
         for ps in cut:
-            at = np.array([known[p] for p in ps], np.int64)
-            sizes = self.sizes[at]
+            at = np.fromiter(map(known.__getitem__, ps), np.int64, len(ps))
+            sizes = new.sizes[at]
             total = int(sizes.sum())
-            first = self.starts[at] - (np.cumsum(sizes) - sizes)
-            out.append(self.flat[np.repeat(first, sizes) + np.arange(total)])
+            first = new.starts[at] - (np.cumsum(sizes) - sizes)
+            out.append(new.flat[np.repeat(first, sizes) + np.arange(total)])
         return out
 
 
