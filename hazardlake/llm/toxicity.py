@@ -24,8 +24,8 @@ from .common import prepare, text_or_empty, written
 TRAIN_ROWS = 20_000
 LEXICON_ENTRIES = 20_000
 PREFIXES = (3, 4, 5, 6, 7)
-# An entry is taken when so few entries would look as toxic by chance among all that were seen.
-FALSE_ENTRIES = 2.0
+# An entry is taken when fewer entries than this would look as toxic by chance, of all that were seen.
+FALSE_ENTRIES = 1.0
 LEAST_TOXIC = 3
 # Look-alikes (capital and small Cyrillic and Greek) and the Latin letters they stand for.
 LOOKALIKES = dict(zip("аеорсухіјѕԁһԛԝкмтвнАВЕКМНОРСТУХІЈЅαβεικνορτυχΑΒΕΖΗΙΚΜΝΟΡΤΥΧ",
@@ -35,11 +35,20 @@ SUBSTITUTES = dict(zip("013457@$!|", "oieastasii", strict=True))
 # Harmless phrases that hold words of an English lexicon.
 EXCEPTIONS = ("trash can", "trash bin", "recycle trash", "clown fish", "clown car", "sore loser rule",
               "pond scum", "soap scum", "moron city", "pathetic fallacy")
-_JOINED = re.compile(r"(?<=[^\W\d_])[013457@$!|]+(?=[^\W\d_])|(?<=[^\W\d_])[013457@$]+(?!\w)|(?<!\w)[013457@$]+(?=[^\W\d_]{2})")
 _SUBSTITUTE = str.maketrans(SUBSTITUTES)
 _LOOKALIKE = str.maketrans(LOOKALIKES)
 _OTHER = re.compile(r"[\W\d_]+")
-_MIXED = re.compile(r"[013457@$!|]")
+_MIXED = re.compile(r"\S*[013457@$!|]\S*")
+_END = "!|.,;:?\"')]}%*&$@#-"
+
+
+def _spelled(match: re.Match) -> str:
+    """A word with digits or signs among its letters, spelled with letters; marks behind it stay."""
+    token = match.group()
+    core = token.rstrip(_END)
+    if any(c.isalpha() for c in core):
+        return core.translate(_SUBSTITUTE) + token[len(core):]
+    return token
 
 
 def fold(text: str) -> str:
@@ -52,8 +61,7 @@ def fold(text: str) -> str:
             if not w.isascii() and any(c in LOOKALIKES for c in w) and re.search("[a-zA-Z]", w):
                 words[i] = w.translate(_LOOKALIKE)
         text = " ".join(words)
-    if _MIXED.search(text):
-        text = _JOINED.sub(lambda m: m.group().translate(_SUBSTITUTE), text)
+    text = _MIXED.sub(_spelled, text)
     return f" {_OTHER.sub(' ', text.lower()).strip()} "
 
 

@@ -57,8 +57,8 @@ def test_odd_rows(odd):
     assert len(S.remove_repeats(odd).collect()) == odd.count()
     assert rows[3]["text"] == "" and rows[2]["n_removed"] == 0
     # The long text repeats itself, and the next one repeats it but for its end.
-    assert rows[6]["text"].endswith(" end") and rows[6]["n_removed"] > 39_000
-    assert rows[5]["first_doc_ids"] == [5] == rows[6]["first_doc_ids"][-1:]
+    assert rows[6]["text"].endswith(" end") and rows[6]["n_removed"] >= 20_000
+    assert rows[5]["first_doc_ids"] == [5] == rows[6]["first_doc_ids"]
 
 
 def _sentence(rng, n):
