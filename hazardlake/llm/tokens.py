@@ -9,21 +9,44 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
+from itertools import repeat
 
 import numpy as np
-
-MOST_PIECES = 500_000
-# Texts whose full stops and commas all stand behind a letter or digit and before white space, and
-# whose white space is single spaces and line feeds inside the text, may be cut at each of these.
-_NOT_PLAIN = re.compile(
-    r"[.,\s](?:(?<=[.,])(?:(?=\S)|(?<![^\W_].))|(?<=\s)(?:\s|\Z)|(?<=[^\S \n]))", re.S)
-_SAFE_CUT = re.compile(r"(?<=\S)(?= )")
+import regex
+
+MOST_PIECES = 1_200_000
+JOINED = 64
+# Other texts are cut at the ends of runs of letters; before one, too, unless an apostrophe may bind
+# it, where white space is dropped; else before a single space that follows something else.
+# (This class of letters holds a few numerals, which the tokenizer parts from anything.)
+_LOOSE_WORDS = re.compile(r"[^\W\d_]+|(?:'[^\W\d_]*|[^\w']|[\d_])+")
+_LOOSE_SPACED = regex.compile(r"(?<!\s) ?\p{L}+|[^\p{L}](?:(?!(?<=\S) )[^\p{L}])*\p{L}*")
 # Put before a piece that has no space before it.
 _CLOSE = "\x01"
 
 _encoders: dict = {}
 
 
+def _plain(text: str) -> bool:
+    """Letters, digits, single spaces or line feeds between them, and full stops and commas that
+    stand behind a letter or digit and before white space or the end: such a text may be cut at each
+    of these marks."""
+    bare = text.replace(" ", "").replace("\n", "").replace(".", "").replace(",", "")
+    if not bare.isalnum() or text[0] in " \n" or text[-1] in " \n":
+        return False
+    if any(pair in text for pair in ("  ", " \n", "\n ", "\n\n", " .", " ,", "\n.", "\n,")):
+        return False
+    return text[0] not in ".," and all(
+        text.count(m) == text.count(m + " ") + text.count(m + "\n") + text.endswith(m) for m in ".,")
+
+
+def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of `flat` that begin at `starts`, one after the other."""
+    before = np.cumsum(sizes) - sizes
+    return flat[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
+
+
 class _Memory:
     """Pieces and their ids, laid end to end."""
 
@@ -32,16 +55,11 @@ class _Memory:
         self.starts = self.sizes = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
-    def add(self, pieces: list[str], ids: list[np.ndarray]) -> None:
-        sizes = np.array([len(i) for i in ids], np.int64)
+    def add(self, pieces: list[str], sizes: np.ndarray, flat: np.ndarray) -> None:
         self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.flat = np.concatenate([self.flat, *ids])
-
-    def ids(self, piece: str) -> np.ndarray:
-        at = self.known[piece]
-        return self.flat[self.starts[at]:self.starts[at] + self.sizes[at]]
+        self.flat = np.concatenate([self.flat, flat])
 
 
 class PieceEncoder:
@@ -57,22 +75,45 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.spaces = spaces
+        # Among words of letters alone, these ids are the last of one (or, behind a space, the first).
+        vocabulary = self.tokenizer.get_vocab()
+        self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.edge[[i for t, i in vocabulary.items() if (
+            t.startswith("\u0120") if spaces else t.endswith("</w>"))]] = True
         self.new, self.old = _Memory(), _Memory()
 
     def pieces(self, text: str) -> list[str]:
         """Pieces in the form they are remembered in; with `spaces`, one without a space before it
         begins with a mark."""
-        plain = text and not text[0].isspace() and _CLOSE not in text and not _NOT_PLAIN.search(text)
-        if not self.spaces:
-            if not plain:
-                return text.split(" ")
-            if "Σ" not in text:  # the only letter whose lower case depends on its place
-                text = text.lower()
-            return text.replace("\n", " ").replace(".", " .").replace(",", " ,").split(" ")
-        if plain:
-            return (_CLOSE + text.replace("\n", f" {_CLOSE}\n {_CLOSE}").replace(".", f" {_CLOSE}.")
-                    .replace(",", f" {_CLOSE},")).split(" ")
-        cut = _SAFE_CUT.split(text)
+        if self.spaces:
+            if _plain(text):
+                return self._spaced(text.replace("\n", f" {_CLOSE}\n {_CLOSE}"))
+            lines = text.split("\n")
+            if any(not line or line[0].isspace() or line[-1].isspace() for line in lines):
+                return self._loose(text)
+            # Single line feeds between other characters are pieces of their own.
+            out = []
+            for line in lines:
+                out += [_CLOSE + "\n", *(self._spaced(line) if _plain(line) else self._loose(line))]
+            return out[1:]
+        # Parts of a text in normal form are in normal form themselves.
+        if not unicodedata.is_normalized("NFC", text):
+            return text.split(" ")
+        if "Σ" not in text and "İ" not in text:  # their lower case depends on what is around
+            text = text.lower()
+        if _plain(text):
+            return self._worded(text.replace("\n", " "))
+        return [p for line in text.split("\n")
+                for p in (self._worded(line) if _plain(line) else _LOOSE_WORDS.findall(line))]
+
+    def _worded(self, line: str) -> list[str]:
+        return line.replace(".", " .").replace(",", " ,").split(" ")
+
+    def _spaced(self, line: str) -> list[str]:
+        return (_CLOSE + line.replace(".", f" {_CLOSE}.").replace(",", f" {_CLOSE},")).split(" ")
+
+    def _loose(self, text: str) -> list[str]:
+        cut = _LOOSE_SPACED.findall(text)
         return [p[1:] if p[:1] == " " and p[1:2] != _CLOSE else _CLOSE + p for p in cut]
 
     def _literal(self, piece: str) -> str:
@@ -80,30 +121,52 @@ class PieceEncoder:
             return piece
         return piece[1:] if piece[:1] == _CLOSE else " " + piece
 
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids per piece, all their ids)."""
+        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        ids = [np.array(e.ids, np.uint32) for e in found]
+        return np.array([len(i) for i in ids], np.int64), np.concatenate([*ids, np.zeros(0, np.uint32)])
+
+    def _encoded_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters alone, many to a call; the edges tell them apart."""
+        joined = [" " * self.spaces + " ".join(words[i:i + JOINED]) for i in range(0, len(words), JOINED)]
+        _, flat = self._encoded(joined)
+        edges = np.flatnonzero(self.edge[flat])
+        if len(edges) != len(words):
+            return self._encoded(list(map(self._literal, words)))
+        bounds = np.append(edges, len(flat)) if self.spaces else np.append(-1, edges)
+        return np.diff(bounds), flat
+
     def _learn(self, fresh: list[str]) -> None:
-        if len(self.new.known) > MOST_PIECES // 2:
-            self.new, self.old = _Memory(), self.new
-        unseen = [p for p in fresh if p not in self.old.known]
-        found = dict(zip(unseen, (np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(
-            list(map(self._literal, unseen)), add_special_tokens=False))))
-        self.new.add(fresh, [found[p] if p in found else self.old.ids(p) for p in fresh])
+        old = self.old.known
+        again = [p for p in fresh if p in old]
+        if again:
+            at = np.array([old[p] for p in again], np.int64)
+            sizes = self.old.sizes[at]
+            self.new.add(again, sizes, _gather(self.old.flat, self.old.starts[at], sizes))
+        unseen = [p for p in fresh if p not in old]
+        words = [p for p in unseen if p.isalpha()]
+        others = [p for p in unseen if not p.isalpha()]
+        if words:
+            self.new.add(words, *self._encoded_words(words))
+        if others:
+            self.new.add(others, *self._encoded(list(map(self._literal, others))))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.pieces(t) for t in texts]
-        fresh = set().union(*cut).difference(self.new.known)
         if len(self.new.known) > MOST_PIECES // 2:
-            fresh = set().union(*cut)
+            self.new, self.old = _Memory(), self.new
+        cut = [self.pieces(t) for t in texts]
+        find = self.new.known.get
+        places = [np.fromiter(map(find, ps, repeat(-1)), np.int64, len(ps)) for ps in cut]
+        gaps = [np.flatnonzero(at < 0).tolist() for at in places]
+        fresh = {ps[i] for ps, gap in zip(cut, gaps) for i in gap}
         if fresh:
-            self._learn(sorted(fresh))
-        known, new = self.new.known, self.new
-        out = []
-        for ps in cut:
-            at = np.fromiter(map(known.__getitem__, ps), np.int64, len(ps))
-            sizes = new.sizes[at]
-            total = int(sizes.sum())
-            first = new.starts[at] - (np.cumsum(sizes) - sizes)
-            out.append(new.flat[np.repeat(first, sizes) + np.arange(total)])
-        return out
+            self._learn(list(fresh))
+        for ps, at, gap in zip(cut, places, gaps):
+            if gap:
+                at[gap] = [find(ps[i]) for i in gap]
+        new = self.new
+        return [_gather(new.flat, new.starts[at], new.sizes[at]) for at in places]
 
 
 def encoder(path: str, spaces: bool) -> PieceEncoder:
