@@ -4,15 +4,14 @@ from math import asin, cos, degrees, radians, sin
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions import haversine_km
+from ..functions import haversine_km, round_exact
 from ..functions.geo import EARTH_RADIUS_KM
 from ..schemas import NEAR_COLUMNS
 from ..session import BROADCAST_BYTES, NARROW_BROADCAST_ROWS, row_bytes
 
-# Defaults and the largest row limit of a search.
+# Defaults of a search.
 DEFAULT_RADIUS_KM = 500.0
 DEFAULT_LIMIT = 50
-MAX_LIMIT = 500
 
 KM_PER_DEGREE = radians(1.0) * EARTH_RADIUS_KM
 SLACK = 1e-9
@@ -23,18 +22,20 @@ ROWS_PER_SLICE = 200_000
 
 
 def _near_box(lat: float, lon: float, radius_km: float) -> Column:
-    """A latitude/longitude box around the circle, for Parquet min/max skipping."""
+    """A latitude/longitude box around the circle, for Parquet min/max skipping.
+
+    Longitudes are periodic: positions stored one turn further east or west are in the box too, and
+    those beyond are all let through to the exact distance.
+    """
     dlat = radius_km / KM_PER_DEGREE + SLACK
     in_lat = F.col("lat").between(lat - dlat, lat + dlat)
     if abs(lat) + dlat >= 90:
         return in_lat
     dlon = degrees(asin(min(1.0, sin(radius_km / EARTH_RADIUS_KM) / cos(radians(lat))))) + SLACK
     west, east = lon - dlon, lon + dlon
-    in_lon = F.col("lon").between(west, east)
-    if west < -180:
-        in_lon = in_lon | (F.col("lon") >= west + 360)
-    if east > 180:
-        in_lon = in_lon | (F.col("lon") <= east - 360)
+    in_lon = (F.col("lon") < -360) | (F.col("lon") > 360)
+    for turn in (-360, 0, 360):
+        in_lon = in_lon | F.col("lon").between(west + turn, east + turn)
     return in_lat & in_lon
 
 
@@ -47,7 +48,7 @@ def hazards_near(hazards: DataFrame, lat: float, lon: float,
         .withColumn("distance_km", distance)
         .filter(F.col("distance_km") <= radius_km)
         .orderBy("distance_km", "event_id").limit(limit)
-        .withColumn("distance_km", F.round("distance_km", 1))
+        .withColumn("distance_km", round_exact(F.col("distance_km"), 1))
         .select(*NEAR_COLUMNS))
 
 
@@ -197,22 +198,25 @@ def radius_join(points: DataFrame, hazards: DataFrame, radius_km: float | None =
 
 
 def nearest_per_point(pairs: DataFrame, point_key: str = "qid",
-                      limit: int | Column = DEFAULT_LIMIT) -> DataFrame:
+                      limit: int | Column = DEFAULT_LIMIT, most: int | None = None) -> DataFrame:
     """Per point the nearest pairs up to `limit` (a number or a column), ranked by `n`.
 
-    The constant bound lets Spark drop the rest before the shuffle.
+    A constant bound lets Spark drop the rest before the shuffle. For a column of limits it is
+    `most`, if the caller has checked that none is above it (`split_queries` does); no row that
+    a limit asks for is dropped.
     """
     order = Window.partitionBy(point_key).orderBy("distance_km", "event_id")
-    most = limit if isinstance(limit, int) else MAX_LIMIT
-    ranked = pairs.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= most)
-    ranked = ranked if isinstance(limit, int) else ranked.filter(F.col("n") <= limit)
-    return ranked.withColumn("distance_km", F.round("distance_km", 1))
+    ranked = pairs.withColumn("n", F.row_number().over(order))
+    if most is not None:
+        ranked = ranked.filter(F.col("n") <= most)
+    return ranked.filter(F.col("n") <= limit).withColumn(
+        "distance_km", round_exact(F.col("distance_km"), 1))
 
 
 def near_report(queries: DataFrame, hits: DataFrame, point_key: str = "qid") -> DataFrame:
     """One row per query: the query echoed, the number of hits, the hits in order.
 
-    `hits` come from `nearest_per_point`, so a list has at most MAX_LIMIT entries.
+    `hits` come from `nearest_per_point`: a list is as long as its query's limit at most.
     """
     fields = [c for c in NEAR_COLUMNS if c in hits.columns]
     entry = F.struct("n", *fields)

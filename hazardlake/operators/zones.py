@@ -1,15 +1,8 @@
 """Zone lookups: which zones matter, and filling positions from zone centroids."""
 
-import json
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import geo_source, vertex_centroid
-from ..session import measure
-
-# Largest lookup that is held as a constant inside the plan.
-CONSTANT_ROWS = 50_000
-CONSTANT_BYTES = 8 << 20
 
 
 def unresolved_zones(events: DataFrame) -> DataFrame:
@@ -50,22 +43,12 @@ def zone_coverage(zones: DataFrame, cache: DataFrame, fetched: DataFrame) -> Dat
         count_if(todo & ~ok).alias("failed"))
 
 
-def _first_hit(zones: Column, lookup: DataFrame, size: int) -> Column:
-    """The first zone with a centroid, as struct(lat, lon), from a lookup held as a constant.
-
-    Map access searches linearly, so the entries are dealt into `size` small maps,
-    addressed by hash.
-    """
-    def slot(zone: Column) -> Column:
-        return F.pmod(F.xxhash64(zone), F.lit(size)).cast("int")
-
-    maps: list[dict] = [{} for _ in range(size)]
-    for row in lookup.select("zone_url", "lat", "lon", slot(F.col("zone_url")).alias("i")).collect():
-        maps[row.i][row.zone_url] = {"lat": row.lat, "lon": row.lon}
-    constant = F.from_json(
-        F.lit(json.dumps(maps)), "array<map<string,struct<lat:double,lon:double>>>")
-    hits = F.transform(zones, lambda z: F.try_element_at(F.get(constant, slot(z)), z))
-    return F.get(F.filter(hits, lambda hit: hit.isNotNull()), F.lit(0))
+def unique_lookup(lookup: DataFrame) -> DataFrame:
+    """One complete centroid per zone: of several, that of the smallest latitude, then longitude."""
+    return (
+        lookup.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+        .groupBy("zone_url").agg(F.min(F.struct("lat", "lon")).alias("c"))
+        .select("zone_url", "c.lat", "c.lon"))
 
 
 def resolve_zones(zone_lists: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -84,27 +67,16 @@ def _fill(rows: DataFrame, lat: Column, lon: Column) -> DataFrame:
         "lat": F.coalesce("lat", lat), "lon": F.coalesce("lon", lon)})
 
 
-def zone_fill(events: DataFrame, lookup: DataFrame,
-              constant_rows: int = CONSTANT_ROWS) -> DataFrame:
+def zone_fill(events: DataFrame, lookup: DataFrame) -> DataFrame:
     """Fill missing positions from zone centroids and say where each position is from.
 
-    A lookup measured to be small becomes a constant: one pass, no join, no shuffle.
-    With a large one, only rows that lack a position and name zones are joined, and
-    each distinct zone list is resolved once.
+    Each distinct zone list that a row without a position has is resolved once; rows find theirs by
+    an outer join, which Spark turns into a broadcast when the lists measured at run time are few.
     """
-    usable = lookup.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
     open_row = (F.col("lat").isNull() | F.col("lon").isNull()) & (
         F.coalesce(F.size("zones"), F.lit(0)) > 0)
-    none = F.lit(None).cast("double")
-    rows, size = measure(usable) if constant_rows else (1, 0)
-    if rows <= constant_rows and size <= CONSTANT_BYTES:
-        hit = F.when(open_row, _first_hit(F.col("zones"), usable, max(1, rows)))
-        # A generator is evaluated once; a plain column would be copied into later filters.
-        found = events.select("*", F.inline(F.array(hit)).alias("_zlat", "_zlon"))
-        return _fill(found, F.col("_zlat"), F.col("_zlon")).drop("_zlat", "_zlon")
-
-    todo = events.filter(open_row)
-    resolved = resolve_zones(todo.select("zones").distinct(), usable)
-    filled = _fill(todo.join(resolved, "zones", "left"), F.col("zone_lat"), F.col("zone_lon"))
-    return _fill(events.filter(~open_row), none, none).unionByName(
-        filled.drop("zone_lat", "zone_lon"))
+    asked = F.when(open_row, F.col("zones"))
+    lists = events.select(asked.alias("zones")).filter("zones is not null").distinct()
+    resolved = resolve_zones(lists, unique_lookup(lookup)).withColumnRenamed("zones", "_asked")
+    found = events.join(resolved, asked == F.col("_asked"), "left")
+    return _fill(found, F.col("zone_lat"), F.col("zone_lon")).drop("_asked", "zone_lat", "zone_lon")

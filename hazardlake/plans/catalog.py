@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import parse_iso, severity_level, to_iso, vertex_centroid
-from ..operators import changes, events, gold, grounding, merge, radius, retrieval, zones
-from ..operators.requests import clean_output, validate_queries
+from ..operators import ask, changes, events, gold, grounding, merge, radius, retrieval, zones
+from ..operators.requests import MAX_LIMIT, clean_output, split_queries, validate_queries
 from ..schemas import TOPIC, ZONE_LOOKUP
 from ..session import configure, scratch_dir
 from ..sources import bus, feeds, lookup, tables
@@ -159,8 +159,10 @@ def zone_fill_versions(spark, sf):
 
 @query
 def zone_fill_joined(spark, sf):
-    """The same with the lookup joined, as a lookup too large for a constant is."""
-    filled = zones.zone_fill(I.hazard_versions(spark, sf), I.zone_lookup(spark, sf), 0)
+    """All versions against a lookup that lists each zone twice: the smaller latitude counts."""
+    lookup = I.zone_lookup(spark, sf)
+    twice = lookup.unionByName(lookup.withColumn("lat", F.col("lat") + 1))
+    filled = zones.zone_fill(I.hazard_versions(spark, sf), twice)
     return filled.select("seq", "geo_source", "lat", "lon")
 
 
@@ -289,6 +291,17 @@ def rejected_features(spark, sf):
     return rejected.groupBy("poll", "reason").agg(F.count("*").alias("n"))
 
 
+@query
+def damaged_documents(spark, sf):
+    """Every third snapshot is cut short: per poll, features kept and rows rejected by reason."""
+    cut = F.when(F.col("poll") % 3 == 0, F.expr("left(value, length(value) - 2)")).otherwise(F.col("value"))
+    features = feeds.features_of(I.quake_snapshots(spark, sf).withColumn("value", cut), "usgs")
+    kept, rejected = feeds.split_features(features, "usgs")
+    every = kept.select("poll", F.lit("kept").alias("outcome")).unionByName(
+        rejected.select("poll", F.col("reason").alias("outcome")))
+    return every.groupBy("poll", "outcome").agg(F.count("*").alias("n"))
+
+
 @query
 def read_feed(spark, sf):
     """Snapshots landed as files, one document each, read back as features."""
@@ -406,9 +419,22 @@ def near_report(spark, sf):
     pairs = radius.radius_join(points, _hazards(spark, sf))
     hits = radius.nearest_per_point(pairs, limit=F.col("limit"))
     report = radius.near_report(points, hits)
-    ids = F.array_join(F.transform("hazards", lambda h: F.concat_ws(
+    return report.select("qid", "lat", "lon", "radius_km", "count", _listed().alias("hazards"))
+
+
+def _listed():
+    return F.array_join(F.transform("hazards", lambda h: F.concat_ws(
         ":", h.event_id, h.distance_km.cast("string"))), "|")
-    return report.select("qid", "lat", "lon", "radius_km", "count", ids.alias("hazards"))
+
+
+@query
+def near_requests(spark, sf):
+    """Every request: its report, or the reason it is refused (limits above 500 among them)."""
+    valid, refused = split_queries(I.requests(spark, sf))
+    pairs = radius.radius_join(valid.drop("question"), _hazards(spark, sf))
+    hits = radius.nearest_per_point(pairs, limit=F.col("limit"), most=MAX_LIMIT)
+    report = radius.near_report(valid, hits).select("qid", "count", F.md5(_listed()).alias("hazards"))
+    return report.unionByName(refused.select("qid", "reason"), allowMissingColumns=True)
 
 
 @query
@@ -522,6 +548,39 @@ def grounded_requests(spark, sf):
                        cited.alias("citations"))
 
 
+def _asked(spark, sf):
+    """Requests of every kind with a vector each; every third names no radius."""
+    vectors = I.unit_vectors(spark, sf).select("vec_id", F.col("vec").alias("qvec"))
+    n = vectors.count()
+    return (
+        I.requests(spark, sf).drop("limit")
+        .withColumn("radius_km", F.when(F.col("qid") % 3 != 0, F.col("radius_km")))
+        .withColumn("vec_id", F.col("qid") % n).join(vectors, "vec_id").drop("vec_id"))
+
+
+def _envelope(rows):
+    cited = F.array_join(F.transform("citations", lambda c: F.concat_ws(
+        ":", c.n.cast("string"), c.event_id)), "|")
+    return rows.withColumns({"citations": cited, "answer": F.md5("answer")})
+
+
+@query
+def ask_requests(spark, sf):
+    """Every request answered, its prompt standing in for a model's answer, or refused."""
+    return _envelope(ask.ask(_asked(spark, sf), _vector_hazards(spark, sf), lambda prompt: prompt))
+
+
+@query
+def ask_without_model(spark, sf):
+    return _envelope(ask.ask(_asked(spark, sf), _vector_hazards(spark, sf)))
+
+
+@query
+def indexed_vectors(spark, sf):
+    """How many hazards have a vector to be found by."""
+    return retrieval.vector_count(_vector_hazards(spark, sf))
+
+
 # Streams --------------------------------------------------------------------
 
 @query

@@ -132,25 +132,30 @@ FROM near WHERE d <= 2000 ORDER BY d, event_id LIMIT 50"""
 
 VECTORS = """
 vectors AS (SELECT vec_id, label, embedding::DOUBLE[] AS vec FROM embeddings)"""
-RETRIEVED = f"""{HAZARDS}, {POINTS}, {VECTORS},
-found AS (
-  SELECT h.* EXCLUDE (description), v.vec, d.text AS description FROM hazards h
-  JOIN vectors v ON v.vec_id = h.seq % (SELECT count(*) FROM embeddings)
-  JOIN documents d ON d.doc_id = h.seq % (SELECT count(*) FROM documents)),
-questions AS (
-  SELECT p.*, v.vec AS qvec, 1 + qid % 7 AS k, concat('What is near place ', qid, '?') AS question
-  FROM points p JOIN vectors v ON v.vec_id = p.qid % (SELECT count(*) FROM embeddings)),
-pairs AS (
-  SELECT *, {_km('qlat', 'qlon', 'lat', 'lon')} AS d, list_cosine_similarity(qvec, vec) AS sim
-  FROM questions, found),
-ranked AS (
+
+def _retrieved(questions: str) -> str:
+    """The five closest in meaning among the hazards within each question's radius."""
+    return f"""{HAZARDS}, {POINTS}, {VECTORS},
+found AS MATERIALIZED (
+  SELECT h.* EXCLUDE (description), h.seq % (SELECT count(*) FROM embeddings) AS vec_id,
+    h.seq % (SELECT count(*) FROM documents) AS doc_id FROM hazards h),
+{questions},
+close AS MATERIALIZED (
+  SELECT qid, k, qvec_id, vec_id, event_id, d
+  FROM (SELECT *, {_km('qlat', 'qlon', 'lat', 'lon')} AS d FROM questions, found) WHERE d <= radius_km),
+ranked AS MATERIALIZED (
   SELECT *, row_number() OVER (PARTITION BY qid ORDER BY sim DESC, event_id) AS n
-  FROM pairs WHERE d <= radius_km),
-retrieved AS (
-  SELECT qid, n::INTEGER AS n, event_id, source, hazard_type, severity_level, place, round(d, 1) AS distance_km,
-    round(sim, 3) AS similarity, title, url, description, lat, lon
-  FROM ranked WHERE n <= 5)"""
-PROMPTS = f"""{RETRIEVED},
+  FROM (SELECT c.*, list_cosine_similarity(q.vec, v.vec) AS sim FROM close c
+        JOIN vectors q ON q.vec_id = c.qvec_id JOIN vectors v ON v.vec_id = c.vec_id)),
+retrieved AS MATERIALIZED (
+  SELECT r.qid, r.n::INTEGER AS n, f.event_id, f.source, hazard_type, severity_level, place,
+    round(r.d, 1) AS distance_km, round(r.sim, 3) AS similarity, title, url, t.text AS description, lat, lon
+  FROM ranked r JOIN found f ON f.event_id = r.event_id JOIN documents t ON t.doc_id = f.doc_id
+  WHERE r.n <= 5)"""
+
+
+def _prompts(questions: str) -> str:
+    return f"""{_retrieved(questions)},
 prompts AS (
   SELECT q.qid, concat('Question: ', q.question, chr(10), chr(10),
     'Active hazards near this location:', chr(10),
@@ -158,6 +163,25 @@ prompts AS (
       distance_km, ' km away', chr(10), left(description, 400)), chr(10) || chr(10) ORDER BY n),
     chr(10), chr(10), 'Answer:') AS prompt
   FROM retrieved r JOIN questions q ON q.qid = r.qid GROUP BY q.qid, q.question)"""
+
+
+QUESTIONS = """questions AS MATERIALIZED (
+  SELECT p.*, p.qid % (SELECT count(*) FROM embeddings) AS qvec_id, 1 + qid % 7 AS k,
+    concat('What is near place ', qid, '?') AS question FROM points p)"""
+REQUESTS = """
+requests AS (
+  SELECT event_id AS qid, (event_id % 250 - 125)::DOUBLE AS lat, (event_id % 410 - 205)::DOUBLE AS lon,
+    CASE WHEN event_id % 3 <> 0 THEN event_id * 7 % 30000 - 100 ELSE 300 END::DOUBLE AS radius_km,
+    left(event_type, event_id % 6) AS question, event_id % (SELECT count(*) FROM embeddings) AS qvec_id
+  FROM events),
+checked AS MATERIALIZED (
+  SELECT *, CASE WHEN abs(lat) > 90 THEN 'lat' WHEN abs(lon) > 180 THEN 'lon'
+    WHEN radius_km NOT BETWEEN 1 AND 20000 THEN 'radius_km'
+    WHEN length(question) < 3 THEN 'question' END AS reason FROM requests),
+questions AS MATERIALIZED (
+  SELECT qid, lat AS qlat, lon AS qlon, radius_km, question, qvec_id, 5 AS k FROM checked WHERE reason IS NULL)"""
+RETRIEVED, PROMPTS = _retrieved(QUESTIONS), _prompts(QUESTIONS)
+# The texts of prompts and answers.
 NOTHING = """concat('I don''t see any active hazards within ', radius_km,
   ' km of your location in the current data. This isn''t a guarantee of safety — ',
   'always follow official local authorities and emergency services.')"""
@@ -293,6 +317,10 @@ FROM alerts""",
     "rejected_features": """
 SELECT event_id // 1000 AS poll, 'coordinates' AS reason, count(*) AS n
 FROM events WHERE event_id % 5 = 1 GROUP BY 1""",
+    "damaged_documents": """
+SELECT event_id // 1000 AS poll, CASE WHEN event_id // 1000 % 3 = 0 THEN 'document' ELSE 'kept' END AS outcome,
+  CASE WHEN event_id // 1000 % 3 = 0 THEN 1 ELSE count(*) END AS n
+FROM events GROUP BY 1, 2""",
     "read_feed": f"""WITH {QUAKES}
 SELECT position, event_id AS id, t1 AS updated, severity AS mag FROM quakes""",
     "bus_records": f"""WITH {HZ}
@@ -329,6 +357,23 @@ SELECT p.qid, p.qlat AS lat, p.qlon AS lon, p.radius_km, count(r.event_id)::INTE
   coalesce(string_agg(concat(r.event_id, ':', round(d, 1)), '|' ORDER BY n)
     FILTER (r.event_id IS NOT NULL), '') AS hazards
 FROM points p LEFT JOIN ranked r ON r.qid = p.qid AND r.n <= p.lim GROUP BY ALL""",
+    "near_requests": f"""WITH {HAZARDS},
+requests AS (
+  SELECT event_id AS qid, (event_id % 250 - 125)::DOUBLE AS qlat, (event_id % 410 - 205)::DOUBLE AS qlon,
+    (event_id * 7 % 30000 - 100)::DOUBLE AS radius_km, event_id % 700 AS lim,
+    CASE WHEN abs(event_id % 250 - 125) > 90 THEN 'lat' WHEN abs(event_id % 410 - 205) > 180 THEN 'lon'
+      WHEN event_id * 7 % 30000 - 100 NOT BETWEEN 1 AND 20000 THEN 'radius_km'
+      WHEN event_id % 700 NOT BETWEEN 1 AND 500 THEN 'limit'
+      WHEN length(left(event_type, event_id % 6)) < 3 THEN 'question' END AS reason FROM events),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d, event_id) AS n
+  FROM (SELECT qid, lim, radius_km, event_id, {_km('qlat', 'qlon', 'lat', 'lon')} AS d
+        FROM requests, hazards WHERE reason IS NULL)
+  WHERE d <= radius_km)
+SELECT q.qid, CASE WHEN reason IS NULL THEN count(r.event_id)::INTEGER END AS count,
+  CASE WHEN reason IS NULL THEN md5(coalesce(string_agg(concat(r.event_id, ':', round(d, 1)), '|' ORDER BY n)
+    FILTER (r.event_id IS NOT NULL), '')) END AS hazards, reason
+FROM requests q LEFT JOIN ranked r ON r.qid = q.qid AND r.n <= q.lim GROUP BY q.qid, reason""",
     "requests_checked": """
 SELECT event_id AS qid, CASE WHEN abs(event_id % 250 - 125) > 90 THEN 'lat'
   WHEN abs(event_id % 410 - 205) > 180 THEN 'lon'
@@ -362,14 +407,28 @@ SELECT doc_id AS event_id,
 SELECT qid, n, event_id, source, hazard_type, place, distance_km, url FROM retrieved""",
     "prompt_text": f"WITH {PROMPTS} SELECT qid, prompt FROM prompts",
     "guardrail_answers": f"""WITH {RETRIEVED}
-SELECT qid, {NOTHING} AS answer, false AS used_llm FROM questions
-WHERE qid NOT IN (SELECT qid FROM retrieved)""",
+SELECT qid, {NOTHING} AS answer, false AS used_llm FROM questions q
+WHERE NOT EXISTS (SELECT 1 FROM close c WHERE c.qid = q.qid)""",
     "grounded_requests": f"""WITH {PROMPTS},
 cited AS (SELECT qid, string_agg(concat(n, ':', event_id), '|' ORDER BY n) AS citations
           FROM retrieved GROUP BY qid)
 SELECT q.qid, md5(prompt) AS prompt, CASE WHEN prompt IS NULL THEN {NOTHING} END AS answer,
   prompt IS NOT NULL AS needs_model, coalesce(citations, '') AS citations
 FROM questions q LEFT JOIN prompts p ON p.qid = q.qid LEFT JOIN cited c ON c.qid = q.qid""",
+    "ask_requests": f"""WITH {_prompts(REQUESTS)},
+cited AS (SELECT qid, string_agg(concat(n, ':', event_id), '|' ORDER BY n) AS citations
+          FROM retrieved GROUP BY qid)
+SELECT q.qid, q.question, q.lat, q.lon, q.radius_km, reason, prompt IS NOT NULL AS used_llm,
+  coalesce(citations, '') AS citations,
+  CASE WHEN reason IS NULL THEN md5(coalesce(prompt, {NOTHING})) END AS answer
+FROM checked q LEFT JOIN prompts p ON p.qid = q.qid LEFT JOIN cited c ON c.qid = q.qid""",
+    "ask_without_model": f"""WITH {REQUESTS.lstrip()}
+SELECT qid, question, lat, lon, radius_km, reason, false AS used_llm, '' AS citations,
+  CASE WHEN reason IS NULL THEN md5('The AI assistant runs only in the full local stack (it needs a local LLM). '
+    || 'This hosted demo serves the live hazard map and the /hazards feed.') END AS answer
+FROM checked""",
+    "indexed_vectors": f"""WITH {HAZARDS} SELECT count(*) AS vectors FROM silver
+WHERE seq % (SELECT count(*) FROM embeddings) IN (SELECT vec_id FROM embeddings)""",
     "stream_silver": f"""WITH {HZ},
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY event_id, seq < {HALF}
