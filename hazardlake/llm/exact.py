@@ -41,6 +41,10 @@ class DigestIndex:
     def table(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def close(self) -> None:
+        """Forget the name in this session; the index stays in its folder."""
+        self.spark.sql(f"DROP TABLE {self.name}")
+
     def new_only(self, groups: DataFrame) -> DataFrame:
         """The rows of `groups`, unique by digest, that the index does not hold."""
         known = self.table().select("digest").hint("merge")
@@ -65,7 +69,9 @@ def digested(docs: DataFrame, row_no: str | None = None) -> DataFrame:
 def _judged(rows: DataFrame, index: DigestIndex | None) -> DataFrame:
     """Rows (doc_id, row_no, digest) with their group; the batch's new digests are appended."""
     spark = prepare(rows.sparkSession)
-    index = index or DigestIndex.open(spark, scratch_dir(spark, "digest-index"))
+    own_index = index is None
+    if own_index:
+        index = DigestIndex.open(spark, scratch_dir(spark, "digest-index"))
     rows = written(rows, "digests")
     best = F.max(F.struct("doc_id", "row_no")).alias("best")
     groups = rows.groupBy("digest").agg(best, F.count("*").alias("group_size")).select(
@@ -77,6 +83,8 @@ def _judged(rows: DataFrame, index: DigestIndex | None) -> DataFrame:
     # shuffled and the rows of a very common digest can be split over tasks.
     own = groups.select("digest").repartition(index.buckets, "digest")
     held = written(index.table().hint("merge").join(own, "digest", "left_semi"), "held-digests")
+    if own_index:
+        index.close()
     return rows.join(held, "digest").withColumn(
         "kept", (F.col("batch") == batch) & (F.col("row_no") == F.col("keep_row")))
 

@@ -108,3 +108,96 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
         ELSE ((budget - (upto - tied)) * size) // tied END)::BIGINT AS taken
 FROM ordered
 """
+
+
+def _either_case(words: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in words)
+
+
+# Matches by their text and the parts between them; every window's entropy counted anew.
+ORACLE["op2_secret_entropy"] = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+parts AS (
+  SELECT r, t, kind, name, least, f, v, b, unnest(range(1, len(f) + 1)) AS i
+  FROM (
+    SELECT r, t, 0 AS kind, 'assign' AS name, 6 AS least,
+      regexp_extract_all(t, '(KEYWORDS)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 0) AS f,
+      regexp_extract_all(t, '(KEYWORDS)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2) AS v,
+      string_split_regex(t, '(KEYWORDS)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)') AS b FROM docs
+    UNION ALL
+    SELECT r, t, 1, 'access', 20, regexp_extract_all(t, 'AKIA[A-Z0-9]+', 0), regexp_extract_all(t, 'AKIA[A-Z0-9]+', 0),
+      string_split_regex(t, 'AKIA[A-Z0-9]+') FROM docs
+    UNION ALL
+    SELECT r, t, 2, 'hex', 24, regexp_extract_all(t, '[0-9a-f]{24,}', 0), regexp_extract_all(t, '[0-9a-f]{24,}', 0),
+      string_split_regex(t, '[0-9a-f]{24,}') FROM docs
+    UNION ALL
+    SELECT r, t, 3, 'entropy', 20, regexp_extract_all(t, '[A-Za-z0-9+/_=-]{20,}', 0),
+      regexp_extract_all(t, '[A-Za-z0-9+/_=-]{20,}', 0), string_split_regex(t, '[A-Za-z0-9+/_=-]{20,}') FROM docs)),
+placed AS (
+  SELECT r, kind, name, f[i] AS found,
+    list_sum(list_transform(b[1:i], lambda x: length(x)))
+    + coalesce(list_sum(list_transform(f[1:i - 1], lambda x: length(x))), 0) AS start
+  FROM parts WHERE length(v[i]) >= least),
+windows AS (
+  SELECT r, start, found, w,
+    log2(20) - list_sum(list_transform(map_values(list_aggregate(
+      list_transform(range(1, 21), lambda k: found[w + k]), 'histogram')), lambda n: n * log2(n))) / 20 AS bits
+  FROM (SELECT *, unnest(range(0, length(found) - 19)) AS w FROM placed
+        WHERE kind = 3 AND regexp_matches(found, '[0-9]') AND NOT (ALLOWED))),
+hot AS (
+  SELECT r, 3 AS kind, 'entropy' AS name, start + min(w) AS first, start + max(w) + 20 AS last
+  FROM windows
+  WHERE bits >= CASE WHEN regexp_full_match(found, '[0-9a-fA-F]+') THEN HEXBITS ELSE MIXEDBITS END
+  GROUP BY r, start, found),
+every AS (
+  SELECT r, kind, name, start::BIGINT AS first, (start + length(found))::BIGINT AS last FROM placed WHERE kind < 3
+  UNION ALL SELECT r, kind, name, first::BIGINT, last::BIGINT FROM hot)
+SELECT d.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+  count(*) FILTER (kind = 2) AS n_hex,
+  sha256(coalesce(string_agg(concat(name, ':', first, ':', last), ',' ORDER BY first, kind) FILTER (kind < 3), '')) AS base_sha256,
+  coalesce(string_agg(concat(name, ':', first, ':', last), ',' ORDER BY first, kind) FILTER (kind IS NOT NULL), '') AS spans
+FROM docs d LEFT JOIN every e ON e.r = d.r GROUP BY d.r, d.doc_id
+""".replace("KEYWORDS", "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key")))) \
+    .replace("HEXBITS", str(secret_scan.LEAST_BITS["hex"])).replace("MIXEDBITS", str(secret_scan.LEAST_BITS["mixed"])) \
+    .replace("ALLOWED", " OR ".join(
+        ["replace(found, left(found, 1), '') = ''" if r"\1" in p else f"regexp_matches(found, '{p}')"
+         for p in secret_scan.ALLOWED]))
+
+# What the stand-in calls, their schemas and their results must come to, case by case.
+ORACLE["op7_tool_calls"] = r"""
+WITH rows AS (
+  SELECT conv_id AS c, turn AS t, coalesce(role = 'assistant', false) AS asked, coalesce(text, '') AS text,
+    length(coalesce(text, '')) AS n, (turn + conv_id) % 6 AS kind, (turn // 2) % 4 AS place,
+    left(regexp_replace(coalesce(text, ''), '[^\p{L}\p{N} ]', '', 'g'), 24) AS head
+  FROM conversations),
+calls AS (
+  SELECT *, CASE WHEN kind < 2 THEN 'search' WHEN kind < 4 THEN 'score' WHEN kind = 4 OR n % 2 = 0 THEN 'store'
+      ELSE 'lookup' END AS name,
+    CASE WHEN kind < 2 THEN concat('{"limit":', n % 50, CASE WHEN n % 11 = 0 THEN ',"page":2' END, ',"query":"', head, '"}')
+      WHEN kind < 4 THEN concat('{"strict":', CASE WHEN n % 7 = 0 THEN '"yes"' ELSE 'true' END, ',"value":', n, '.5}')
+      WHEN kind = 4 THEN concat('{"entry":{"a":"', head, '","z":1},"tags":["b","a"]}')
+      WHEN n % 5 = 0 THEN '"{broken"' ELSE '{}' END AS arguments,
+    CASE WHEN kind < 2 THEN CASE WHEN n % 11 = 0 THEN 'page: unknown' ELSE '' END
+      WHEN kind < 4 THEN CASE WHEN n % 7 = 0 THEN 'strict: boolean expected' ELSE '' END
+      WHEN kind = 4 THEN '' WHEN n % 2 <> 0 THEN 'unknown tool'
+      WHEN n % 5 = 0 THEN 'arguments are not a JSON object' ELSE 'tags: missing; entry: missing' END AS errors
+  FROM rows WHERE asked),
+results AS (SELECT c, t - 1 AS t, text FROM rows WHERE NOT asked AND t > 0),
+linked AS (
+  SELECT coalesce(a.c, r.c) AS c, coalesce(a.t, r.t) AS id, a.t AS turn, r.t + 1 AS result_turn, a.name, a.arguments,
+    a.errors, a.place, r.text AS result, (r.t IS NOT NULL)::BIGINT AS n_results
+  FROM calls a FULL JOIN results r ON r.c = a.c AND r.t = a.t)
+SELECT l.c AS conv_id, concat('call-', l.c, '-', id) AS call_id,
+  CASE WHEN turn IS NULL THEN NULL WHEN l.place = 0 OR p1.t IS NULL THEN 0 WHEN l.place = 1 OR p2.t IS NULL THEN 1
+    WHEN l.place = 2 OR p3.t IS NULL THEN 2 ELSE 3 END::INTEGER AS level,
+  turn, result_turn, n_results,
+  CASE WHEN turn IS NULL THEN 'orphan' WHEN l.errors <> '' THEN 'invalid' WHEN n_results = 0 THEN 'no result'
+    ELSE 'ok' END AS status,
+  coalesce(l.errors, '') AS errors,
+  concat('{"arguments":', coalesce(l.arguments, 'null'), ',"id":"call-', l.c, '-', id, '","name":',
+    coalesce('"' || l.name || '"', 'null'), ',"result":', coalesce(to_json(result)::VARCHAR, 'null'), '}') AS json
+FROM linked l
+LEFT JOIN calls p1 ON p1.c = l.c AND p1.t = turn - 2
+LEFT JOIN calls p2 ON p2.c = l.c AND p2.t = turn - 4
+LEFT JOIN calls p3 ON p3.c = l.c AND p3.t = turn - 6
+"""
