@@ -166,8 +166,8 @@ def radius_join(points: DataFrame, hazards: DataFrame, radius_km: float | None =
 
     `points` has a key, `lat`, `lon` and, unless `radius_km` is given, a `radius_km`
     column; its other columns are carried along. Both keys must be unique. Hazards
-    stay in place when the points are few (checked); otherwise both sides meet by
-    grid cell, crowded cells being cut into slices.
+    stay in place when the points are few (checked); otherwise keys and positions meet by
+    grid cell, crowded cells being cut into slices, and the other columns are joined to the pairs.
     """
     radius = F.lit(float(radius_km)) if radius_km is not None else F.col("radius_km")
     reaching = _with_reach(points, radius)
@@ -185,16 +185,22 @@ def radius_join(points: DataFrame, hazards: DataFrame, radius_km: float | None =
     if few:
         pts = F.broadcast(pts)
     else:
-        pts, placed = _sliced(pts, placed, point_key, hazard_key, rows_per_slice)
+        pts, placed = _sliced(
+            pts.select(point_key, "_qlat", "_qlon", "_r", "_cell"),
+            placed.select(hazard_key, "lat", "lon", "_cell"), point_key, hazard_key, rows_per_slice)
         keys += ["_pslot", "_hslot"]
     distance = haversine_km(F.col("_qlat"), F.col("_qlon"), F.col("lat"), F.col("lon"))
     close = F.abs(F.col("lat") - F.col("_qlat")) * KM_PER_DEGREE <= F.col("_r") + SLACK
-    return (
+    pairs = (
         placed.join(pts, keys).filter(close)
         .withColumn("distance_km", distance)
-        .filter(F.col("distance_km") <= F.col("_r"))
-        .withColumnRenamed("_r", "radius_km")
-        .drop("_qlat", "_qlon", "_cell", "_pslot", "_hslot"))
+        .filter(F.col("distance_km") <= F.col("_r")))
+    if not few:
+        carried = points.drop("lat", "lon", "radius_km")
+        pairs = pairs.drop("lat", "lon").join(hazards, hazard_key)
+        pairs = pairs.join(carried, point_key) if len(carried.columns) > 1 else pairs
+    return pairs.withColumnRenamed("_r", "radius_km").drop(
+        "_qlat", "_qlon", "_cell", "_pslot", "_hslot")
 
 
 def nearest_per_point(pairs: DataFrame, point_key: str = "qid",

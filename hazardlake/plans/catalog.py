@@ -413,6 +413,14 @@ def radius_join_sliced(spark, sf):
         broadcast_rows=0, rows_per_slice=max(4, hazards.count() // 100)))
 
 
+@query
+def near_beyond_the_line(spark, sf):
+    """Positions stored up to a turn further east are found all the same."""
+    turned = _hazards(spark, sf).withColumn("lon", F.col("lon") + 360)
+    near = radius.hazards_near(turned, 10.0, -170.0, 3000.0)
+    return near.select("event_id", "distance_km")
+
+
 @query
 def near_report(spark, sf):
     points = I.search_points(spark, sf)

@@ -348,6 +348,9 @@ SELECT event_id, seq FROM rows WHERE seq >= {HALF}
     "radius_join": _pairs("500"),
     "radius_join_own_radius": _pairs("radius_km"),
     "radius_join_sliced": _pairs("radius_km"),
+    "near_beyond_the_line": f"""WITH {HAZARDS},
+near AS (SELECT event_id, {_km('10.0', '-170.0', 'lat', 'lon')} AS d FROM hazards)
+SELECT event_id, round(d, 1) AS distance_km FROM near WHERE d <= 3000 ORDER BY d, event_id LIMIT 50""",
     "near_report": f"""WITH {HAZARDS}, {POINTS},
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d, event_id) AS n

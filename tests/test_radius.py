@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from hazardlake.operators import radius
 from hazardlake.operators.requests import clean_output, split_queries, validate_queries
 from hazardlake.schemas import NEAR_COLUMNS
-from helpers import haversine, rows
+from helpers import haversine, plan_of, rows
 
 H = "event_id string, lat double, lon double"
 
@@ -128,3 +128,29 @@ def test_clean_output(spark):
         "t", F.timestamp_seconds(F.lit(0)))
     assert rows(clean_output(df)) == [
         (None, "x", "1970-01-01T00:00:00Z"), (1.5, None, "1970-01-01T00:00:00Z")]
+
+
+def test_longitudes_beyond_the_date_line(spark):
+    """A position stored as 181 east is the one at 179 west, for the box as for the grid."""
+    hazards = spark.createDataFrame(
+        [("east", 0.0, 181.0), ("far", 0.0, 541.0), ("other", 0.0, 0.0)], "event_id string, lat double, lon double")
+    full = hazards.select("*", *[F.lit(None).cast("string").alias(c) for c in radius.NEAR_COLUMNS
+                                 if c not in ("event_id", "lat", "lon", "distance_km")])
+    found = {r.event_id for r in radius.hazards_near(full, 0.0, -170.0, 1100.0).collect()}
+    points = spark.createDataFrame([(1, 0.0, -170.0)], "qid int, lat double, lon double")
+    assert found == {r.event_id for r in radius.radius_join(points, hazards, 1100.0).collect()} == {"east", "far"}
+
+
+def test_limits_are_never_shortened(spark):
+    pairs = spark.range(700).select(F.lit(1).alias("qid"), F.format_string("e%03d", "id").alias("event_id"),
+                                    F.col("id").cast("double").alias("distance_km"), F.lit(700).alias("limit"))
+    assert radius.nearest_per_point(pairs, limit=F.col("limit")).count() == 700
+
+
+def test_wide_columns_stay_out_of_the_grid_shuffle(spark):
+    hazards = spark.createDataFrame([("a", 1.0, 1.0, "long text")], "event_id string, lat double, lon double, body string")
+    points = spark.createDataFrame([(1, 1.0, 1.0, "wide")], "qid int, lat double, lon double, extra string")
+    df = radius.radius_join(points, hazards, 10.0, broadcast_rows=0)
+    assert df.first().body == "long text" and df.first().extra == "wide"
+    grid = [line for line in plan_of(df).split("\n\n") if "hashpartitioning(_cell" in line]
+    assert grid and not any("body" in block or "extra" in block for block in grid)
