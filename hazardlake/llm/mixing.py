@@ -45,7 +45,8 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE,
     Sources by code point, nulls last, have the weights in turn. A source stops at `most` times
     its size; what is left over is shared by weight among the others. That end state is the level
     L with target = min(L * weight, most * size) whose sum is the budget; sources fill up in the
-    order of size / weight, so one running sum over the sources finds L.
+    order of size / weight, so one running sum over the sources finds L. There is one row per
+    source, whatever the number of documents.
     """
     n = len(weights)
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1

@@ -88,16 +88,16 @@ def _relative(table: Column, block: int) -> Column:
     return F.transform(F.slice(table, start, PIVOTS_PER_BLOCK), lambda d: d - table[0])
 
 
-def cell_keys(table: Column, max_bits: int) -> Column:
-    """One key per choice of blocks that `max_bits` differing bits cannot all touch."""
+def cell_keys(table: Column) -> Column:
+    """One key per choice of blocks that MAX_BITS differing bits cannot all touch."""
     blocks = range(len(BLOCK_WIDTHS))
-    chosen = combinations(blocks, len(BLOCK_WIDTHS) - max_bits)
+    chosen = combinations(blocks, len(BLOCK_WIDTHS) - MAX_BITS)
     return F.array(*[F.xxhash64(F.lit(i), *[_relative(table, b) for b in c])
                      for i, c in enumerate(chosen)])
 
 
-def _links(classes: DataFrame, max_bits: int) -> DataFrame:
-    """(a, b): links between different fingerprints that connect all that `max_bits` connects.
+def _links(classes: DataFrame) -> DataFrame:
+    """(a, b): links between different fingerprints that connect all that two bits connect.
 
     Cells of two members are pairs: the coordinate bound, then the exact distance. The members
     of fuller cells meet at shared midpoints instead, one bit from each: a midpoint has at most
@@ -105,7 +105,7 @@ def _links(classes: DataFrame, max_bits: int) -> DataFrame:
     component, and no cell is ever expanded into pairs.
     """
     keyed = classes.select("fp", pivot_table(F.col("fp")).alias("table")).select(
-        "fp", F.explode(cell_keys(F.col("table"), max_bits)).alias("key"))
+        "fp", F.explode(cell_keys(F.col("table"))).alias("key"))
     cells = written(keyed.groupBy("key").agg(
         F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
         .filter("n > 1"), "cells")
@@ -113,11 +113,9 @@ def _links(classes: DataFrame, max_bits: int) -> DataFrame:
     furthest = F.array_max(F.zip_with(
         pivot_table(a), pivot_table(b), lambda x, y: F.abs(x - y)))
     pairs = cells.filter("n = 2").select("a", "b").distinct() \
-        .filter(furthest <= max_bits).filter(F.bit_count(a.bitwiseXOR(b)) <= max_bits)
+        .filter(furthest <= MAX_BITS).filter(F.bit_count(a.bitwiseXOR(b)) <= MAX_BITS)
     crowded = keyed.join(cells.filter("n > 2").select("key"), "key", "left_semi") \
         .select("fp").distinct()
-    if max_bits == 0:
-        return pairs
     flips = [0] + [_signed(1 << i) for i in range(64)]
     met = crowded.select("fp", F.explode(F.array(
         *[F.col("fp").bitwiseXOR(F.lit(f)) for f in flips])).alias("middle")) \
@@ -137,7 +135,7 @@ def simhash_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """
     docs = written(fingerprints(docs, words), "fingerprints")
     classes = docs.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    roots = component_roots(_links(classes, MAX_BITS))
+    roots = component_roots(_links(classes))
     rooted = written(classes.join(roots, classes.fp == roots.node, "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")), "classes")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))

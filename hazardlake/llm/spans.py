@@ -1,9 +1,9 @@
 """Repeated passages: sliding spans of sentences, joined over all documents.
 
 A span is the shortest run of consecutive sentences, two at least, that has a given number of
-words, taken from every sentence forwards and from every sentence backwards. The first place of a
-span in the corpus (smallest doc_id, then earliest sentence) stays; the sentences that any later
-place covers are removed.
+words, taken from every sentence forwards, and from the last one of every line backwards too. The
+first place of a span in the corpus (smallest doc_id, then earliest sentence) stays; the sentences
+that any later place covers are removed.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ LONG_SENTENCE = 24
 # A sentence ends behind its closing marks before white space, or at a line's end.
 _SENTENCE = re.compile(r"[^\n]*?[.!?…。！？]+[\"'”’)\]]*(?=\s|$)|[^\n]+|\n", re.S)
 _CLAUSE_EVERY = 8
-SPANS = "row_no bigint, doc_id bigint, h1 bigint, h2 bigint, first int, last int"
+SPANS = "doc_id bigint, text_hash bigint, h1 bigint, h2 bigint, first int, last int"
 
 
 def sentences(text: str) -> list[tuple[int, int, list[str]]]:
@@ -59,13 +59,14 @@ def runs(words: list[list[str]]) -> list[tuple[int, int]]:
         if total >= SPAN_WORDS and end - i >= SPAN_SENTENCES:
             found.add((full[i], full[end - 1]))
         total -= sizes[i]
-    start, total = len(full) - 1, 0
-    for i in range(len(full) - 1, -1, -1):
+    for i, at in enumerate(full):
+        if at + 1 < len(words) and words[at + 1]:
+            continue
+        start, total = i, 0
         while start >= 0 and (total < SPAN_WORDS or i - start < SPAN_SENTENCES):
             total, start = total + sizes[start], start - 1
         if total >= SPAN_WORDS and i - start >= SPAN_SENTENCES:
-            found.add((full[start + 1], full[i]))
-        total -= sizes[i]
+            found.add((full[start + 1], at))
     return sorted(found)
 
 
@@ -76,21 +77,21 @@ def _hashes(words: list[list[str]], first: int, last: int) -> tuple[int, int]:
 
 
 def document_spans(docs: DataFrame) -> DataFrame:
-    """(row_no, doc_id, h1, h2, first, last): every span of every document, by sentence number."""
+    """(doc_id, text_hash, h1, h2, first, last): every span of every document, by sentence number."""
     def run(batches):
         for batch in batches:
             cols = [[] for _ in range(6)]
-            for row, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for doc_id, text_hash, text in zip(*(c.to_pylist() for c in batch.columns)):
                 words = [s[2] for s in sentences(text)]
                 for first, last in runs(words):
-                    for c, v in zip(cols, (row, doc_id, *_hashes(words, first, last), first, last)):
+                    for c, v in zip(cols, (doc_id, text_hash, *_hashes(words, first, last), first, last)):
                         c.append(v)
             kinds = [pa.int64()] * 4 + [pa.int32()] * 2
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(cols, kinds)],
-                ["row_no", "doc_id", "h1", "h2", "first", "last"])
+                ["doc_id", "text_hash", "h1", "h2", "first", "last"])
 
-    return docs.select("row_no", "doc_id", "text").mapInArrow(run, SPANS)
+    return docs.select("doc_id", "text_hash", "text").mapInArrow(run, SPANS)
 
 
 def _cleaned(docs: DataFrame) -> DataFrame:
@@ -130,21 +131,23 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     Spans are compared by their words; white space between them does not matter, case does. Within
     one document a span's later places are removed too. Texts are read whole; a null text is
-    empty and stays so. Null ids come before all others; repeated rows repeat all their spans,
-    and the first of them stays. An empty table gives no rows; other columns are ignored.
+    empty and stays so. Null ids come before all others, and documents of equal id are ordered by a
+    hash of their text; rows that repeat both id and text are one document, and are all cleaned alike.
+    An empty table gives no rows; other columns are ignored.
     """
     prepare(docs.sparkSession)
-    rows = written(docs.select(
-        F.monotonically_increasing_id().alias("row_no"), F.col("doc_id").cast("long").alias("doc_id"),
-        text_or_empty().alias("text")), "texts")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")) \
+        .withColumn("text_hash", F.xxhash64("text"))
     spans = written(document_spans(rows), "spans")
-    place = F.struct("doc_id", "row_no", "first").alias("place")
+    place = F.struct("doc_id", "text_hash", "first").alias("place")
     repeated = written(
         spans.groupBy("h1", "h2").agg(F.min(place).alias("home"), F.count("*").alias("n"))
         .filter("n > 1").select("h1", "h2", "home"), "repeated-spans")
-    later = spans.join(repeated, ["h1", "h2"]).filter(
-        (F.col("row_no") != F.col("home.row_no")) | (F.col("first") != F.col("home.first")))
-    covered = later.groupBy("row_no").agg(
+    at_home = F.col("doc_id").eqNullSafe(F.col("home.doc_id")) & (
+        F.col("text_hash") == F.col("home.text_hash")) & (F.col("first") == F.col("home.first"))
+    covered = spans.join(repeated, ["h1", "h2"]).filter(~at_home).groupBy("doc_id", "text_hash").agg(
         F.collect_set(F.array("first", "last")).alias("covered"),
         F.collect_set("home.doc_id").alias("firsts"))
-    return _cleaned(rows.join(covered, "row_no", "left").select("doc_id", "text", "covered", "firsts"))
+    covered = written(covered, "covered").withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
+    same = rows.doc_id.eqNullSafe(F.col("_id")) & (rows.text_hash == F.col("_hash"))
+    return _cleaned(rows.join(covered, same, "left").select("doc_id", "text", "covered", "firsts"))

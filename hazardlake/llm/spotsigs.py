@@ -79,45 +79,38 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
     return F.when(apart | (small < large * F.lit(least)), 0.0).otherwise(index)
 
 
-def _cuts(docs: DataFrame, parts: int) -> list[int]:
-    """At most `parts` ids that cut the table into ranges of about as many rows."""
-    shares = [i / parts for i in range(1, parts)]
-    cuts = docs.agg(F.percentile_approx("doc_id", shares, 20 * parts)).first()[0] or []
-    return sorted(set(cuts))
-
-
-def _range_of(key: Column, cuts: list[int]) -> Column:
-    """How many of the cuts lie at or below the key: by a coarse, then a fine step."""
-    if not cuts:
-        return F.lit(0)
-    step = max(1, math.isqrt(len(cuts)))
-    fine = [cuts[i:i + step] for i in range(0, len(cuts), step)]
-
-    def longs(values):
-        return F.array(*[F.lit(v).cast("long") for v in values])
-
-    coarse = F.size(F.filter(longs([f[0] for f in fine]), lambda c: c <= key))
-    inner = F.element_at(F.array(*map(longs, fine)), F.greatest(coarse, F.lit(1)))
-    return (F.greatest(coarse - 1, F.lit(0)) * step + F.size(F.filter(inner, lambda c: c <= key))).cast("int")
-
-
 def in_ranges(docs: DataFrame) -> DataFrame:
     """(doc_id, text, part, extra): the rows dealt to ranges of ascending doc_id, each of which also
-    gets, as extra rows, the first of the following range; the last range gets those of the first."""
+    gets, as extra rows, the first of the following range; the last range gets those of the first.
+
+    The ranges are cut at quantiles of the ids, so that each holds about as many rows; a cut is an id
+    of the table, the first of its range. A range is found by a coarse, then a fine step.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    ids = rows.select("doc_id")
     key = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    part = _range_of(key, _cuts(ids, 4 * shuffle_partitions(docs.sparkSession)))
-    # One row per range: bounded by the number of cuts, whatever the number of documents.
-    firsts = sorted(tuple(r) for r in ids.groupBy(part.alias("part")).agg(F.min(key)).collect())
-    if not firsts:
-        return rows.withColumns({"part": F.lit(0), "extra": F.lit(0)})
-    before = {first: firsts[i - 1][0] for i, (_, first) in enumerate(firsts)}
-    follows = F.create_map(*[F.lit(v) for pair in before.items() for v in pair])
-    place = F.struct(part.alias("part"), F.lit(0).alias("extra"))
-    again = F.struct(F.element_at(follows, key).alias("part"), F.lit(1).alias("extra"))
-    return rows.withColumn("at", F.explode(F.when(
-        F.map_contains_key(follows, key), F.array(place, again)).otherwise(F.array(place)))) \
+    parts = 4 * shuffle_partitions(docs.sparkSession)
+    shares = [i / parts for i in range(1, parts)]
+    # One id per range: bounded by the number of shuffle partitions.
+    least, found = rows.select(key.alias("key")).agg(
+        F.min("key"), F.percentile_approx("key", shares, 20 * parts)).first()
+    cuts = sorted({c for c in found or [] if c > least})
+    if not cuts:
+        part, first = F.lit(0), key == F.lit(least)
+    else:
+        step = max(1, math.isqrt(len(cuts)))
+        fine = [cuts[i:i + step] for i in range(0, len(cuts), step)]
+
+        def longs(values):
+            return F.array(*[F.lit(v).cast("long") for v in values])
+
+        coarse = F.greatest(F.size(F.filter(longs([f[0] for f in fine]), lambda c: c <= key)), F.lit(1))
+        inner = F.element_at(F.array(*map(longs, fine)), coarse)
+        part = ((coarse - 1) * step + F.size(F.filter(inner, lambda c: c <= key))).cast("int")
+        first = (key == F.lit(least)) | F.array_contains(inner, key)
+    place = F.struct(F.col("_part").alias("part"), F.lit(0).alias("extra"))
+    again = F.struct(F.pmod(F.col("_part") - 1, F.lit(len(cuts) + 1)).alias("part"), F.lit(1).alias("extra"))
+    return rows.withColumns({"_part": part, "_first": F.coalesce(first, F.lit(False))}) \
+        .withColumn("at", F.explode(F.when(F.col("_first"), F.array(place, again)).otherwise(F.array(place)))) \
         .select("doc_id", "text", "at.part", "at.extra")
 
 

@@ -82,9 +82,9 @@ def test_links_are_complete(spark):
     fps = sorted(set(fps))
     signed = [simhash._signed(f) for f in fps]
     classes = spark.createDataFrame([(f, i) for i, f in enumerate(signed)], "fp long, first_id long")
-    links = simhash._links(classes, 2).collect()
+    links = simhash._links(classes).collect()
     assert all(((a ^ b) & (2 ** 64 - 1)).bit_count() <= 2 for a, b in links)
-    roots = {r["node"]: r["root"] for r in component_roots(simhash._links(classes, 2)).collect()}
+    roots = {r["node"]: r["root"] for r in component_roots(simhash._links(classes)).collect()}
     expect = brute_components(list(zip(signed, fps)))
     assert {f: roots.get(f, f) for f in signed} == {signed[i]: m for i, m in expect.items()}
 

@@ -17,7 +17,8 @@ def brute(rows):
                 if size >= S.SPAN_WORDS and b > a:
                     # Shortest from its first sentence on, or shortest back from its last.
                     forwards = not (b - 1 > a and size - len(parts[full[b]]) >= S.SPAN_WORDS)
-                    backwards = not (b - 1 > a and size - len(parts[full[a]]) >= S.SPAN_WORDS)
+                    line_end = full[b] + 1 == len(parts) or not parts[full[b] + 1]
+                    backwards = line_end and not (b - 1 > a and size - len(parts[full[a]]) >= S.SPAN_WORDS)
                     if forwards or backwards:
                         places.append((full[a], full[b]))
         for first, last in sorted(places):
@@ -74,7 +75,7 @@ def test_planted_passages(frame):
     for i in range(12):
         own = [_sentence(rng, rng.randrange(3, 20)) for _ in range(20)]
         if i in (2, 5):
-            own[10:10] = passage
+            own[10:10] = ["\n" + " ".join(passage) + "\n"]
         if i in (3, 7):
             own[8:8] = [f"inside {i} " + " ".join(passage), f"tail {i} of it."]
         if i in (4, 9):
