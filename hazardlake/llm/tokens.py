@@ -15,7 +15,7 @@ from itertools import repeat
 import numpy as np
 import regex
 
-MOST_PIECES = 1_200_000
+MOST_PIECES = 1_000_000
 JOINED = 64
 # Other texts are cut at the ends of runs of letters; before one, too, unless an apostrophe may bind
 # it, where white space is dropped; else before a single space that follows something else.
