@@ -10,7 +10,6 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
-from itertools import repeat
 
 import numpy as np
 import regex
@@ -47,11 +46,18 @@ def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return flat[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
 
 
+class _Places(dict):
+    """Where pieces are remembered; -1 for others."""
+
+    def __missing__(self, piece: str) -> int:
+        return -1
+
+
 class _Memory:
     """Pieces and their ids, laid end to end."""
 
     def __init__(self):
-        self.known: dict[str, int] = {}
+        self.known = _Places()
         self.starts = self.sizes = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
@@ -156,8 +162,8 @@ class PieceEncoder:
         if len(self.new.known) > MOST_PIECES // 2:
             self.new, self.old = _Memory(), self.new
         cut = [self.pieces(t) for t in texts]
-        find = self.new.known.get
-        places = [np.fromiter(map(find, ps, repeat(-1)), np.int64, len(ps)) for ps in cut]
+        find = self.new.known.__getitem__
+        places = [np.fromiter(map(find, ps), np.int64, len(ps)) for ps in cut]
         gaps = [np.flatnonzero(at < 0).tolist() for at in places]
         fresh = {ps[i] for ps, gap in zip(cut, gaps) for i in gap}
         if fresh:
