@@ -47,18 +47,21 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int(sum(1 << i for i in np.flatnonzero(2 * counts > n).tolist()))
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, fp): one row per row of `docs`; `fp` holds the unsigned bits as a signed long."""
+def fingerprints(docs: DataFrame, words: int = WORDS, row_no: str | None = None) -> DataFrame:
+    """(doc_id, row_no, fp): one row per row of `docs`; `fp` holds the unsigned bits as a signed long."""
     prepare(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
-            values = [fingerprint(t, words) for t in batch.column(1).to_pylist()]
+            values = [fingerprint(t, words) for t in batch.column(2).to_pylist()]
             fp = np.array(values, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(fp)], ["doc_id", "row_no", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("t")) \
-        .mapInArrow(run, "doc_id long, fp long")
+    number = F.col(row_no) if row_no else F.monotonically_increasing_id()
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), number.alias("row_no"),
+                       text_or_empty().alias("t")) \
+        .mapInArrow(run, "doc_id long, row_no long, fp long")
 
 
 def _signed(value: int) -> int:
@@ -124,6 +127,19 @@ def _links(classes: DataFrame) -> DataFrame:
         F.explode("fps").alias("a"), F.array_min("fps").alias("b")).filter("a != b")).distinct()
 
 
+def _components(prints: DataFrame) -> DataFrame:
+    """(fp, component_id, keep_row): per fingerprint its component's smallest doc_id, nulls last, and
+    the first row that has it."""
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_no")
+    classes = prints.groupBy("fp").agg(F.min(row).alias("first"))
+    roots = component_roots(_links(classes.select("fp")))
+    rooted = written(classes.join(roots, classes.fp == roots.node, "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")), "classes")
+    least = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    return rooted.join(least, "root").select(
+        "fp", F.col("least.doc_id").alias("component_id"), F.col("least.row_no").alias("keep_row"))
+
+
 def simhash_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """One row per row of `docs`: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -133,19 +149,15 @@ def simhash_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     links; a component of only such rows has a null id. Repeated rows are kept. An empty table
     gives no rows; other columns are ignored.
     """
-    docs = written(fingerprints(docs, words), "fingerprints")
-    classes = docs.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    roots = component_roots(_links(classes))
-    rooted = written(classes.join(roots, classes.fp == roots.node, "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")), "classes")
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return docs.join(named, "fp").select(
+    prints = written(fingerprints(docs, words), "fingerprints")
+    return prints.join(_components(prints), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """The rows of `docs` whose doc_id is the smallest of its component."""
-    found = simhash_components(docs, words)
-    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs.doc_id.cast("long") == kept["_kept"], "left_semi")
+    """One row of `docs` per component, all its columns: the first with the smallest doc_id."""
+    mark = "_row_of_simhash"
+    marked = written(docs.withColumn(mark, F.monotonically_increasing_id()), "documents")
+    prints = written(fingerprints(marked, words, mark), "fingerprints")
+    kept = _components(prints).select(F.col("keep_row").alias(mark)).distinct()
+    return marked.join(kept, mark, "left_semi").select(*docs.columns)

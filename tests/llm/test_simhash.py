@@ -107,3 +107,9 @@ def test_keep_one(frame):
     a = "one two three four five six seven eight nine ten"
     kept = simhash.keep_one(frame([(5, a), (3, a), (9, "quite another text of words"), (4, None)]))
     assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 9]
+
+
+def test_keep_one_of_rows_without_or_with_repeated_ids(frame):
+    a, b = "one two three four five six", "another text of quite other words"
+    kept = simhash.keep_one(frame([(None, a), (7, a), (7, a), (None, b), (None, b), (None, "")])).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == [(0, ""), (0, b), (7, a)]
