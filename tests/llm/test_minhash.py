@@ -1,0 +1,54 @@
+"""Near copies kept once: against the Jaccard index of all pairs."""
+import random
+
+from hazardlake.llm import simhash
+
+
+def brute_kept(rows, words=5, least=0.8):
+    sets = []
+    for _, text in rows:
+        w = (text or "").lower().split()
+        sets.append({" ".join(w[i:i + words]) for i in range(max(1, len(w) - words + 1))} if w else set())
+    left, kept = set(range(len(rows))), []
+    while left:
+        todo, group = [left.pop()], []
+        while todo:
+            i = todo.pop()
+            group.append(i)
+            near = []
+            for j in left:
+                a, b = sets[i], sets[j]
+                if min(len(a), len(b)) >= least * max(len(a), len(b)) and (
+                        a == b or len(a & b) >= least * len(a | b)):
+                    near.append(j)
+            left.difference_update(near)
+            todo += near
+        kept.append(min(rows[i][0] for i in group))
+    return sorted(kept)
+
+
+def test_planted_near_copies(frame):
+    """Copies with some words changed, chains of them and a crowd, among texts that share a line."""
+    rng = random.Random(4)
+    line = "the same line stands in every one of these texts"
+    texts = [[f"w{rng.randrange(5000)}" for _ in range(rng.randrange(30, 200))] + line.split() for _ in range(120)]
+    for t in texts[:60]:
+        for _ in range(3):
+            t = list(t)
+            for _ in range(rng.randrange(1, max(2, len(t) // 40))):
+                t[rng.randrange(len(t))] = f"x{rng.randrange(5000)}"
+            texts.append(t)
+    for _ in range(60):
+        t = list(texts[0])
+        t[rng.randrange(len(t))] = f"y{rng.randrange(5000)}"
+        texts.append(t)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(900, ""), (901, None), (902, "x"), (903, "X ")]
+    rng.shuffle(rows)
+    expect = brute_kept(rows)
+    assert 100 < len(expect) < 200
+    assert sorted(r["doc_id"] for r in simhash.keep_one(frame(rows)).collect()) == expect
+
+
+def test_whole_table(documents):
+    rows = [(r["doc_id"], r["text"]) for r in documents.select("doc_id", "text").collect()]
+    assert sorted(r["doc_id"] for r in simhash.keep_one(documents).collect()) == brute_kept(rows)
