@@ -69,7 +69,8 @@ class _Memory:
 
 
 class PieceEncoder:
-    """Encodes texts with the tokenizer of `path`, without special tokens.
+    """Encodes texts with the tokenizer of `path`, adding no special tokens; those that stand in a
+    text have their own id, as in the tokenizer itself, and what is around them is encoded apart.
 
     `spaces` says that a space belongs to the piece behind it (byte-level vocabularies); otherwise
     white space and letter case are dropped by the tokenizer itself.
@@ -79,7 +80,12 @@ class PieceEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks use the cores
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(a.lstrip or a.rstrip or a.single_word or a.normalized for a in added):
+            raise ValueError("added tokens that are not matched as they are written")
+        # The longest first, as one may begin another.
+        self.added = sorted((a.content for a in added), key=len, reverse=True)
+        self.cut_added = re.compile(f"({'|'.join(map(re.escape, self.added))})") if self.added else None
         self.spaces = spaces
         # Among words of letters alone, these ids are the last of one (or, behind a space, the first).
         vocabulary = self.tokenizer.get_vocab()
@@ -90,7 +96,18 @@ class PieceEncoder:
 
     def pieces(self, text: str) -> list[str]:
         """Pieces in the form they are remembered in; with `spaces`, one without a space before it
-        begins with a mark."""
+        begins with a mark. Added tokens are pieces of their own."""
+        if not any(a in text for a in self.added):
+            return self._pieces(text)
+        out = []
+        for part in self.cut_added.split(text):
+            if part in self.added:
+                out.append(_CLOSE + part if self.spaces else part)
+            elif part:
+                out += self._pieces(part)
+        return out
+
+    def _pieces(self, text: str) -> list[str]:
         if self.spaces:
             if _plain(text):
                 return self._spaced(text.replace("\n", f" {_CLOSE}\n {_CLOSE}"))

@@ -162,3 +162,20 @@ def test_simple8b_odd_rows(spark, odd, root):
 def test_simple8b_empty_table(spark, none, root):
     simple8b.write_shards(none, f"{root}/shards", BYTE)
     assert simple8b.read_documents(spark, f"{root}/shards").collect() == []
+
+
+@pytest.mark.parametrize("path,spaces", [(WORD, False), (BYTE, True)])
+def test_added_tokens_in_texts(documents, path, spaces):
+    """Ids of texts that hold added tokens, against the tokenizer as it comes."""
+    end, start = "<|endoftext|>", "<|startoftext|>"
+    texts = [f"end {end} next", end, end + end, f"a{end}b", f"{end}  x \n", f"x  {end}", f"{start}{end} y", f"É{end}́ x",
+             f" {end}\n\n{end}.", "<|ENDOFTEXT|> x", "<|endoftext |>", f"<|{end}|>", f"ΑΣ{end}Σ it's"]
+    texts += TRICKY + [r["text"] for r in documents.collect()]
+    rng = random.Random(2)
+    parts = [end, start, " ", "\n", "a", "b c", "'s", ".", "9", "é", "Σ", "\x01", "<|", "|>"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(3000)]
+    untouched = Tokenizer.from_file(path)
+    expect = [e.ids for e in untouched.encode_batch(texts, add_special_tokens=False)]
+    code = PieceEncoder(path, spaces)
+    for _ in range(2):  # the second time from memory
+        assert [i.tolist() for i in code.encode(texts)] == expect
