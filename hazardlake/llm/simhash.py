@@ -20,13 +20,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import prepare, text_or_empty, written
 from .components import component_roots
-from .minhash import near_roots
 
 SEED = 42
 WORDS = 3
 MAX_BITS = 2
-# What `keep_one` takes for a near copy; the values above bind the fingerprints only.
-NEAR_WORDS, NEAR_LEAST = 5, 0.8
 BLOCK_WIDTHS = (13, 13, 13, 13, 12)
 PIVOTS_PER_BLOCK = 15
 SHINGLES_AT_ONCE = 1 << 16
@@ -157,19 +154,15 @@ def simhash_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, words: int = NEAR_WORDS, least: float = NEAR_LEAST) -> DataFrame:
-    """One row of `docs` per group of near copies, all its columns: the first with the smallest doc_id.
+def keep_one(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """One row of `docs` per component of near copies, all its columns: the first with the smallest doc_id.
 
-    Rows are linked whose sets of shingles of `words` words have a Jaccard index of `least` or more,
-    whatever their fingerprints; see `near_roots`. Texts without words are alike.
+    Components are those of `simhash_components`. Null doc_ids come after all others; of rows that share
+    their doc_id, or that have none, exactly one stays. A null text counts as empty; texts
+    without words are alike. An empty table gives no rows; extra columns are carried along.
     """
     mark = "_row_of_simhash"
     marked = written(docs.withColumn(mark, F.monotonically_increasing_id()), "documents")
-    linked = near_roots(marked, mark, words, least)
-    members = linked.unionByName(linked.select(F.col("root").alias("node"), "root").distinct())
-    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("doc_id"), mark)
-    ranked = written(marked.select(mark, row.alias("place")).join(
-        members.withColumnRenamed("node", mark), mark), "near-groups")
-    first = ranked.groupBy("root").agg(F.min("place").alias("first"))
-    dropped = ranked.join(first, "root").filter(F.col("place") != F.col("first")).select(mark)
-    return marked.join(dropped, mark, "left_anti").select(*docs.columns)
+    prints = written(fingerprints(marked, words, mark), "fingerprints")
+    kept = _components(prints).select(F.col("keep_row").alias(mark)).distinct()
+    return marked.join(kept, mark, "left_semi").select(*docs.columns)

@@ -20,7 +20,6 @@ TRICKY = ["", " ", "  a", "a  b", "a \n b", "a\n b c", " lead", "trail ", "don't
 
 def whole(path, texts):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return [e.ids + [2] for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
