@@ -25,7 +25,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document per group of texts that share 0.8 of their five-word shingles, that with the smallest id."""
+    """One document per group of SimHash near copies (operator 1, at its own shingle length and bit distance)."""
     return simhash.keep_one(docs)
 
 
