@@ -6,7 +6,7 @@ import shutil
 import tempfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import scratch_dir
 
@@ -56,3 +56,22 @@ def text_or_empty(name: str = "text") -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def numbered(rows: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
+    """`rows` with `pos`: the place (from 0) of a row among those of its group, by the columns `order`
+    (nulls first), which tell any two rows of a group apart.
+
+    The rows are dealt to ranges, so that a group of any size is spread over tasks; the places of a
+    range follow from the sizes of the group's runs in the ranges before it.
+    """
+    ranges = shuffle_partitions(rows.sparkSession)
+    placed = written(rows.repartitionByRange(ranges, group, *order).sortWithinPartitions(group, *order)
+                     .withColumn("_place", F.monotonically_increasing_id()), name)
+    part = F.shiftright("_place", 33)  # the number of the range
+    earlier = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = placed.groupBy(F.col(group).alias("_group"), part.alias("_part")).agg(
+        F.min("_place").alias("_first"), F.count("*").alias("_n")) \
+        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    return placed.join(runs, placed[group].eqNullSafe(runs["_group"]) & (part == runs["_part"])).select(
+        *rows.columns, (F.col("_place") - F.col("_first") + F.col("_before")).alias("pos"))

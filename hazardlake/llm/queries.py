@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_dir
-from . import exact, mixing, packing, secret_scan, simhash, simple8b, spans, spotsigs, toolcalls, toxicity
+from . import (exact, impact, merkle, mixing, packing, prefix_trie, secret_scan, simhash, simple8b, spans, spotsigs,
+               toolcalls, toxicity)
 from .common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,9 +61,22 @@ def op10_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.compare(spotsigs.fingerprint_documents(table(spark, sf_dir, "documents")))
 
 
+def op11_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impact.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle_climb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_nodes(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_simhash_pivots, op2_secret_entropy, op3_digest_index, op4_lexical_packing, op5_sentence_spans, op6_hash_mix,
-    op7_tool_calls, op8_simple8b, op9_toxicity_lexicon, op10_spot_signatures)}
+    op7_tool_calls, op8_simple8b, op9_toxicity_lexicon, op10_spot_signatures,
+    op11_impact_topk, op12_merkle_climb, op13_prefix_trie)}
 
 ORACLE: dict[str, str] = {}
 
@@ -201,3 +215,104 @@ LEFT JOIN calls p1 ON p1.c = l.c AND p1.t = turn - 2
 LEFT JOIN calls p2 ON p2.c = l.c AND p2.t = turn - 4
 LEFT JOIN calls p3 ON p3.c = l.c AND p3.t = turn - 6
 """
+
+ORACLE["op11_impact_topk"] = """
+WITH vectors AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ranked AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score,
+         row_number() OVER (PARTITION BY q.r ORDER BY list_inner_product(q.v, c.v) DESC, c.vec_id) AS place
+  FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND c.r <> q.r)
+SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 10
+"""
+
+
+def _crc32(value: str) -> str:
+    """CRC-32 of a number's decimal digits, bit by bit."""
+    step = "lambda c, b: xor(c // 2, 3988292384 * (c % 2))"
+    return (f"xor(4294967295, list_reduce(list_transform(string_split({value}::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT), "
+            f"lambda crc, byte: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], {step}, xor(crc, byte)), 4294967295::BIGINT))")
+
+
+# Every level by grouping two nodes, every proof by one step a level.
+ORACLE["op12_merkle_climb"] = """
+WITH RECURSIVE fields AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, n_chars, CRC % 7 = 0 AS chosen,
+    concat(FIELD(doc_id), FIELD(source), FIELD(lang)) AS a, FIELD(n_chars) AS b, FIELD(n_chars + 1) AS c, FIELD(text) AS d
+  FROM documents),
+leaves AS (
+  SELECT r, doc_id, sha256(concat(a, b, d)) AS leaf,
+    CASE WHEN chosen AND n_chars IS NOT NULL THEN sha256(concat(a, c, d)) ELSE sha256(concat(a, b, d)) END AS claimed,
+    dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, sha256(concat(a, b, d)), r) - 1 AS pos,
+    count(*) OVER (PARTITION BY lang) AS n
+  FROM fields),
+lower_nodes AS (
+  SELECT tree, 0 AS level, pos, leaf AS digest, n FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (n + 1) // 2
+  FROM lower_nodes WHERE n > 1 GROUP BY tree, level, pos // 2, n),
+subroots AS (SELECT tree, digest, count(*) OVER () AS n FROM lower_nodes WHERE n = 1),
+upper_nodes AS (
+  SELECT -1::BIGINT AS tree, 0 AS level, tree AS pos, digest, n FROM subroots
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (n + 1) // 2
+  FROM upper_nodes WHERE n > 1 GROUP BY tree, level, pos // 2, n),
+nodes AS (SELECT * FROM lower_nodes UNION ALL SELECT * FROM upper_nodes),
+climb AS (
+  SELECT r, tree, 0 AS level, pos, n, claimed AS folded, '' AS siblings FROM leaves
+  UNION ALL
+  SELECT c.r, CASE WHEN c.n = 1 THEN -1 ELSE c.tree END, CASE WHEN c.n = 1 THEN 0 ELSE c.level + 1 END,
+    CASE WHEN c.n = 1 THEN c.tree ELSE c.pos // 2 END,
+    CASE WHEN c.n = 1 THEN (SELECT count(*) FROM subroots) ELSE (c.n + 1) // 2 END,
+    CASE WHEN c.n = 1 THEN folded WHEN c.pos % 2 = 0 THEN sha256(concat(folded, s.digest)) ELSE sha256(concat(s.digest, folded)) END,
+    CASE WHEN c.n = 1 THEN siblings ELSE concat(siblings, s.digest) END
+  FROM climb c LEFT JOIN nodes s ON s.tree = c.tree AND s.level = c.level AND s.pos = xor(c.pos, 1) AND c.n > 1
+  WHERE NOT (c.tree = -1 AND c.n = 1))
+SELECT l.doc_id, l.leaf, u.digest AS subroot, t.digest AS root, sha256(c.siblings) AS proof_sha256, c.folded AS folded_root,
+  c.folded = t.digest AS verified
+FROM climb c JOIN leaves l ON l.r = c.r JOIN subroots u ON u.tree = l.tree
+JOIN upper_nodes t ON t.n = 1 WHERE c.tree = -1 AND c.n = 1
+"""
+for _name in ("doc_id", "source", "lang", "n_chars + 1", "n_chars", "text"):
+    ORACLE["op12_merkle_climb"] = ORACLE["op12_merkle_climb"].replace(
+        f"FIELD({_name})", f"coalesce(strlen(({_name})::VARCHAR) || ':' || ({_name})::VARCHAR, '-')")
+ORACLE["op12_merkle_climb"] = ORACLE["op12_merkle_climb"].replace("CRC", f"coalesce({_crc32('doc_id')}, 1)")
+
+# Every prefix of every rebuilt conversation as a list of turn numbers.
+ORACLE["op13_prefix_trie"] = """
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    dense_rank() OVER (ORDER BY coalesce(role, ''), coalesce(text, '')) AS id,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(concat(
+      length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))) - 1 AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT DISTINCT c, CRC % 6 AS h, c - c % 100 AS base FROM turns),
+rebuilt AS (
+  SELECT v.c, t.id, 0 AS part, t.p FROM convs v JOIN turns t ON t.c = v.base AND t.p < v.h
+  UNION ALL SELECT v.c, t.id, 1, t.p FROM convs v JOIN turns t ON t.c = v.c AND t.p >= v.h),
+sequences AS (
+  SELECT v.c, coalesce(s.ids, []::BIGINT[]) AS ids
+  FROM convs v LEFT JOIN (SELECT c, list(id ORDER BY part, p) AS ids FROM rebuilt GROUP BY c) s ON s.c = v.c),
+members AS (SELECT c, d, list_slice(ids, 1, d) AS node, len(ids) = d AS at_end
+  FROM (SELECT c, ids, unnest(range(0, len(ids) + 1)) AS d FROM sequences)),
+nodes AS (
+  SELECT node, d AS depth, min(c) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (at_end), '')) AS ends_sha256
+  FROM members GROUP BY node, d),
+children AS (SELECT list_slice(node, 1, depth - 1) AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+texts AS (SELECT DISTINCT id, length(text) AS chars FROM turns),
+own AS (
+  SELECT n.*, coalesce(k.n, 0) AS n_children, (k.n IS NULL)::BIGINT AS leaf,
+    (n.n_convs - 1) * coalesce(t.chars, 0) AS saved
+  FROM nodes n LEFT JOIN children k ON k.node = n.node LEFT JOIN texts t ON t.id = n.node[n.depth]),
+sums AS (
+  SELECT above AS node, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM (SELECT list_slice(node, 1, unnest(range(0, depth + 1))) AS above, leaf, saved FROM own) GROUP BY above)
+SELECT o.conv_id, o.depth, u.conv_id AS parent_conv_id, o.n_convs, o.n_children, s.n_leaves, s.saved_tokens, o.ends_sha256
+FROM own o JOIN sums s ON s.node = o.node
+LEFT JOIN own u ON o.depth > 0 AND u.node = list_slice(o.node, 1, o.depth - 1)
+""".replace("CRC", _crc32("c"))

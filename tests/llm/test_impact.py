@@ -1,0 +1,88 @@
+"""Exact top-k against brute force over all pairs."""
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from hazardlake.llm import impact
+
+SCHEMA = "vec_id long, embedding array<float>"
+SF = "/root/testdata/sf0.001"
+
+
+def brute(rows, every=100, k=10):
+    held = []
+    for vec_id, v in rows:
+        if v is not None and all(x is not None and math.isfinite(x) for x in v):
+            held.append((vec_id, [math.floor(1024 * float(np.float32(x))) for x in v]))
+    out = []
+    for i, (q, a) in enumerate(held):
+        if q is None or q % every:
+            continue
+        scored = [(-sum(x * y for x, y in zip(a, b)), c is None, c or 0) for j, (c, b) in enumerate(held) if j != i]
+        out += [(q, rank, None if none else c, -s) for rank, (s, none, c) in enumerate(sorted(scored)[:k], 1)]
+    return Counter(out)
+
+
+def check(df, every=100, k=10):
+    rows = [(r["vec_id"], r["embedding"]) for r in df.select("vec_id", "embedding").collect()]
+    assert Counter(map(tuple, impact.top_k(df, every, k).collect())) == brute(rows, every, k)
+
+
+def test_whole_table(spark):
+    check(spark.read.parquet(f"{SF}/embeddings.parquet"))
+
+
+@pytest.mark.parametrize("cells,block,pilot", [(300, 40, 2), (64, 1000, 1), (1 << 18, 1 << 16, 4)])
+def test_many_shards_and_ties(spark, monkeypatch, cells, block, pilot):
+    monkeypatch.setattr(impact, "SHARD_CELLS", cells)
+    monkeypatch.setattr(impact, "BLOCK_CELLS", block)
+    monkeypatch.setattr(impact, "PILOT", pilot)
+    rng = np.random.default_rng(4)
+    some = rng.normal(size=(6, 8)).astype(np.float32)  # a few vectors, each many times: ties everywhere
+    rows = [(i, some[i % 6].tolist()) for i in range(120)] + [(1000 + i, rng.normal(size=8).tolist()) for i in range(60)]
+    check(spark.createDataFrame(rows, SCHEMA), every=7, k=9)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, -2.0, .5]), (0, [1.0, -2.0, .5]), (None, [1.0, 1.0, 1.0]), (None, None), (100, None),
+            (200, [1.0, None, 2.0]), (300, [nan, 1.0, 1.0]), (400, [inf, 0.0, 0.0]), (500, []), (600, [-1e-9, 0.0, 0.0]),
+            (700, [3.0] * 40), (-100, [0.0, 0.0, 0.0]), (3, [.25, .125, -4.0]), (4, [-1.0])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for name in ("row_no", "vector", "score", "rank", "shard", "block", "n"):
+        df = df.withColumn(name, F.lit("clash"))
+    check(df)
+    check(df, every=1, k=3)
+
+
+def test_fewer_than_k_and_none(spark):
+    check(spark.createDataFrame([(0, [1.0, 2.0]), (5, [2.0, 2.0])], SCHEMA))
+    check(spark.createDataFrame([(0, [1.0])], SCHEMA))
+    check(spark.createDataFrame([], SCHEMA))
+
+
+def test_scores_too_large_are_told(spark):
+    with pytest.raises(Exception, match="64 bits"):
+        impact.top_k(spark.createDataFrame([(0, [3e6, 3e6]), (1, [3e6, 3e6])], SCHEMA)).collect()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_possible_members(seed):
+    """All of the best are possible, and groups of similar vectors let the reading stop early."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(40, 32))
+    vectors = np.floor(300 * (centres[rng.integers(0, 40, 2000)] + .2 * rng.normal(size=(2000, 32)))).astype(np.int64)
+    shard = impact.ImpactShard(vectors)
+    assert shard.size.sum() == vectors.size and len(shard.members) == vectors.size
+    for place in range(0, 2000, 400):
+        q = vectors[place]
+        scores = vectors @ q
+        scores[place] = np.iinfo(np.int64).min
+        tenth = np.sort(scores)[-10]
+        for least in (-np.inf, float(tenth)):
+            found, read = shard.possible(q, 10, least, place)
+            assert set(np.flatnonzero(scores >= tenth)) <= set(found.tolist())
+            assert read < vectors.size and len(found) <= 2000 * impact.FEW

@@ -7,11 +7,11 @@ from hazardlake.llm.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
-TABLES = "documents labels conversations".split()
+TABLES = "documents labels conversations embeddings".split()
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries())
     assert set(ORACLE) <= set(QUERIES)
 
