@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_dir
@@ -30,9 +31,20 @@ class DigestIndex:
 
     @classmethod
     def open(cls, spark: SparkSession, path: str, buckets: int | None = None) -> "DigestIndex":
-        """Open the index in `path`, or begin one there. An existing index must be opened with
-        the number of buckets it was begun with."""
-        buckets = buckets or shuffle_partitions(spark)
+        """Open the index in `path`, or begin one there. The number of buckets is kept with the index: an
+        existing one is opened with its own, whatever this session's settings; asking for another is an error."""
+        layout = f"{path}/_layout"  # a name that readers of the table pass over
+        try:
+            kept = spark.read.schema("buckets INT").parquet(layout).first()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            kept = None
+        if kept and buckets and buckets != kept["buckets"]:
+            raise ValueError(f"the index in {path} has {kept['buckets']} buckets, not {buckets}")
+        buckets = kept["buckets"] if kept else buckets or shuffle_partitions(spark)
+        if not kept:
+            spark.range(1).select(F.lit(buckets).alias("buckets")).write.parquet(layout)
         name = f"digest_index_{uuid.uuid4().hex}"
         spark.sql(f"CREATE TABLE {name} ({COLUMNS}) USING parquet CLUSTERED BY (digest) "
                   f"SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import numbered, prepare, written
 
-STEP = 8  # levels between stored node rows: a subtree has 2 ** STEP members at most
+STEP = 9  # levels between stored node rows: a subtree has 2 ** STEP members at most
 TOP = -1  # the number of the tree over the groups' roots
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
@@ -29,7 +29,7 @@ def row_hash(*values: Column) -> Column:
 
 @dataclass
 class Manifest:
-    """`leaves`: row_no, the order column, leaf, tree, pos and carried columns. Node rows, the `lowest` (of leaves)
+    """`leaves`: row_no, the order column, leaf, tree, pos and carried columns; digests are stored as bytes. Node rows, the `lowest` (of leaves)
     and the `inner` ones: tree, round, pos, digest, n (nodes of the tree in that round), up (siblings to the
     parent: digest, left), parent_tree, parent_round, parent_pos."""
 
@@ -41,7 +41,11 @@ class Manifest:
     def subroots(self) -> DataFrame:
         """(tree, subroot): the root of every group's tree."""
         return self.lowest.unionByName(self.inner).filter((F.col("tree") != TOP) & (F.col("n") == 1)).select(
-            "tree", F.col("digest").alias("subroot"))
+            "tree", _hex(F.col("digest")).alias("subroot"))
+
+
+def _hex(digest: Column) -> Column:
+    return F.lower(F.hex(digest))
 
 
 def _pairs(level: Column) -> Column:
@@ -59,13 +63,13 @@ def _subtrees(nodes: DataFrame, round_no: int, step: int, last: bool) -> DataFra
     # A tree of one subtree ends where one node is left; others go on through all levels.
     depth = F.when(F.col("n") > 1 << step, step).otherwise(
         F.when(F.col("n") > 1, F.length(F.bin(F.col("n") - 1))).otherwise(0))
-    rows = blocks.withColumn("depth", depth).withColumn("l0", F.transform("members", lambda m: m["digest"]))
+    rows = blocks.withColumn("depth", depth).withColumn("l0", F.transform("members", lambda m: _hex(m["digest"])))
     for j in range(step):
         rows = rows.withColumn(f"l{j + 1}", _pairs(F.col(f"l{j}")))
     rows = rows.withColumn("top", F.get(F.array(*[F.get(f"l{j}", F.lit(0)) for j in range(step + 1)]), F.col("depth")))
 
     def siblings(i: Column) -> Column:
-        levels = [F.struct(F.get(f"l{j}", F.shiftright(i, j).bitwiseXOR(F.lit(1))).alias("digest"),
+        levels = [F.struct(F.unhex(F.get(f"l{j}", F.shiftright(i, j).bitwiseXOR(F.lit(1)))).alias("digest"),
                            (F.shiftright(i, j) % 2 == 1).alias("left")) for j in range(step)]
         return F.slice(F.array(*levels), F.lit(1), F.col("depth"))
 
@@ -73,11 +77,12 @@ def _subtrees(nodes: DataFrame, round_no: int, step: int, last: bool) -> DataFra
     grows, nothing = F.col("n") > 1, F.lit(None)
     finished = nothing if last else F.lit(TOP)
     return rows.select(
-        "tree", F.lit(round_no).alias("round"), (F.shiftleft("block", step) + F.col("i")).alias("pos"), "digest", "n",
+        "tree", F.lit(round_no).alias("round"), (F.shiftleft("block", step) + F.col("i")).alias("pos"),
+        F.unhex("digest").alias("digest"), "n",
         siblings(F.col("i")).alias("up"), F.when(grows, F.col("tree")).otherwise(finished).cast("long").alias("parent_tree"),
         F.when(grows, F.lit(round_no + 1)).otherwise(nothing if last else F.lit(0)).cast("int").alias("parent_round"),
         F.when(grows, F.col("block")).otherwise(nothing if last else F.col("tree")).alias("parent_pos"),
-        F.when(grows & (F.col("i") == 0), F.col("top")).alias("parent_digest"))
+        F.when(grows & (F.col("i") == 0), F.unhex("top")).alias("parent_digest"))
 
 
 def _grow(leaves: DataFrame, step: int, last: bool) -> list[DataFrame]:
@@ -106,7 +111,7 @@ def build_manifest(docs: DataFrame, group: str = "lang", order: str = "doc_id",
     carried = carried or {}
     base = written(docs.select(
         F.monotonically_increasing_id().alias("row_no"), F.col(group).alias("group"), F.col(order).alias("order"),
-        row_hash(*map(F.col, fields)).alias("leaf"), *[c.alias(name) for name, c in carried.items()]), "merkle-leaves")
+        F.unhex(row_hash(*map(F.col, fields))).alias("leaf"), *[c.alias(name) for name, c in carried.items()]), "merkle-leaves")
     groups = base.groupBy("group").agg(F.count("*").alias("n")).withColumn("all", F.lit(0))
     trees = written(numbered(groups, "all", ["group"], "merkle-groups").select(
         F.col("group").alias("_tree_of"), F.col("pos").alias("tree"), "n"), "merkle-trees")
@@ -126,30 +131,30 @@ def build_manifest(docs: DataFrame, group: str = "lang", order: str = "doc_id",
         inner = inner.unionByName(more)
     root = top[-1].filter("n = 1").select("digest").first()
     return Manifest(leaves, nodes[0].drop("parent_digest"), inner.drop("parent_digest"),
-                    root["digest"] if root else None)
+                    bytes(root["digest"]).hex() if root else None)
 
 
-# One step: to the parent row, its siblings appended, the claimed hash folded with them.
+# One step: to the parent row, its siblings appended, the claimed hash folded with them as hex texts.
 _STEP = """
   SELECT c.row_no, n.parent_tree AS tree, n.parent_round AS round, n.parent_pos AS pos,
-    aggregate(n.up, c.folded, (h, s) -> sha2(
-      CASE WHEN s.left THEN concat(s.digest, h) ELSE concat(h, coalesce(s.digest, '')) END, 256)) AS folded,
-    concat(c.siblings, array_join(transform(n.up, s -> s.digest), '')) AS siblings
+    aggregate(n.up, c.folded, (h, s) -> unhex(sha2(lower(hex(
+      CASE WHEN s.left THEN concat(s.digest, h) ELSE concat(h, coalesce(s.digest, X'')) END)), 256))) AS folded,
+    concat(c.siblings, unhex(array_join(transform(n.up, s -> hex(s.digest)), ''))) AS siblings
   FROM {claims} c JOIN {nodes} n ON n.tree = c.tree AND n.round = c.round AND n.pos = c.pos"""
 _CLIMB = f"""
 WITH RECURSIVE climb AS ({_STEP.format(claims="{claims}", nodes="{lowest}")}
   UNION ALL {_STEP.format(claims="climb", nodes="{inner}")})
-SELECT row_no, folded, siblings FROM climb WHERE tree IS NULL
+SELECT row_no, lower(hex(folded)) AS folded, lower(hex(siblings)) AS siblings FROM climb WHERE tree IS NULL
 """
 
 
 def climb(manifest: Manifest, claims: DataFrame) -> DataFrame:
-    """(row_no, folded, siblings) for each of `claims` (row_no, tree, pos, claimed): the root that the claimed
-    leaf hash comes to, and the digests of its siblings from the leaf to the root, one after the other."""
+    """(row_no, folded, siblings) for each of `claims` (row_no, tree, pos, claimed as bytes): the root that the claimed
+    leaf hash comes to, and the digests of its siblings from the leaf to the root, one after the other, in hex."""
     spark = prepare(claims.sparkSession)
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")  # a step has as many rows as there are claims
     views = {"claims": claims.select("row_no", "tree", F.lit(0).alias("round"), "pos", F.col("claimed").alias("folded"),
-                                     F.lit("").alias("siblings")), "lowest": manifest.lowest, "inner": manifest.inner}
+                                     F.lit(b"").alias("siblings")), "lowest": manifest.lowest, "inner": manifest.inner}
     return spark.sql(_CLIMB, **views)
 
 
@@ -163,11 +168,12 @@ def verify_documents(docs: DataFrame, step: int = STEP) -> DataFrame:
     changed = F.crc32(F.col("doc_id").cast("long").cast("string")) % 7 == 0
     other = row_hash(*[F.col(f) + 1 if f == "n_chars" else F.col(f) for f in FIELDS])
     manifest = build_manifest(docs, step=step, carried={
-        "other": F.when(changed & F.col("n_chars").isNotNull(), other)})
+        "other": F.when(changed & F.col("n_chars").isNotNull(), F.unhex(other))})
     rows = manifest.leaves
-    climbed = climb(manifest, rows.select("row_no", "tree", "pos", F.coalesce("other", "leaf").alias("claimed")))
+    climbed = climb(manifest, rows.select("row_no", "tree", "pos", F.coalesce("other", "leaf").alias("claimed"))) \
+        .select("row_no", F.sha2("siblings", 256).alias("proof"), "folded")
     root = F.lit(manifest.root).cast("string")
     return rows.join(climbed, "row_no").join(manifest.subroots(), "tree").select(
-        F.col("doc_id").cast("long").alias("doc_id"), "leaf", "subroot", root.alias("root"),
-        F.sha2("siblings", 256).alias("proof_sha256"), F.col("folded").alias("folded_root"),
+        F.col("doc_id").cast("long").alias("doc_id"), _hex(F.col("leaf")).alias("leaf"), "subroot",
+        root.alias("root"), F.col("proof").alias("proof_sha256"), F.col("folded").alias("folded_root"),
         (F.col("folded") == root).alias("verified"))

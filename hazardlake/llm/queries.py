@@ -152,16 +152,30 @@ placed AS (
     list_sum(list_transform(b[1:i], lambda x: length(x)))
     + coalesce(list_sum(list_transform(f[1:i - 1], lambda x: length(x))), 0) AS start
   FROM parts WHERE length(v[i]) >= least),
+candidates AS (
+  SELECT r, start, found, list_aggregate(list_transform(regexp_extract_all(found, 'PARTS'), lambda p:
+    CASE WHEN regexp_matches(p, 'KNOWN') THEN repeat(' ', length(p)) ELSE p END), 'string_agg', '') AS blanked
+  FROM placed WHERE kind = 3 AND regexp_matches(found, '[0-9]') AND NOT (ALLOWED)),
 windows AS (
-  SELECT r, start, found, w,
+  SELECT r, start, found, w, substr(blanked, w + 1, 20) AS piece,
     log2(20) - list_sum(list_transform(map_values(list_aggregate(
-      list_transform(range(1, 21), lambda k: found[w + k]), 'histogram')), lambda n: n * log2(n))) / 20 AS bits
-  FROM (SELECT *, unnest(range(0, length(found) - 19)) AS w FROM placed
-        WHERE kind = 3 AND regexp_matches(found, '[0-9]') AND NOT (ALLOWED))),
+      list_transform(range(1, 21), lambda k: blanked[w + k]), 'histogram')), lambda n: n * log2(n))) / 20 AS bits
+  FROM (SELECT *, unnest(range(0, length(found) - 19)) AS w FROM candidates)),
+counted AS (
+  SELECT *, length(regexp_replace(piece, '[^0-9]', '', 'g')) AS digits, length(regexp_replace(piece, '[^a-z]', '', 'g')) AS lows,
+    length(regexp_replace(piece, '[^A-Z]', '', 'g')) AS ups, length(regexp_replace(piece, '[^+/=_-]', '', 'g')) AS signs,
+    len(regexp_extract_all(piece, '[0-9]+|[^0-9]+')) - 1 AS changes
+  FROM windows),
 hot AS (
   SELECT r, 3 AS kind, 'entropy' AS name, start + min(w) AS first, start + max(w) + 20 AS last
-  FROM windows
-  WHERE bits >= CASE WHEN regexp_full_match(found, '[0-9a-fA-F]+') THEN HEXBITS ELSE MIXEDBITS END
+  FROM counted
+  WHERE bits >= CASE
+    WHEN regexp_full_match(piece, '[0-9a-f]+|[0-9A-F]+') AND digits < 20 THEN HEXBITS
+    WHEN digits + lows = 20 AND digits < 20 AND changes >= 3 THEN LOWERBITS
+    WHEN digits + ups = 20 AND digits < 20 AND changes >= 3 THEN UPPERBITS
+    WHEN digits + lows + ups = 20 AND lows >= 1 AND ups >= 1 AND changes >= 2 THEN MIXEDBITS
+    WHEN digits + lows + ups + signs = 20 AND lows >= 1 AND ups >= 1 AND signs BETWEEN 1 AND 3 AND changes >= 2 THEN BASEBITS
+    ELSE 99 END
   GROUP BY r, start, found),
 every AS (
   SELECT r, kind, name, start::BIGINT AS first, (start + length(found))::BIGINT AS last FROM placed WHERE kind < 3
@@ -172,48 +186,53 @@ SELECT d.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind =
   coalesce(string_agg(concat(name, ':', first, ':', last), ',' ORDER BY first, kind) FILTER (kind IS NOT NULL), '') AS spans
 FROM docs d LEFT JOIN every e ON e.r = d.r GROUP BY d.r, d.doc_id
 """.replace("KEYWORDS", "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key")))) \
-    .replace("HEXBITS", str(secret_scan.LEAST_BITS["hex"])).replace("MIXEDBITS", str(secret_scan.LEAST_BITS["mixed"])) \
+    .replace("PARTS", secret_scan.PART).replace("KNOWN", secret_scan.ALLOWED_PARTS) \
+    .replace("HEXBITS", str(secret_scan.LEAST_BITS["hex"])).replace("LOWERBITS", str(secret_scan.LEAST_BITS["lower"])) \
+    .replace("UPPERBITS", str(secret_scan.LEAST_BITS["upper"])).replace("MIXEDBITS", str(secret_scan.LEAST_BITS["mixed"])) \
+    .replace("BASEBITS", str(secret_scan.LEAST_BITS["base64"])) \
     .replace("ALLOWED", " OR ".join(
         ["replace(found, left(found, 1), '') = ''" if r"\1" in p else f"regexp_matches(found, '{p}')"
          for p in secret_scan.ALLOWED]))
 
-# What the stand-in calls, their schemas and their results must come to, case by case.
+# What the stand-in calls, their schemas and their results must come to, case by case; levels by longest paths.
 ORACLE["op7_tool_calls"] = r"""
-WITH rows AS (
+WITH RECURSIVE rows AS (
   SELECT conv_id AS c, turn AS t, coalesce(role = 'assistant', false) AS asked, coalesce(text, '') AS text,
-    length(coalesce(text, '')) AS n, (turn + conv_id) % 6 AS kind, (turn // 2) % 4 AS place,
-    left(regexp_replace(coalesce(text, ''), '[^\p{L}\p{N} ]', '', 'g'), 24) AS head
+    length(coalesce(text, '')) AS n, (turn + conv_id) % 6 AS kind
   FROM conversations),
 calls AS (
   SELECT *, CASE WHEN kind < 2 THEN 'search' WHEN kind < 4 THEN 'score' WHEN kind = 4 OR n % 2 = 0 THEN 'store'
       ELSE 'lookup' END AS name,
-    CASE WHEN kind < 2 THEN concat('{"limit":', n % 50, CASE WHEN n % 11 = 0 THEN ',"page":2' END, ',"query":"', head, '"}')
+    CASE WHEN kind < 2 THEN concat('{"limit":', n % 50, CASE WHEN n % 13 = 0 THEN ',"order":"odd"' ELSE ',"order":"new"' END,
+        CASE WHEN n % 11 = 0 THEN ',"page":2' END, ',"query":', to_json(text), '}')
       WHEN kind < 4 THEN concat('{"strict":', CASE WHEN n % 7 = 0 THEN '"yes"' ELSE 'true' END, ',"value":', n, '.5}')
-      WHEN kind = 4 THEN concat('{"entry":{"a":"', head, '","z":1},"tags":["b","a"]}')
+      WHEN kind = 4 THEN concat('{"entry":{"a":', to_json(text), ',"z":', CASE WHEN n % 4 = 0 THEN '"1"' ELSE '1' END,
+        '},"tags":["b",', CASE WHEN n % 3 = 0 THEN '1' ELSE '"a"' END, ']}')
       WHEN n % 5 = 0 THEN '"{broken"' ELSE '{}' END AS arguments,
-    CASE WHEN kind < 2 THEN CASE WHEN n % 11 = 0 THEN 'page: unknown' ELSE '' END
+    CASE WHEN kind < 2 THEN concat_ws('; ', CASE WHEN n % 13 = 0 THEN 'order: not one of new, old' END,
+        CASE WHEN n % 11 = 0 THEN 'page: unknown' END)
       WHEN kind < 4 THEN CASE WHEN n % 7 = 0 THEN 'strict: boolean expected' ELSE '' END
-      WHEN kind = 4 THEN '' WHEN n % 2 <> 0 THEN 'unknown tool'
+      WHEN kind = 4 THEN concat_ws('; ', CASE WHEN n % 3 = 0 THEN 'tags: items of string expected' END,
+        CASE WHEN n % 4 = 0 THEN 'entry.z: integer expected' END)
+      WHEN n % 2 <> 0 THEN 'unknown tool'
       WHEN n % 5 = 0 THEN 'arguments are not a JSON object' ELSE 'tags: missing; entry: missing' END AS errors
   FROM rows WHERE asked),
+paths AS (
+  SELECT c, t, 0 AS d FROM calls
+  UNION SELECT a.c, a.t, p.d + 1 FROM paths p JOIN calls a ON a.c = p.c AND a.t IN (p.t + 2, p.t + 4, p.t + 6)),
+levels AS (SELECT c, t, max(d)::INTEGER AS level FROM paths GROUP BY c, t),
 results AS (SELECT c, t - 1 AS t, text FROM rows WHERE NOT asked AND t > 0),
 linked AS (
   SELECT coalesce(a.c, r.c) AS c, coalesce(a.t, r.t) AS id, a.t AS turn, r.t + 1 AS result_turn, a.name, a.arguments,
-    a.errors, a.place, r.text AS result, (r.t IS NOT NULL)::BIGINT AS n_results
+    a.errors, r.text AS result, (r.t IS NOT NULL)::BIGINT AS n_results
   FROM calls a FULL JOIN results r ON r.c = a.c AND r.t = a.t)
-SELECT l.c AS conv_id, concat('call-', l.c, '-', id) AS call_id,
-  CASE WHEN turn IS NULL THEN NULL WHEN l.place = 0 OR p1.t IS NULL THEN 0 WHEN l.place = 1 OR p2.t IS NULL THEN 1
-    WHEN l.place = 2 OR p3.t IS NULL THEN 2 ELSE 3 END::INTEGER AS level,
-  turn, result_turn, n_results,
+SELECT l.c AS conv_id, concat('call-', l.c, '-', id) AS call_id, v.level, turn, result_turn, n_results,
   CASE WHEN turn IS NULL THEN 'orphan' WHEN l.errors <> '' THEN 'invalid' WHEN n_results = 0 THEN 'no result'
     ELSE 'ok' END AS status,
   coalesce(l.errors, '') AS errors,
   concat('{"arguments":', coalesce(l.arguments, 'null'), ',"id":"call-', l.c, '-', id, '","name":',
     coalesce('"' || l.name || '"', 'null'), ',"result":', coalesce(to_json(result)::VARCHAR, 'null'), '}') AS json
-FROM linked l
-LEFT JOIN calls p1 ON p1.c = l.c AND p1.t = turn - 2
-LEFT JOIN calls p2 ON p2.c = l.c AND p2.t = turn - 4
-LEFT JOIN calls p3 ON p3.c = l.c AND p3.t = turn - 6
+FROM linked l LEFT JOIN levels v ON v.c = l.c AND v.t = turn
 """
 
 ORACLE["op11_impact_topk"] = """

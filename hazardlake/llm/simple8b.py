@@ -38,23 +38,34 @@ def _choices(ids: np.ndarray) -> np.ndarray:
         fits = ids < np.uint64(1 << bits)
         if count == 1:
             choice[fits] = selector
-        elif np.count_nonzero(fits) >= count:
-            run = np.concatenate([[0], np.cumsum(fits)])
+            continue
+        many = int(np.count_nonzero(fits))
+        if many == n >= count:
+            choice[:n - count + 1] = selector
+        elif many >= count:
+            run = np.zeros(n + 1, np.int32)
+            np.cumsum(fits, out=run[1:])
             choice[:n - count + 1][run[count:] - run[:-count] == count] = selector
     return choice
 
 
+def _starts(jump: np.ndarray) -> np.ndarray:
+    """The places from 0 on that are reached by jumping; twice as many of them per round."""
+    n = len(jump)
+    hop = np.minimum(np.arange(n + 1) + np.append(jump, 0), n)
+    found = np.zeros(min(n, 1), np.int64)
+    while len(found) and found[-1] < n:
+        found = np.concatenate([found, hop[found]])
+        hop = hop[hop]
+    return found[:np.searchsorted(found, n)]
+
+
 def encode_block(ids: np.ndarray) -> np.ndarray:
     """The 64-bit words of one block."""
     ids = np.asarray(ids, np.uint64)
     choice = _choices(ids)
     counts = np.array([1] + [c for c, _ in SELECTORS])
-    jump = counts[choice].tolist()
-    at, place, n = [], 0, len(ids)
-    while place < n:
-        at.append(place)
-        place += jump[place]
-    at = np.array(at, np.int64)
+    at = _starts(counts[choice])
     chosen = choice[at]
     width = np.where(chosen == 0, 2, 1)
     where = np.cumsum(width) - width

@@ -1,6 +1,8 @@
 import hashlib
 from collections import Counter
 
+import pytest
+
 from hazardlake.llm import exact
 
 
@@ -42,6 +44,23 @@ def test_index_lasts(spark, frame, root):
     assert exact.DigestIndex.open(spark, path, 4).table().count() == 3
 
 
+def test_index_keeps_its_buckets(spark, frame, root):
+    """Jobs with other settings find every digest again; another number of buckets is refused."""
+    path = f"{root}/index"
+    docs = frame([(i, f"text {i}") for i in range(200)])
+    exact.exact_dedup(docs, exact.DigestIndex.open(spark, path, 4)).collect()
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        again = exact.DigestIndex.open(spark, path)
+        assert again.buckets == 4
+        assert not any(r["kept"] for r in exact.exact_dedup(docs, again).collect())
+        assert again.table().count() == again.table().select("digest").distinct().count() == 200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    with pytest.raises(ValueError, match="4 buckets"):
+        exact.DigestIndex.open(spark, path, 8)
+
+
 def test_index_side_is_not_shuffled(spark, frame, root):
     from tests.helpers import plan_of
     index = exact.DigestIndex.open(spark, f"{root}/index", 4)

@@ -95,3 +95,17 @@ def test_short_repeats_stay(frame):
     rng = random.Random(1)
     rows = [(i, f"{_sentence(rng, 12)} {line} {_sentence(rng, 15)}") for i in range(30)]
     assert all(r["n_removed"] == 0 for r in check(frame(rows)).values())
+
+
+def test_sentence_ends():
+    """The ends are those of the plain, backtracking pattern; a long leader of dots takes linear time."""
+    import re
+    import time
+    plain = re.compile(r"[^\n]*?[.!?…。！？]+[\"'”’)\]]*(?=\s|$)|[^\n]+|\n", re.S)
+    rng = random.Random(8)
+    for _ in range(3000):
+        text = "".join(rng.choice("ab.!?…\"')] \n\t") for _ in range(rng.randrange(25)))
+        assert list(S._bounds(text)) == [m.span() for m in plain.finditer(text)]
+    began = time.perf_counter()
+    assert len(S.sentences("contents " + "." * 100_000 + "x and so on. " + ".x" * 100_000)) == 2
+    assert time.perf_counter() - began < 2

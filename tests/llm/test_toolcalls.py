@@ -17,11 +17,32 @@ def link(spark):
     return run
 
 
+KINDS = {"string": lambda v: isinstance(v, str), "integer": lambda v: type(v) is int,
+         "number": lambda v: type(v) in (int, float), "boolean": lambda v: type(v) is bool,
+         "object": lambda v: isinstance(v, dict), "array": lambda v: isinstance(v, list)}
+
+
+def member_errors(given, members, above=""):
+    out = []
+    for key, spec in members.items():
+        spec = {"kind": spec[0], "required": spec[1]} if isinstance(spec, tuple) else spec
+        name, value = above + key, given.get(key)
+        if key not in given:
+            out += [f"{name}: missing"] if spec.get("required") else []
+        elif not KINDS[spec["kind"]](value):
+            out.append(f"{name}: {spec['kind']} expected")
+        else:
+            if "items" in spec and not all(map(KINDS[spec["items"]], value)):
+                out.append(f"{name}: items of {spec['items']} expected")
+            if "one_of" in spec and value not in spec["one_of"]:
+                out.append(f"{name}: not one of {', '.join(map(str, spec['one_of']))}")
+            if "members" in spec:
+                out += member_errors(value, spec["members"], f"{name}.")
+    return out + [f"{above}{k}: unknown" for k in sorted(given) if k not in members]
+
+
 def errors(arguments, schema):
     """What the checks should say, from Python's own JSON reader."""
-    kinds = {"string": lambda v: isinstance(v, str), "integer": lambda v: type(v) is int,
-             "number": lambda v: type(v) in (int, float), "boolean": lambda v: type(v) is bool,
-             "object": lambda v: isinstance(v, dict), "array": lambda v: isinstance(v, list)}
     if schema is None:
         return "unknown tool"
     try:
@@ -30,13 +51,7 @@ def errors(arguments, schema):
         given = None
     if not isinstance(given, dict):
         return "arguments are not a JSON object"
-    out = []
-    for key, (kind, required) in schema.items():
-        if key not in given:
-            out += [f"{key}: missing"] if required else []
-        elif not kinds[kind](given[key]):
-            out.append(f"{key}: {kind} expected")
-    return "; ".join(out + [f"{k}: unknown" for k in sorted(given) if k not in schema])
+    return "; ".join(member_errors(given, schema))
 
 
 def sort_keys(text):
@@ -119,3 +134,29 @@ def test_kinds(link):
         said = errors(rows[int(r["call_id"])][4], schema["t"])
         if r["call_id"] != "7":  # beyond 64 bits a number is a decimal
             assert r["errors"] == said
+
+
+def test_members_of_members(link):
+    schema = {"t": {"o": {"kind": "object", "required": True, "members": {
+        "in": {"kind": "object", "members": {"x": ("integer", True)}}, "list": {"kind": "array", "items": "object"},
+        "unit": {"kind": "string", "one_of": ["km", "mi\"é"]}, "n": {"kind": "integer", "one_of": [1, 2]}}}}}
+    given = [{"o": {}}, {"o": {"in": {"x": 1}, "list": [{}, {"a": 1}], "unit": "mi\"é", "n": 2}},
+             {"o": {"in": {"x": "1", "y": 2}, "list": [{}, 3], "unit": "m", "n": 3, "zz": None}}, {"o": []}, {},
+             {"o": {"in": {}, "list": [], "unit": 5, "n": 1.5}, "p": 1}, {"o": {"list": [None]}}]
+    rows = link([(1, n, str(n), "t", json.dumps(g), None) for n, g in enumerate(given)], [], schema)
+    assert {int(r["call_id"]): r["errors"] for r in rows} == {
+        n: "; ".join(member_errors(g, schema["t"])) for n, g in enumerate(given)}
+
+
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    """A thousand calls, each after one, after several, or after all calls before it."""
+    rounds = []
+    monkeypatch.setattr(C, "written", lambda df, name, w=C.written: (rounds.append(name), w(df, name))[1])
+    rows = []
+    for conv, back in enumerate((1, 3, 40)):
+        rows += [(conv, n, f"c{n}", [f"c{m}" for m in range(max(0, n - back), n)]) for n in range(1000)]
+    rows += [(9, n, f"c{n}", [f"c{(n + 1) % 50}"]) for n in range(50)] + [(9, 99, "behind", ["c3"])]
+    calls = spark.createDataFrame(rows, "conv_id bigint, turn bigint, call_id string, after array<string>")
+    got = {(r["conv_id"], r["call_id"]): r["level"] for r in C.call_levels(calls).collect()}
+    assert got == {(c, i): int(i[1:]) if c < 9 else None for c, _, i, _ in rows}
+    assert rounds.count("call-state") <= 13
