@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import parse_iso, severity_level, to_iso, vertex_centroid
-from ..operators import ask, changes, events, gold, grounding, merge, radius, retrieval, zones
+from ..operators import ask, changes, events, gold, grounding, merge, nearest, radius, retrieval, zones
 from ..operators.requests import MAX_LIMIT, clean_output, split_queries, validate_queries
 from ..schemas import TOPIC, ZONE_LOOKUP
 from ..session import configure, scratch_dir
@@ -424,8 +424,7 @@ def near_beyond_the_line(spark, sf):
 @query
 def near_report(spark, sf):
     points = I.search_points(spark, sf)
-    pairs = radius.radius_join(points, _hazards(spark, sf))
-    hits = radius.nearest_per_point(pairs, limit=F.col("limit"))
+    hits = nearest.nearest_join(points, _hazards(spark, sf))
     report = radius.near_report(points, hits)
     return report.select("qid", "lat", "lon", "radius_km", "count", _listed().alias("hazards"))
 
@@ -435,12 +434,20 @@ def _listed():
         ":", h.event_id, h.distance_km.cast("string"))), "|")
 
 
+@query
+def nearest_versions(spark, sf):
+    """The eight versions nearest to every supplier's place, within 300 km."""
+    versions = _placed_versions(spark, sf)
+    hits = nearest.nearest_join(I.search_points(spark, sf).select("qid", "lat", "lon"), versions.drop("event_id"),
+                                300.0, 8, hazard_key="seq")
+    return hits.select("qid", "n", "seq", "distance_km")
+
+
 @query
 def near_requests(spark, sf):
     """Every request: its report, or the reason it is refused (limits above 500 among them)."""
     valid, refused = split_queries(I.requests(spark, sf))
-    pairs = radius.radius_join(valid.drop("question"), _hazards(spark, sf))
-    hits = radius.nearest_per_point(pairs, limit=F.col("limit"), most=MAX_LIMIT)
+    hits = nearest.nearest_join(valid.drop("question"), _hazards(spark, sf), most=MAX_LIMIT)
     report = radius.near_report(valid, hits).select("qid", "count", F.md5(_listed()).alias("hazards"))
     return report.unionByName(refused.select("qid", "reason"), allowMissingColumns=True)
 

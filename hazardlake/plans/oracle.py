@@ -360,6 +360,12 @@ SELECT p.qid, p.qlat AS lat, p.qlon AS lon, p.radius_km, count(r.event_id)::INTE
   coalesce(string_agg(concat(r.event_id, ':', round(d, 1)), '|' ORDER BY n)
     FILTER (r.event_id IS NOT NULL), '') AS hazards
 FROM points p LEFT JOIN ranked r ON r.qid = p.qid AND r.n <= p.lim GROUP BY ALL""",
+    "nearest_versions": f"""WITH {HZ}, {POINTS},
+ranked AS (
+  SELECT qid, seq, d, row_number() OVER (PARTITION BY qid ORDER BY d, seq) AS n
+  FROM (SELECT qid, seq, {_km('qlat', 'qlon', 'lat', 'lon')} AS d FROM points, hz WHERE lat IS NOT NULL)
+  WHERE d <= 300)
+SELECT qid, n::INTEGER AS n, seq, round(d, 1) AS distance_km FROM ranked WHERE n <= 8""",
     "near_requests": f"""WITH {HAZARDS},
 requests AS (
   SELECT event_id AS qid, (event_id % 250 - 125)::DOUBLE AS qlat, (event_id % 410 - 205)::DOUBLE AS qlon,

@@ -52,6 +52,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` as a table in the scratch folder: computed once, and safe when executors go."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def row_bytes(df: DataFrame) -> Column:
     """Approximate bytes of a row; nested types other than flat arrays count as too big."""
     width = F.lit(0).cast("long")
