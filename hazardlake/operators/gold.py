@@ -28,6 +28,27 @@ def gold_summary(levelled: DataFrame) -> DataFrame:
         F.count("*").alias("event_count"), F.max("occurred_at").alias("latest_event_at"))
 
 
+def summary_parts(enriched: DataFrame, part: str) -> DataFrame:
+    """The rollup and the coverage of each part of the rows: what is kept to renew them from changed parts alone."""
+    return enriched.groupBy(part, "source", "hazard_type", "severity_level").agg(
+        F.count("*").alias("event_count"), F.max("occurred_at").alias("latest_event_at"),
+        F.count_if(F.col("lat").isNotNull() & F.col("lon").isNotNull()).alias("map_ready"))
+
+
+def summary_of_parts(parts: DataFrame) -> DataFrame:
+    """`gold_summary` from the rollups of all parts, and how many events of each group can be put on a map."""
+    return parts.groupBy("source", "hazard_type", "severity_level").agg(
+        F.sum("event_count").alias("event_count"), F.max("latest_event_at").alias("latest_event_at"),
+        F.sum("map_ready").alias("map_ready"))
+
+
+def coverage_of_parts(parts: DataFrame) -> DataFrame:
+    """`coverage` from the rollups of all parts."""
+    zero = F.lit(0).cast("long")
+    return parts.agg(F.coalesce(F.sum("event_count"), zero).alias("total"),
+                     F.coalesce(F.sum("map_ready"), zero).alias("map_ready"))
+
+
 def geo_source_counts(hazards: DataFrame) -> DataFrame:
     return hazards.groupBy("geo_source").agg(F.count("*").alias("n"))
 

@@ -121,6 +121,12 @@ def _with_cells(reaching: DataFrame) -> DataFrame:
         .drop("_level", "_around", "_south", "_north", "_west", "_east", "_row", "_column"))
 
 
+def touched_cells(points: DataFrame, radius: Column) -> tuple[DataFrame, list[int]]:
+    """The points once per grid cell their circle may touch (`_cell`), and the grid levels in use (eleven at most)."""
+    reaching = _with_reach(points, radius)
+    return _with_cells(reaching), sorted(r[0] for r in reaching.select("_level").distinct().collect())
+
+
 def _survey(reaching: DataFrame, rows: int) -> tuple[list[int], bool]:
     """The grid levels in use (eleven at most), and whether the touched cells fit a broadcast."""
     cells = ((F.col("_north") - F.col("_south") + 1)

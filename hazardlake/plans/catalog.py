@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import parse_iso, severity_level, to_iso, vertex_centroid
 from ..operators import ask, changes, events, gold, grounding, merge, nearest, radius, retrieval, zones
 from ..operators.requests import MAX_LIMIT, clean_output, split_queries, validate_queries
-from ..schemas import TOPIC, ZONE_LOOKUP
+from ..schemas import EVENT, TOPIC, ZONE_LOOKUP
 from ..session import configure, scratch_dir
 from ..sources import bus, feeds, lookup, tables
-from ..streaming import layers, publish
+from ..streaming import layers, publish, versions
 from . import inputs as I
 from .flagship import nearest_from_raw
-from .pipeline import run_pipeline
+from .pipeline import refresh_parts, run_pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -166,6 +166,13 @@ def zone_fill_joined(spark, sf):
     return filled.select("seq", "geo_source", "lat", "lon")
 
 
+@query
+def zone_fill_by_lists(spark, sf):
+    """The form for a large lookup: rows joined to the lists of zones they name."""
+    filled = zones.zone_fill(I.hazard_versions(spark, sf), I.zone_lookup(spark, sf), broadcast_rows=0)
+    return filled.select("seq", "geo_source", "lat", "lon")
+
+
 @query
 def gold_hazards(spark, sf):
     return _hazards(spark, sf).withColumns({
@@ -251,11 +258,9 @@ def refresh_zone_lookup(spark, sf):
 
 @query
 def zone_lookup_file(spark, sf):
-    """The lookup written as one JSON object and read back; a missing file adds nothing."""
+    """The lookup written as JSON objects and read back; a missing file adds nothing."""
     path = scratch_dir(spark, "lookup")
-    entry = F.struct("zone_url", F.array("lat", "lon"))
-    body = F.to_json(F.map_from_entries(F.collect_list(entry)))
-    I.zone_lookup(spark, sf).agg(body.alias("value")).write.text(path)
+    lookup.write_zone_lookup(I.zone_lookup(spark, sf), path)
     return lookup.read_zone_lookup(spark, path).unionByName(
         lookup.read_zone_lookup(spark, path + "-none")).select(*ZONE_LOOKUP.fieldNames())
 
@@ -311,15 +316,18 @@ def read_feed(spark, sf):
     return features.select("position", "id", "properties.updated", "properties.mag")
 
 
+def _records(records):
+    """Every field of the records' JSON bodies, and how many fields each body has."""
+    body = F.col("value").cast("string")
+    fields = F.from_json(body, EVENT)
+    return records.select(F.col("key").cast("string").alias("key"), "topic", F.size(F.json_object_keys(body)).alias("k"),
+                          fields.alias("e")).select("key", "topic", "k", "e.*").withColumns({
+                              "severity": F.round("severity", 6), "zones": F.array_join("zones", ",")})
+
+
 @query
 def bus_records(spark, sf):
-    records = bus.to_bus(I.event_texts(I.hazard_versions(spark, sf)), "earthquakes")
-    body = F.col("value").cast("string")
-    return records.select(
-        F.col("key").cast("string").alias("key"), "topic",
-        F.get_json_object(body, "$.url").alias("url"),
-        F.get_json_object(body, "$.zones[1]").alias("zone2"),
-        F.json_object_keys(body).alias("k")).withColumn("k", F.size("k").cast("int"))
+    return _records(bus.to_bus(I.event_texts(I.hazard_versions(spark, sf)), "earthquakes"))
 
 
 @query
@@ -330,8 +338,7 @@ def bus_roundtrip(spark, sf):
     for source, topic in TOPIC.items():
         bus.write_bus(rows.filter(F.col("source") == source), topic, f"{path}/{topic}")
     read = bus.read_bus(spark, [f"{path}/{t}" for t in TOPIC.values()], streaming=False)
-    return read.groupBy("topic", F.col("key").cast("string").alias("key")).agg(
-        F.count("*").alias("n"), F.countDistinct("partition").alias("partitions"))
+    return _records(read)
 
 
 @query
@@ -348,6 +355,16 @@ def change_log_chunked(spark, sf):
         rows, "id", "updated", "poll", ("position",), rows_per_chunk=max(1, rows.count() // 12))
 
 
+@query
+def change_log_one_poll(spark, sf):
+    """All rows under one landing time and told apart by a text: cut into ranges of the whole order."""
+    rows = I.versions_by_poll(spark, sf)
+    landed = rows.withColumns({"file": F.format_string("f%012d", "poll"), "poll": F.lit(7).cast("bigint")})
+    tagged = changes.detect_changes(landed, "id", "updated", "poll", ("file", "position"),
+                                    rows_per_chunk=max(1, rows.count() // 12))
+    return tagged.select("id", "file", "position", "updated", "kind")
+
+
 @query
 def poll_report(spark, sf):
     return changes.poll_report(change_log(spark, sf))
@@ -521,22 +538,51 @@ def geo_semantic_topk(spark, sf):
     return _retrieved(spark, sf).withColumn("description", F.md5("description"))
 
 
+@query
+def geo_semantic_topk_bounded(spark, sf):
+    """The same rows with bounds on what parts of the grid cells can hold."""
+    found = retrieval.bounded_semantic_topk(_questions(spark, sf), _vector_hazards(spark, sf))
+    return found.withColumn("description", F.md5("description"))
+
+
 @query
 def geo_semantic_topk_own_k(spark, sf):
     return _retrieved(spark, sf, None).select("qid", "n", "event_id", "similarity")
 
 
-@query
-def embed_events(spark, sf):
-    """Hashed, weighted, unit-length text vectors of every document."""
-    docs = I.spread_table(spark, sf, "documents").select(
+def _documents_as_events(spark, sf):
+    return I.spread_table(spark, sf, "documents").select(
         F.col("doc_id").alias("event_id"), F.col("source").alias("title"),
         F.col("text").alias("description"))
-    vec = F.col("vec")
-    norm = F.sqrt(F.aggregate(vec, F.lit(0.0), lambda a, x: a + x * x))
-    return retrieval.embed_events(docs).select(
+
+
+def _millionths(vec):
+    return F.transform(vec, lambda x: F.round(x * 1e6).cast("bigint"))
+
+
+@query
+def embed_events(spark, sf):
+    """Hashed, weighted, unit-length text vectors of every document: all places and weights that are not zero."""
+    vec = _millionths(F.col("vec"))
+    places = F.filter(F.transform(vec, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda p: p.x != 0)
+    listed = F.array_join(F.transform(places, lambda p: F.concat_ws(":", p.i, p.x)), ",")
+    return retrieval.embed_events(_documents_as_events(spark, sf), dtype="float64").select(
         "event_id", F.length("text").alias("text_chars"), F.size("vec").alias("dimensions"),
-        F.round(norm, 3).alias("norm"))
+        F.size(places).alias("terms"), F.md5(listed).alias("weights"))
+
+
+def _letter_counter():
+    """Stands in for a sentence model: how often each letter from a to z is in a text."""
+    letters = [chr(c) for c in range(ord("a"), ord("z") + 1)]
+    return lambda texts: [[float(t.count(c)) for c in letters] for t in texts]
+
+
+@query
+def embed_plugged_in(spark, sf):
+    """The same documents through a model that is loaded in the tasks."""
+    embedder = retrieval.model_embedder(_letter_counter)
+    return retrieval.embed_events(_documents_as_events(spark, sf), embedder).select(
+        "event_id", F.array_join(_millionths(F.col("vec")), ",").alias("weights"))
 
 
 @query
@@ -640,6 +686,34 @@ def stream_first_seen(spark, sf):
         stream, state, checkpoint, sink, key="id", order=("poll", "position")))
 
 
+@query
+def rollup_two_drops(spark, sf):
+    """Rollup and coverage kept per bucket of silver, renewed after each of two drops from the buckets they touched."""
+    root = scratch_dir(spark, "rollup")
+    rows = I.hazard_versions(spark, sf).filter(F.col("hazard_type") != "test message")
+    half = I.hazard_versions(spark, sf).count() // 2
+    for batch, part in enumerate((F.col("seq") < half, F.col("seq") >= half)):
+        tables.upsert_batch(rows.filter(part), batch, f"{root}/silver")
+        refresh_parts(spark, f"{root}/silver", f"{root}/parts", I.zone_lookup(spark, sf))
+    parts = tables.read_table(spark, f"{root}/parts")
+    return gold.summary_of_parts(parts).withColumns(_iso("latest_event_at"))
+
+
+@query
+def stream_versions(spark, sf):
+    """The same two drops through Spark's keyed state, with a restart between."""
+    root = scratch_dir(spark, "versions")
+    rows = I.versions_by_poll(spark, sf)
+    half = rows.agg(F.max("poll")).first()[0] // 2
+    for part in (F.col("poll") <= half, F.col("poll") > half):
+        rows.filter(part).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+        changed = versions.changed_versions(stream, "id", order=("poll", "position"))
+        (changed.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").outputMode("append")
+         .trigger(availableNow=True).start(f"{root}/out").awaitTermination())
+    return spark.read.parquet(f"{root}/out")
+
+
 @query
 def feeds_to_summary(spark, sf):
     """Both feeds from landed files to the rollup."""

@@ -219,6 +219,66 @@ alerts AS (
     CASE WHEN event_id % 10 <> 0 THEN concat('z', event_id % 60) ELSE '' END AS zones
   FROM events)"""
 
+
+
+# Two halves of the versions, each reduced to its newest row per id, the second upserted into the first.
+MERGED = f"""{HZ},
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY event_id, seq < {HALF}
+    ORDER BY updated_at DESC NULLS LAST, ingested_at DESC NULLS LAST) AS rn
+  FROM hz WHERE hazard_type <> 'test message'),
+b0 AS (SELECT * FROM ranked WHERE rn = 1 AND seq < {HALF}),
+b1 AS (SELECT * FROM ranked WHERE rn = 1 AND seq >= {HALF}),
+merged AS (
+  SELECT CASE WHEN new THEN s.event_id ELSE t.event_id END AS event_id,
+    CASE WHEN new THEN s.updated_at ELSE t.updated_at END AS updated_at,
+    CASE WHEN new THEN s.url ELSE t.url END AS url
+  FROM (SELECT t, s, t.event_id IS NULL OR coalesce(s.updated_at >= t.updated_at, false) AS new
+        FROM b0 t FULL JOIN b1 s ON s.event_id = t.event_id))"""
+EVENT_TEXT = "trim(concat(source, '. ', text), chr(9) || chr(10) || chr(13) || ' ')"
+_MASK = "4294967295::UBIGINT"
+
+
+def _mixed(k: str) -> str:
+    """One block of MurmurHash3: multiplied, rotated by 15 bits, multiplied."""
+    first = f"(({k} * 3432918353::UBIGINT) & {_MASK})"
+    return f"(((({first} << 15) | ({first} >> 17)) & {_MASK}) * 461845907::UBIGINT & {_MASK})"
+
+
+def _byte(i: str) -> str:
+    return f"coalesce(ascii(nullif(substr(w, ({i})::INTEGER, 1), '')), 0)::UBIGINT"
+
+
+# Words of a document, each hashed to one of 384 places (MurmurHash3 with seed 42 over its bytes), and their counts.
+TERMS = f"""texts AS (SELECT doc_id AS event_id, {EVENT_TEXT} AS text, length({EVENT_TEXT}) AS chars FROM documents),
+tokens AS (SELECT event_id, unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) AS w FROM texts),
+words AS (SELECT DISTINCT w FROM tokens),
+blocks AS (
+  SELECT w, list_transform(range(0, length(w) // 4), lambda i: {' + '.join(
+      f"{_byte(f'4 * i + {j + 1}')} * {256 ** j}::UBIGINT" for j in range(4))}) AS whole,
+    {' + '.join(f"{_byte(f'4 * (length(w) // 4) + {j + 1}')} * {256 ** j}::UBIGINT" for j in range(3))} AS tail FROM words),
+mixed AS (
+  SELECT w, xor(xor(list_reduce(list_transform(whole, lambda k: {_mixed('k')}), lambda h, k:
+    ((((xor(h, k) << 13) | (xor(h, k) >> 19)) & {_MASK}) * 5::UBIGINT + 3864292196::UBIGINT) & {_MASK}, 42::UBIGINT),
+    {_mixed('tail')}), length(w)::UBIGINT) AS h0 FROM blocks),
+step1 AS (SELECT w, (xor(h0, h0 >> 16) * 2246822507::UBIGINT) & {_MASK} AS h1 FROM mixed),
+step2 AS (SELECT w, (xor(h1, h1 >> 13) * 3266489909::UBIGINT) & {_MASK} AS h2 FROM step1),
+hashed AS (SELECT w, xor(h2, h2 >> 16)::BIGINT AS h FROM step2),
+places AS (SELECT w, (h - CASE WHEN h >= 2147483648 THEN 4294967296 ELSE 0 END + 384::BIGINT * 6000000) % 384 AS place FROM hashed),
+term_counts AS (
+  SELECT event_id, place, count(*)::DOUBLE AS n FROM tokens JOIN places ON places.w = tokens.w GROUP BY event_id, place),
+frequencies AS (SELECT place, count(*)::DOUBLE AS df FROM term_counts GROUP BY place)"""
+
+
+def _records(topic: str) -> str:
+    """All fields of a record's body; NULL ones are not in it."""
+    return f"""WITH {HZ}
+SELECT event_id AS key, {topic} AS topic,
+  12 + (title IS NOT NULL)::INT + (severity IS NOT NULL)::INT - 2 * (lat IS NULL)::INT AS k,
+  event_id, source, hazard_type, title, round(severity, 6) AS severity, lat, lon, place, {_iso('occurred_at')},
+  {_iso('updated_at')}, {_iso('ingested_at')}, url, description, concat(zone1, ',', zone2) AS zones FROM hz"""
+
+
 ORACLE = {
     "bronze_decode": f"""
 SELECT concat('k', user_id) AS event_key,
@@ -263,6 +323,8 @@ part AS (SELECT * REPLACE (CASE WHEN seq % 5 <> 0 THEN lon END AS lon) FROM hz),
 filled AS ({_filled('part')})
 SELECT seq, geo_source, lat, lon FROM filled""",
     "zone_fill_joined": f"""WITH {HZ}, {Z}, filled AS ({_filled('hz')})
+SELECT seq, geo_source, lat, lon FROM filled""",
+    "zone_fill_by_lists": f"""WITH {HZ}, {Z}, filled AS ({_filled('hz')})
 SELECT seq, geo_source, lat, lon FROM filled""",
     "gold_hazards": f"""WITH {HAZARDS}
 SELECT event_id, source, hazard_type, round(severity, 6) AS severity, severity_level, lat, lon,
@@ -323,15 +385,12 @@ SELECT event_id // 1000 AS poll, CASE WHEN event_id // 1000 % 3 = 0 THEN 'docume
 FROM events GROUP BY 1, 2""",
     "read_feed": f"""WITH {QUAKES}
 SELECT position, event_id AS id, t1 AS updated, severity AS mag FROM quakes""",
-    "bus_records": f"""WITH {HZ}
-SELECT event_id AS key, 'earthquakes' AS topic, url, zone2,
-  12 + (title IS NOT NULL)::INT + (severity IS NOT NULL)::INT
-  - 2 * (lat IS NULL)::INT AS k FROM hz""",
-    "bus_roundtrip": f"""WITH {HZ}
-SELECT CASE WHEN source = 'usgs' THEN 'earthquakes' ELSE 'weather-alerts' END AS topic,
-  event_id AS key, count(*) AS n, 1::BIGINT AS partitions FROM hz GROUP BY ALL""",
+    "bus_records": _records("'earthquakes'"),
+    "bus_roundtrip": _records("CASE WHEN source = 'usgs' THEN 'earthquakes' ELSE 'weather-alerts' END"),
     "change_log": f"WITH {KINDS} SELECT * FROM kinds",
     "change_log_chunked": f"WITH {KINDS} SELECT * FROM kinds",
+    "change_log_one_poll": f"""WITH {KINDS}
+SELECT id, format('f{{:012d}}', poll) AS file, position, updated, kind FROM kinds""",
     "poll_report": f"""WITH {KINDS}
 SELECT poll, count(*) AS total, count(*) FILTER (kind = 'new') AS new,
   count(*) FILTER (kind = 'revised') AS revised, count(*) FILTER (kind = 'unchanged') AS unchanged
@@ -406,12 +465,29 @@ SELECT vec_id, round(sim, 3) AS similarity
 FROM (SELECT vec_id, list_cosine_similarity(vec, (SELECT q FROM mean)) AS sim FROM vectors)
 ORDER BY sim DESC, vec_id LIMIT 10""",
     "geo_semantic_topk": f"""WITH {RETRIEVED}
+SELECT * REPLACE (md5(description) AS description) FROM retrieved""",
+    "geo_semantic_topk_bounded": f"""WITH {RETRIEVED}
 SELECT * REPLACE (md5(description) AS description) FROM retrieved""",
     "geo_semantic_topk_own_k": f"""WITH {RETRIEVED}
 SELECT qid, n::INTEGER AS n, event_id, round(sim, 3) AS similarity FROM ranked WHERE n <= k""",
-    "embed_events": """
-SELECT doc_id AS event_id,
-  length(trim(concat(source, '. ', text), chr(9) || chr(10) || chr(13) || ' '))::INTEGER AS text_chars, 384 AS dimensions, 1.0::DOUBLE AS norm FROM documents""",
+    "embed_events": f"""WITH {TERMS},
+vectors AS (
+  SELECT d.event_id, d.chars, t.place, t.n * ln((s.docs + 1.0::DOUBLE) / (f.df + 1.0::DOUBLE)) AS w
+  FROM texts d JOIN term_counts t ON t.event_id = d.event_id JOIN frequencies f ON f.place = t.place,
+    (SELECT count(*)::DOUBLE AS docs FROM texts) s),
+weighted AS (
+  SELECT event_id, place, round(w / sqrt(sum(w * w) OVER (PARTITION BY event_id)) * 1e6::DOUBLE)::BIGINT AS x
+  FROM vectors WHERE w <> 0)
+SELECT d.event_id, d.chars::INTEGER AS text_chars, 384 AS dimensions, count(x)::INTEGER AS terms,
+  md5(coalesce(string_agg(concat(place, ':', x), ',' ORDER BY place), '')) AS weights
+FROM texts d LEFT JOIN weighted w ON w.event_id = d.event_id AND x <> 0 GROUP BY d.event_id, d.chars""",
+    "embed_plugged_in": f"""WITH texts AS (SELECT doc_id AS event_id, {EVENT_TEXT} AS text FROM documents),
+counts AS (
+  SELECT event_id, list_transform(range(97, 123), lambda c: length(text) - length(replace(text, chr(c::INTEGER), '')))::DOUBLE[] AS v
+  FROM texts),
+sized AS (SELECT *, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM counts)
+SELECT event_id, array_to_string(list_transform(v, lambda x:
+  CASE WHEN norm > 0 THEN round(x / norm * 1e6::DOUBLE) ELSE 0 END::BIGINT), ',') AS weights FROM sized""",
     "citations": f"""WITH {RETRIEVED}
 SELECT qid, n, event_id, source, hazard_type, place, distance_km, url FROM retrieved""",
     "prompt_text": f"WITH {PROMPTS} SELECT qid, prompt FROM prompts",
@@ -438,21 +514,14 @@ SELECT qid, question, lat, lon, radius_km, reason, false AS used_llm, '' AS cita
 FROM checked""",
     "indexed_vectors": f"""WITH {HAZARDS} SELECT count(*) AS vectors FROM silver
 WHERE seq % (SELECT count(*) FROM embeddings) IN (SELECT vec_id FROM embeddings)""",
-    "stream_silver": f"""WITH {HZ},
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY event_id, seq < {HALF}
-    ORDER BY updated_at DESC NULLS LAST, ingested_at DESC NULLS LAST) AS rn
-  FROM hz WHERE hazard_type <> 'test message'),
-b0 AS (SELECT * FROM ranked WHERE rn = 1 AND seq < {HALF}),
-b1 AS (SELECT * FROM ranked WHERE rn = 1 AND seq >= {HALF}),
-merged AS (
-  SELECT CASE WHEN new THEN s.event_id ELSE t.event_id END AS event_id,
-    CASE WHEN new THEN s.updated_at ELSE t.updated_at END AS updated_at,
-    CASE WHEN new THEN s.url ELSE t.url END AS url
-  FROM (SELECT t, s, t.event_id IS NULL OR coalesce(s.updated_at >= t.updated_at, false) AS new
-        FROM b0 t FULL JOIN b1 s ON s.event_id = t.event_id))
+    "stream_silver": f"""WITH {MERGED}
 SELECT event_id, {_iso('updated_at')}, url FROM merged""",
+    "rollup_two_drops": f"""WITH {MERGED},
+kept AS (SELECT h.* FROM hz h JOIN merged m ON m.url = h.url), {Z}, filled AS ({_filled('kept')})
+SELECT source, hazard_type, severity_level, count(*) AS event_count, {_iso('max(occurred_at)', 'latest_event_at')},
+  count(*) FILTER (lat IS NOT NULL AND lon IS NOT NULL) AS map_ready FROM filled GROUP BY ALL""",
     "stream_changes": f"WITH {KINDS} SELECT * FROM kinds WHERE kind <> 'unchanged'",
+    "stream_versions": f"WITH {KINDS} SELECT * FROM kinds WHERE kind <> 'unchanged'",
     "stream_first_seen": f"""WITH {VERSIONS}
 SELECT id, poll, position, updated FROM (SELECT *, row_number() OVER (
   PARTITION BY id ORDER BY poll, position) AS rn FROM versions) WHERE rn = 1""",
