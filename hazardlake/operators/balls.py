@@ -1,9 +1,9 @@
 """Ranking by meaning within a radius, with bounds that spare comparisons.
 
-The rows of a grid cell are split into parts by the signs of a few fixed projections of their vectors; a part is a
-ball: its centre, and the least cosine of a member to it. From a question's cosine to the centre follows the best
-cosine that any member can have. The balls of best promise are compared first; the k-th cosine found there rules
-out, without a doubt, every ball whose best possible cosine is below it.
+The rows of a grid cell are split into parts by the signs of a few fixed projections of their vectors, and each part
+into rings by the angle to its centre. From a question's angle to the centre follows the best cosine that any
+member of a ring can have. The rings of best promise are compared first; the k-th cosine found there rules out,
+without a doubt, every ring whose best possible cosine is below it.
 """
 
 from __future__ import annotations
@@ -18,10 +18,12 @@ from ..functions import dot, haversine_km, l2_normalize
 from ..session import stored
 from .radius import DEFAULT_RADIUS_KM, grid_cell, touched_cells
 
-# A cell is split into as many parts as it takes for a ball to hold about so many rows.
-BALL_ROWS = 64
+# A cell is split into as many parts as it takes for one to hold about so many rows.
+PART_ROWS = 32
+RING_DEGREES = 10
+RING = ("_cell", "_part", "_ring")
 MOST_BITS = 12
-# The first comparisons take the balls of best promise, up to so many times k rows.
+# The first comparisons take the rings of best promise, up to so many times k rows.
 FIRST = 8
 SLACK = 1e-9
 
@@ -36,41 +38,47 @@ def _signs(vec: Column, dimensions: int) -> Column:
 
 
 def _filed(rows: DataFrame, levels: list[int], dimensions: int) -> DataFrame:
-    """(event_id, _cell, _part): the cell of every row at every level in use, and its ball there."""
+    """(event_id, _cell, _part): the cell of every row at every level in use, and its part of it."""
     cells = [grid_cell(F.col("lat"), F.col("lon"), F.lit(level)) for level in levels]
     none = F.array().cast("array<bigint>")
     filed = stored(rows.select("event_id", _signs(F.col("vec"), dimensions).alias("_signs"), F.explode(
         F.array(*cells) if cells else none).alias("_cell")), "ball-cells")
-    bits = F.floor(F.log2(F.greatest(F.col("n") / BALL_ROWS, F.lit(1.0)))).cast("int")
+    bits = F.floor(F.log2(F.greatest(F.col("n") / PART_ROWS, F.lit(1.0)))).cast("int")
     counts = filed.groupBy("_cell").agg(F.count("*").alias("n")).select(
         "_cell", F.least(bits, F.lit(MOST_BITS)).alias("_bits"))
     return stored(filed.join(counts, "_cell").select(
         "event_id", "_cell", F.expr("_signs & (shiftleft(1, _bits) - 1)").alias("_part")), "ball-members")
 
 
-def _balls(members: DataFrame, rows: DataFrame) -> DataFrame:
-    """(_cell, _part, _n, _centre, _least): every ball with its size, unit centre and least cosine to it."""
-    vectors = rows.select("event_id", "vec")
-    with_vec = members.join(vectors, "event_id")
+def _rings(members: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(event_id, _cell, _part, _ring), and every ring with its size, its part's unit centre, and the least and the
+    greatest cosine of a member to it."""
+    with_vec = members.join(rows.select("event_id", "vec"), "event_id")
     centres = stored(with_vec.groupBy("_cell", "_part").agg(
-        F.count("*").alias("_n"), vector_to_array(Summarizer.mean(array_to_vector("vec"))).alias("_mean"))
-        .select("_cell", "_part", "_n", l2_normalize(F.col("_mean")).alias("_centre")), "ball-centres")
-    least = with_vec.join(centres.drop("_n"), ["_cell", "_part"]).groupBy("_cell", "_part").agg(
-        F.min(dot(F.col("vec"), F.col("_centre"))).alias("_least"))
-    return centres.join(least, ["_cell", "_part"])
-
-
-def _best_possible(to_centre: Column, least: Column) -> Column:
-    """The greatest cosine a member can have: that of the difference of two angles, 1 inside the ball."""
+        vector_to_array(Summarizer.mean(array_to_vector("vec"))).alias("_mean"))
+        .select("_cell", "_part", l2_normalize(F.col("_mean")).alias("_centre")), "ball-centres")
+    angle = F.degrees(F.acos(F.greatest(F.least("_cosine", F.lit(1.0)), F.lit(-1.0))))
+    placed = stored(with_vec.join(centres, ["_cell", "_part"]).withColumn("_cosine", dot(F.col("vec"), F.col("_centre"))).select(
+        "event_id", "_cell", "_part", "_cosine", F.floor(angle / RING_DEGREES).cast("int").alias("_ring")), "ring-members")
+    rings = placed.groupBy("_cell", "_part", "_ring").agg(
+        F.count("*").alias("_n"), F.min("_cosine").alias("_least"), F.max("_cosine").alias("_greatest"))
+    return placed.drop("_cosine"), rings.join(centres, ["_cell", "_part"])
+
+
+def _best_possible(to_centre: Column, least: Column, greatest: Column) -> Column:
+    """The greatest cosine to a question that a member of a ring can have: that of the difference of the angles to
+    the ring's nearer edge, 1 inside the ring."""
     def sine(c):
         return F.sqrt(F.greatest(1 - c * c, F.lit(0.0)))
 
-    return F.when(to_centre >= least, F.lit(1.0)).otherwise(to_centre * least + sine(to_centre) * sine(least)) + SLACK
+    edge = F.when(to_centre > greatest, greatest).otherwise(least)
+    inside = to_centre.between(least, greatest)
+    return F.when(inside, F.lit(1.0)).otherwise(to_centre * edge + sine(to_centre) * sine(edge)) + SLACK
 
 
 def _compared(chosen: DataFrame, members: DataFrame, rows: DataFrame, questions: DataFrame) -> DataFrame:
-    """(qid, event_id, distance_km, similarity) of all rows in the chosen balls that are within the radius."""
-    keys = chosen.select("qid", "_cell", "_part").join(members, ["_cell", "_part"]).select("qid", "event_id")
+    """(qid, event_id, distance_km, similarity) of all rows in the chosen rings that are within the radius."""
+    keys = chosen.select("qid", *RING).join(members, list(RING)).select("qid", "event_id")
     asked = questions.select("qid", "qvec", F.col("lat").alias("_qlat"), F.col("lon").alias("_qlon"), F.col("radius_km").alias("_r"))
     pairs = keys.join(rows, "event_id").join(asked, "qid").withColumn(
         "distance_km", haversine_km(F.col("_qlat"), F.col("_qlon"), F.col("lat"), F.col("lon")))
@@ -94,10 +102,11 @@ def ball_pairs(questions: DataFrame, hazards: DataFrame, k: int, radius_km: floa
     first = rows.select(F.size("vec")).first()
     cells, levels = touched_cells(asked.select("qid", "lat", "lon", "radius_km"), F.col("radius_km"))
     members = _filed(rows, levels, first[0] if first else 0)
-    promise = _best_possible(dot(F.col("qvec"), F.col("_centre")), F.col("_least"))
-    met = stored(cells.select("qid", "_cell").join(_balls(members, rows), "_cell").join(asked.select("qid", "qvec"), "qid")
-                 .select("qid", "_cell", "_part", "_n", promise.alias("_best")), "ball-bounds")
-    order = Window.partitionBy("qid").orderBy(F.desc("_best"), "_cell", "_part")
+    members, rings = _rings(members, rows)
+    promise = _best_possible(dot(F.col("qvec"), F.col("_centre")), F.col("_least"), F.col("_greatest"))
+    met = stored(cells.select("qid", "_cell").join(rings, "_cell").join(asked.select("qid", "qvec"), "qid")
+                 .select("qid", *RING, "_n", promise.alias("_best")), "ball-bounds")
+    order = Window.partitionBy("qid").orderBy(F.desc("_best"), "_ring", "_cell", "_part")
     before = F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ranked = stored(met.withColumn("_before", before), "ball-order")
     early = ranked.filter(F.col("_before") < FIRST * k)

@@ -69,7 +69,6 @@ def test_merge_latest(spark):
     expect = [("eq", 10, "new"), ("fresh", None, "new"), ("gone", 3, "old"), ("late", 5, "old"),
               ("newer", 6, "new"), ("null", None, "old"), ("only", 1, "old")]
     assert rows(merge.merge_latest(old, new)) == expect
-    assert rows(merge.merge_latest(old, new, few=True)) == expect
     plan = plan_of(merge.merge_latest(old, new))
     assert plan.count("Scan ExistingRDD") == 2 * 2  # in the tree, and in the list below it
     assert rows(merge.merge_latest(old, new.select("tag", "updated_at", "event_id"))) == expect
@@ -103,9 +102,8 @@ def test_folding_equals_upserting_one_by_one(spark):
     tail = frames[3].withColumn("b", F.lit(3))
     for i in (4, 5):
         tail = tail.unionByName(frames[i].withColumn("b", F.lit(i)))
-    for few in (False, True):
-        folded = merge.fold_onto(base, tail, "b", few=few)
-        assert sorted(map(tuple, folded.collect())) == sorted(expect)
+    folded = merge.fold_onto(base, tail, "b")
+    assert sorted(map(tuple, folded.collect())) == sorted(expect)
 
 
 def test_first_seen_and_new_only(spark):

@@ -19,7 +19,14 @@ def centres(spark):
         "zone_url string, lat double, lon double")
 
 
-def test_zone_fill(spark, centres):
+@pytest.fixture(params=["in place", "joined"])
+def fill(request):
+    """Both forms: the lookup sent to the rows, and rows joined to the lists they name."""
+    options = {} if request.param == "in place" else {"broadcast_rows": -1}
+    return lambda events, lookup_rows: zones.zone_fill(events, lookup_rows, **options)
+
+
+def test_zone_fill(spark, centres, fill):
     events = spark.createDataFrame([
         ("first hit", None, None, ["miss", "A", "B"]), ("order", None, None, ["B", "A"]),
         ("half", 1.0, None, ["B"]), ("other half", None, 2.0, ["B"]), ("point", 1.0, 2.0, ["B"]),
@@ -27,7 +34,7 @@ def test_zone_fill(spark, centres):
         ("all miss", None, None, ["miss", None]), ("no centre", None, None, ["bad", "B"]),
         ("half, no hit", 1.0, None, ["miss"]),
     ], SHAPE)
-    got = zones.zone_fill(events, centres)
+    got = fill(events, centres)
     assert got.columns[0] == "event_id"
     assert {r.event_id: (r.geo_source, r.lat, r.lon) for r in got.collect()} == {
         "first hit": ("zone_centroid", 0.0, 0.0), "order": ("zone_centroid", 5.0, 6.0),
@@ -38,31 +45,49 @@ def test_zone_fill(spark, centres):
     }
 
 
-def test_zone_fill_equals_a_plain_loop(spark):
+def test_zone_fill_equals_a_plain_loop(spark, fill):
     table = {f"u{i}": (float(i), float(-i)) for i in range(0, 400, 3)}
     names = lambda i: [f"u{(i * k) % 400}" for k in range(1, 1 + i % 6)]
     events = spark.createDataFrame([(str(i), None, None, names(i)) for i in range(500)], SHAPE)
     centres = spark.createDataFrame(
         [(u, *c) for u, c in table.items()], "zone_url string, lat double, lon double")
     got = {r.event_id: (r.lat, r.lon)
-           for r in zones.zone_fill(events, centres).collect()}
+           for r in fill(events, centres).collect()}
     assert got == {str(i): next((table[z] for z in names(i) if z in table), (None, None))
                    for i in range(500)}
 
 
-def test_empty_lookup(spark):
+def test_empty_lookup(spark, fill):
     events = spark.createDataFrame([("a", None, None, ["A"]), ("b", 1.0, 1.0, ["A"])], SHAPE)
     empty = spark.createDataFrame([], "zone_url string, lat double, lon double")
-    assert rows(zones.zone_fill(events, empty), "event_id", "geo_source") == [
+    assert rows(fill(events, empty), "event_id", "geo_source") == [
         ("a", None), ("b", "point")]
 
 
-def test_repeated_zones_have_one_answer(spark):
+def test_repeated_zones_have_one_answer(spark, fill):
     events = spark.createDataFrame([("a", None, None, ["A"])], SHAPE)
     twice = [("A", 2.0, 2.0), ("A", 1.0, 9.0), ("A", 1.0, 1.0), ("A", None, 0.0)]
     for order in (twice, twice[::-1]):
         lookup_rows = spark.createDataFrame(order, "zone_url string, lat double, lon double")
-        assert [(r.lat, r.lon) for r in zones.zone_fill(events, lookup_rows).collect()] == [(1.0, 1.0)]
+        assert [(r.lat, r.lon) for r in fill(events, lookup_rows).collect()] == [(1.0, 1.0)]
+
+
+def test_rows_are_read_once_and_stay_where_they_are(spark, centres, root):
+    spark.createDataFrame([(str(i), None, None, ["A"] if i % 2 else None) for i in range(50)], SHAPE).write.parquet(root + "/e")
+    plan = plan_of(zones.zone_fill(spark.read.parquet(root + "/e"), centres))
+    rows_part = plan.split("===== Subqueries =====")[0]
+    assert rows_part.count("Scan parquet") == 2 * 1 and "Exchange" not in rows_part and "Join" not in rows_part
+
+
+def test_crowded_and_rare_lists(spark):
+    """A third of the rows have one list, the others one each: no row without a need or with that list is shuffled."""
+    table = {f"u{i}": (float(i % 90), float(-i % 180)) for i in range(0, 3000, 2)}
+    data = [(str(i), None if i % 5 else 1.0, None if i % 5 else 2.0, ["u0", "u2"] if i % 3 == 0 else [f"u{i}", "u4"])
+            for i in range(3000)]
+    events = spark.createDataFrame(data, SHAPE)
+    centres = spark.createDataFrame([(u, *c) for u, c in table.items()], "zone_url string, lat double, lon double")
+    got = {r.event_id: (r.lat, r.lon) for r in zones.zone_fill(events, centres, broadcast_rows=0).collect()}
+    assert got == {i: (lat, lon) if lat else next(table[z] for z in names if z in table) for i, lat, lon, names in data}
 
 
 def _silver(spark):
@@ -117,6 +142,14 @@ def test_lookup_file_and_table(spark, root):
     assert rows(lookup.read_zone_lookup(spark, path)) == [
         ("https://z/A", 1.5, 2.0), ("https://z/C", 3.0, 4.0)]
     assert lookup.read_zone_lookup(spark, path + "-none").count() == 0
+    lines = os.path.join(root, "lines")
+    written = spark.createDataFrame([("A", 1.0, 2.0), ("B\"é", 3.5, 4.0), ("C", None, None)], "zone_url string, lat double, lon double")
+    lookup.write_zone_lookup(written, lines)
+    assert len([f for f in os.listdir(lines) if f.endswith(".txt")]) > 1  # by several tasks
+    assert rows(lookup.read_zone_lookup(spark, lines).filter("lat is not null")) == [("A", 1.0, 2.0), ("B\"é", 3.5, 4.0)]
+    with open(path, "w") as f:
+        json.dump({"one line": [1, 2], "too": [3, 4]}, f)
+    assert rows(lookup.read_zone_lookup(spark, path)) == [("one line", 1.0, 2.0), ("too", 3.0, 4.0)]
     table = os.path.join(root, "lookup")
     batch = spark.createDataFrame([("A", 1.0, 2.0), ("B", None, None)],
                                   "zone_url string, lat double, lon double")

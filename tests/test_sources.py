@@ -117,24 +117,58 @@ def test_upserted_table(spark, root):
     assert rows(tables.read_table(spark, path)) == expect
     assert not tables.upsert_batch(second.withColumn("tag", F.lit("again")), 1, path)
     assert rows(tables.read_table(spark, path)) == expect
-    tables.compact_table(spark, path)
-    assert len(tables.newest_commit(spark, path).layers) == 1
-    assert rows(tables.read_table(spark, path)) == expect
-    assert not tables.upsert_batch(second, 1, path)
     third = _batch(spark, ("a", 3, 0, "2"), ("n", 9, 1, "2"), ("c", 1, 1, "2"))
     assert tables.upsert_batch(third, 2, path)
     assert rows(tables.read_table(spark, path)) == [
         ("a", 3, 0, "2"), ("b", 5, 1, "0"), ("c", None, 1, "1"), ("n", None, 1, "0")]
 
 
-def test_layers_are_folded_when_many(spark, root):
+def _files(path):
+    return {os.path.relpath(os.path.join(folder, f), path) for folder, _, names in os.walk(f"{path}/data")
+            for f in names if f.endswith(".parquet")}
+
+
+def test_an_upsert_rewrites_only_the_buckets_of_its_keys(spark, root):
+    path = os.path.join(root, "t")
+    tables.upsert_batch(_batch(spark, *[(f"k{i}", 1, 0, "old") for i in range(200)]), 0, path, buckets=8)
+    first = tables.read_pointer(spark, path)
+    before = _files(path)
+    tables.upsert_batch(_batch(spark, ("k7", 2, 0, "new"), ("k7", 0, 0, "older")), 1, path)
+    second = tables.read_pointer(spark, path)
+    moved = [b for b in range(8) if first.at[b] != second.at[b]]
+    assert len(moved) == 1 and second.at[moved[0]] == 1 and second.batch_id == 1
+    kept = {f for f in before if f"{tables.BUCKET}={moved[0]}/" not in f}
+    assert kept < before <= _files(path) and len(_files(path) - before) == 1
+    got = rows(tables.read_table(spark, path), "event_id", "tag")
+    assert got == sorted((f"k{i}", "new" if i == 7 else "old") for i in range(200))
+    # Readers of the first pointer still find their files; the next write deletes them.
+    assert tables.read_buckets(spark, path, first).count() == 200
+    tables.upsert_batch(_batch(spark, ("k8", 2, 0, "new")), 2, path)
+    assert not [f for f in _files(path) if f.startswith(f"data/write=0/{tables.BUCKET}={moved[0]}/")]
+    assert tables.read_table(spark, path).count() == 200
+
+
+def test_upserts_equal_a_replay(spark, root):
+    """Random batches, NULL and equal versions among them, against one process going through them."""
+    import random
+    rng = random.Random(6)
+    path, stored = os.path.join(root, "t"), {}
+    for n in range(5):
+        data = {f"k{rng.randrange(30)}": rng.choice([None, 1, 2, 3]) for _ in range(12)}
+        tables.upsert_batch(_batch(spark, *[(k, v, 0, str(n)) for k, v in data.items()]), n, path, buckets=4)
+        for k, v in data.items():
+            old = stored.get(k)
+            if old is None or (v is not None and old[0] is not None and v >= old[0]):
+                stored[k] = (v, str(n))
+    assert {r.event_id: (r.updated_at, r.tag) for r in tables.read_table(spark, path).collect()} == stored
+
+
+def test_a_bucket_may_become_empty(spark, root):
     path = os.path.join(root, "t")
-    for i in range(6):
-        tables.upsert_batch(_batch(spark, ("a", i, 0, str(i)), (f"k{i}", 1, 0, "x")), i, path,
-                            max_layers=2)
-        assert len(tables.newest_commit(spark, path).layers) <= 2
-    assert rows(tables.read_table(spark, path), "event_id", "tag") == [
-        ("a", "5"), *[(f"k{i}", "x") for i in range(6)]]
+    tables.upsert_batch(_batch(spark, ("a", 1, 1, "x"), ("b", 1, 1, "x")), 0, path, buckets=1)
+    none = tables.read_buckets(spark, path, tables.read_pointer(spark, path)).filter("event_id = 'none'")
+    tables.replace_buckets(none, [0], path, "event_id")
+    assert tables.read_pointer(spark, path).at == [-1] and tables.read_table(spark, path).count() == 0
 
 
 def test_readers_keep_their_view(spark, root):
@@ -152,23 +186,8 @@ def test_readers_keep_their_view(spark, root):
 def test_unfinished_write_is_not_seen(spark, root):
     path = os.path.join(root, "t")
     tables.overwrite_table(_batch(spark, ("a", 1, 1, "old")), path)
-    _batch(spark, ("lost", 1, 1, "x")).write.parquet(f"{path}/data/layer=1-dead")
-    open(f"{path}/_commits/half.tmp", "w").write("{")
+    _batch(spark, ("lost", 1, 1, "x")).write.parquet(f"{path}/data/write=1")
+    open(f"{path}/pointer-half.tmp", "w").write("{")
     assert rows(tables.read_table(spark, path), "event_id") == [("a",)]
     tables.overwrite_table(_batch(spark, ("b", 1, 1, "new")), path)
     assert rows(tables.read_table(spark, path), "event_id") == [("b",)]
-
-
-def test_old_versions_are_deleted_on_demand(spark, root):
-    path = os.path.join(root, "t")
-    for i in range(4):
-        tables.upsert_batch(_batch(spark, (f"k{i}", 1, 0, "x")), i, path, max_layers=3)
-    before = rows(tables.read_table(spark, path))
-    _batch(spark, ("busy", 1, 1, "x")).write.parquet(f"{path}/data/layer=99-writing")
-    tables.expire_versions(spark, path, keep=1)
-    assert sorted(os.listdir(f"{path}/data")) == sorted(
-        [*tables.newest_commit(spark, path).layers, "layer=99-writing"])
-    assert len([f for f in os.listdir(f"{path}/_commits") if f.endswith(".json")]) == 1
-    assert rows(tables.read_table(spark, path)) == before
-    assert tables.upsert_batch(_batch(spark, ("k9", 1, 0, "x")), 4, path)
-    assert tables.read_table(spark, path).count() == 5
