@@ -29,23 +29,32 @@ SHARD_IDS = 1 << 21
 END_ID = 2
 
 
+# Ids below this are classed by a table.
+SMALL = 1 << 16
+_LIMITS = np.array([1 << bits for _, bits in SELECTORS], np.uint64)
+_SMALL_CLASS = np.searchsorted(_LIMITS, np.arange(SMALL, dtype=np.uint64), "right").astype(np.uint8)
+
+
 def _choices(ids: np.ndarray) -> np.ndarray:
     """For every place the selector that packs most ids from there on; 0 where one must escape."""
     n = len(ids)
-    choice = np.zeros(n, np.int8)
-    for selector in range(len(SELECTORS), 0, -1):
-        count, bits = SELECTORS[selector - 1]
-        fits = ids < np.uint64(1 << bits)
-        if count == 1:
-            choice[fits] = selector
-            continue
-        many = int(np.count_nonzero(fits))
-        if many == n >= count:
-            choice[:n - count + 1] = selector
-        elif many >= count:
-            run = np.zeros(n + 1, np.int32)
-            np.cumsum(fits, out=run[1:])
-            choice[:n - count + 1][run[count:] - run[:-count] == count] = selector
+    if n and ids.max() < SMALL:
+        widest = _SMALL_CLASS[ids]
+    else:
+        widest = np.searchsorted(_LIMITS, ids, "right").astype(np.uint8)
+    # The narrowest selector that each id fits, then that all of 2, 3, ... ids from a place on fit: windows of a
+    # size follow from two overlapping ones of a smaller size.
+    choice = np.where(widest < len(SELECTORS), len(SELECTORS), 0).astype(np.int8)
+    size = 1
+    for index in range(len(SELECTORS) - 2, -1, -1):
+        count = SELECTORS[index][0]
+        if count > n:
+            break
+        while size < count:
+            step = min(size, count - size)
+            widest = np.maximum(widest[:-step], widest[step:])
+            size += step
+        choice[:n - count + 1][widest <= index] = index + 1
     return choice
 
 

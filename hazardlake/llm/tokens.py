@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from itertools import chain, repeat
 
 import numpy as np
 import regex
@@ -46,18 +47,11 @@ def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return flat[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
 
 
-class _Places(dict):
-    """Where pieces are remembered; -1 for others."""
-
-    def __missing__(self, piece: str) -> int:
-        return -1
-
-
 class _Memory:
     """Pieces and their ids, laid end to end."""
 
     def __init__(self):
-        self.known = _Places()
+        self.known: dict[str, int] = {}
         self.starts = self.sizes = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
@@ -167,7 +161,7 @@ class PieceEncoder:
             at = np.array([old[p] for p in again], np.int64)
             sizes = self.old.sizes[at]
             self.new.add(again, sizes, _gather(self.old.flat, self.old.starts[at], sizes))
-        unseen = [p for p in fresh if p not in old]
+        unseen = [p for p in fresh if p not in old] if again else fresh
         words = [p for p in unseen if p.isalpha()]
         others = [p for p in unseen if not p.isalpha()]
         if words:
@@ -175,21 +169,24 @@ class PieceEncoder:
         if others:
             self.new.add(others, *self._encoded(list(map(self._literal, others))))
 
+    def _places(self, pieces: list[str]) -> np.ndarray:
+        """Where the pieces are remembered; unknown ones are learned first."""
+        at = np.fromiter(map(self.new.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        gaps = np.flatnonzero(at < 0)
+        if len(gaps):
+            missing = [pieces[i] for i in gaps.tolist()]
+            self._learn(list(dict.fromkeys(missing)))
+            at[gaps] = np.fromiter(map(self.new.known.__getitem__, missing), np.int64, len(missing))
+        return at
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.new.known) > MOST_PIECES // 2:
             self.new, self.old = _Memory(), self.new
         cut = [self.pieces(t) for t in texts]
-        find = self.new.known.__getitem__
-        places = [np.fromiter(map(find, ps), np.int64, len(ps)) for ps in cut]
-        gaps = [np.flatnonzero(at < 0).tolist() for at in places]
-        fresh = {ps[i] for ps, gap in zip(cut, gaps) for i in gap}
-        if fresh:
-            self._learn(list(fresh))
-        for ps, at, gap in zip(cut, places, gaps):
-            if gap:
-                at[gap] = [find(ps[i]) for i in gap]
-        new = self.new
-        return [_gather(new.flat, new.starts[at], new.sizes[at]) for at in places]
+        at = self._places(list(chain.from_iterable(cut)))
+        sizes = self.new.sizes[at]
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([len(ps) for ps in cut], dtype=np.int64)]
+        return np.split(_gather(self.new.flat, self.new.starts[at], sizes), ends[:-1]) if texts else []
 
 
 def encoder(path: str, spaces: bool) -> PieceEncoder:

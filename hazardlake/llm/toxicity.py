@@ -2,7 +2,7 @@
 
 Texts are folded first: compatibility forms, look-alike letters of other scripts and digits or
 signs put for letters become plain lower-case letters. Lexicon entries are words and beginnings of
-words; what a fixed list of harmless phrases covers does not count. The summed weights are
+words; what a harmless phrase covers, of a fixed list or learned, does not count. The summed weights are
 normalised by length, and a logistic curve turns them into a score. Entries, weights and curve are
 learned from labelled rows.
 """
@@ -32,7 +32,12 @@ LOOKALIKES = dict(zip("аеорсухіјѕԁһԛԝкмтвнАВЕКМНОРС
                       "aeopcyxijsdhqwkmtbhabekmhopctyxijsabeiknoptuxabezhikmnoptyx", strict=True))
 # Digits and signs put for letters.
 SUBSTITUTES = dict(zip("013457@$!|", "oieastasii", strict=True))
-# Harmless phrases that hold words of an English lexicon.
+# A phrase is learned as harmless when at least so many rows hold it and at most this share of them, and of all
+# rows, is toxic; so many phrases at most.
+LEAST_CLEAN = 5
+MOST_TOXIC_SHARE = 0.1
+LEARNED_PHRASES = 2_000
+# Harmless phrases that hold words of an English lexicon; others are learned.
 EXCEPTIONS = ("trash can", "trash bin", "recycle trash", "clown fish", "clown car", "sore loser rule",
               "pond scum", "soap scum", "moron city", "pathetic fallacy")
 _SUBSTITUTE = str.maketrans(SUBSTITUTES)
@@ -112,16 +117,39 @@ class Lexicon:
                 excused.append((start, end))
             elif weight > best.get(start, 0.0):  # one hit per word, the weightiest entry
                 best[start] = weight
-        total = sum(w for s, w in best.items()
-                    if not any(a <= s < b for a, b in excused))
+        total = sum(best[s] for s in _outside(sorted(best), sorted(excused)))
         return float(np.log1p(total)), float(np.log1p(100 * total / (folded.count(" ") or 1)))
 
+    def phrases(self, text: str) -> set[str]:
+        """The word pairs of a text in which a hit begins."""
+        automaton, folded = self.automaton(), fold(text)
+        if not len(automaton):
+            return set()
+        hits = {end - size + 1 for end, (size, weight) in automaton.iter(folded) if weight is not None}
+        words, at, out = folded.split(), 0, set()
+        for i, word in enumerate(words):
+            if at in hits:  # the place of the space before the word
+                out.update(" ".join(words[j:j + 2]) for j in (i - 1, i) if 0 <= j < len(words) - 1)
+            at += len(word) + 1
+        return out
+
     def score(self, text: str) -> float:
         a, b = self.features(text)
         c = self.curve
         return float(1 / (1 + np.exp(-np.clip(c[0] + c[1] * a + c[2] * b, -30, 30))))
 
 
+def _outside(starts: list[int], spans: list[tuple[int, int]]):
+    """The sorted `starts` that no span (start, end exclusive), sorted by its start, covers; one pass over both."""
+    at, end = 0, -1
+    for start in starts:
+        while at < len(spans) and spans[at][0] <= start:
+            end = max(end, spans[at][1])
+            at += 1
+        if start >= end:
+            yield start
+
+
 def held_out(doc_id) -> F.col:
     """Rows never learned from: CRC-32 of the id as text is divisible by 5; a null id is none."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
@@ -179,7 +207,30 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Lexicon
         .withColumn("log_chance", log_chance).filter(F.col("log_chance") < limit) \
         .select("term", weight.alias("weight")).orderBy(F.desc("weight"), "term").limit(LEXICON_ENTRIES)
     lexicon = Lexicon({r["term"]: float(r["weight"]) for r in chosen.collect()})
-    return Lexicon(lexicon.weights, curve=_curve(rows, lexicon))
+    phrases = _phrase_counts(rows, lexicon).filter(
+        (F.col("rows") >= LEAST_CLEAN) & (F.col("toxic") <= F.col("rows") * F.lit(min(base, MOST_TOXIC_SHARE))))
+    learned = [r["phrase"] for r in phrases.orderBy(F.desc("rows"), "phrase").limit(LEARNED_PHRASES).collect()]
+    lexicon = Lexicon(lexicon.weights, EXCEPTIONS + tuple(learned))
+    return Lexicon(lexicon.weights, lexicon.exceptions, _curve(rows, lexicon))
+
+
+def _phrase_counts(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """(phrase, toxic, rows): in how many rows a word with a hit stands before or behind the same other word, and how
+    many of these are toxic."""
+    def run(batches):
+        counts: dict[str, list[int]] = {}
+        for batch in batches:
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for phrase in lexicon.phrases(text):
+                    seen = counts.setdefault(phrase, [0, 0])
+                    seen[0] += toxic
+                    seen[1] += 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(counts), pa.string())]
+            + [pa.array([c[i] for c in counts.values()], pa.int64()) for i in (0, 1)], ["phrase", "toxic", "rows"])
+
+    return rows.mapInArrow(run, "phrase string, toxic bigint, rows bigint").groupBy("phrase").agg(
+        F.sum("toxic").alias("toxic"), F.sum("rows").alias("rows"))
 
 
 def _curve(rows: DataFrame, lexicon: Lexicon) -> tuple[float, ...]:
@@ -229,7 +280,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, lexicon: Lexicon | None =
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of `docs` that are not predicted to be toxic, with all their columns."""
+    """The rows of `docs` that are not predicted to be toxic, with all their columns.
+
+    A null text counts as empty; rows with null ids, repeated rows and extra columns are kept or dropped by
+    their text alone; ids that repeat in `labels` count as toxic if one of their rows is. An empty table gives
+    no rows, and without labels every row stays.
+    """
     lexicon = learn(docs, labels)
 
     @F.pandas_udf("boolean")

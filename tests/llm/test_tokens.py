@@ -103,6 +103,103 @@ def test_neighbours_share_windows():
     assert all(len(k) == 1 for k in kinds.values())
 
 
+def brute_bm25(ids, queries):
+    """Scores of all documents for each query, from the definition."""
+    n, mean = len(ids), np.mean([len(i) for i in ids])
+    df = np.zeros(1 << 16)
+    for i in ids:
+        df[np.unique(i)] += 1
+    out = []
+    for q in queries:
+        mask = np.zeros(1 << 16, bool)
+        mask[q] = True
+        scores = []
+        for doc in ids:
+            terms, tf = np.unique(doc, return_counts=True)
+            hit = mask[terms]
+            idf = np.log1p((n - df[terms[hit]] + .5) / (df[terms[hit]] + .5))
+            scores.append(float((idf * tf[hit] * 2.2 / (tf[hit] + 1.2 * (.25 + .75 * len(doc) / mean))).sum()))
+        out.append(np.array(scores))
+    return out
+
+
+def check_neighbours(df, every, monkeypatch, tokens):
+    monkeypatch.setattr(packing, "SEARCH_TOKENS", tokens)
+    monkeypatch.setattr(packing, "BLOCK_QUERIES", 3)
+    rows = [(r["doc_id"], r["text"] or "") for r in df.select("doc_id", "text").collect()]
+    ids = [np.array(i) for i in whole(WORD, [t for _, t in rows])]
+    asked = [n for n, (i, _) in enumerate(rows) if i is not None and i % every == 0]
+    expect = defaultdict(list)
+    for n, scores in zip(asked, brute_bm25(ids, [ids[n] for n in asked])):
+        expect[rows[n][0]].append(sorted(np.round(np.delete(scores, n), 8))[::-1][:10])
+    got = defaultdict(lambda: defaultdict(list))
+    for r in packing.bm25_neighbours(df, WORD, 10, every).collect():
+        got[r["query_id"]][r["query_row"]].append((r["rank"], r["score"]))
+    found = {q: [[round(s, 8) for _, s in sorted(hits)] for hits in each.values()] for q, each in got.items()}
+    assert {q: sorted(v) for q, v in found.items()} == {q: sorted(list(map(float, x)) for x in v) for q, v in expect.items()}
+
+
+def test_search_of_all_shards(documents, monkeypatch):
+    check_neighbours(documents, 40, monkeypatch, 20_000)
+
+
+def test_search_of_odd_rows(odd, none, monkeypatch):
+    check_neighbours(odd, 1, monkeypatch, 1 << 20)
+    assert packing.bm25_neighbours(none, WORD).collect() == []
+
+
+def shard_recall(spark, sf):
+    """The share of the true ten neighbours of ids divisible by 100 that lie in the seed's own shard."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    true = defaultdict(set)
+    for r in packing.bm25_neighbours(docs, WORD).collect():
+        true[r["query_id"]].add(r["doc_id"])
+    shard = {r["doc_id"]: r["sequence_id"] >> 40 for r in packing.pack(docs, WORD).select("doc_id", "sequence_id").collect()}
+    return np.mean([shard[q] == shard[d] for q, found in true.items() for d in found])
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_neighbours_lie_in_the_shard(spark, sf):
+    assert shard_recall(spark, sf) >= 0.9
+
+
+def test_segments_of_the_lexical_order():
+    assert packing.segments([3, 3, 3, 3], [.9, .1, .9], 6) == [[0, 1], [2, 3]]
+    assert packing.segments([3, 3, 3, 3], [.9, .1, .9], 100) == [[0, 1, 2, 3]]
+    assert packing.segments([9, 1, 1, 1], [.1, .2, .3], 5) == [[0], [1, 2, 3]]
+    assert packing.segments([0], [], 5) == [[0]]
+    # Two languages, each with two most frequent words: those of one language follow each other.
+    idf = np.ones(100)
+    sample = [(c, np.array([c, 50 * (c % 2) + 10 + i % 7, 50 * (c % 2) + 20])) for i in range(40) for c in (1, 2, 3, 4)]
+    order, links = packing.lexical_order(sample, idf)
+    assert [c % 2 for c in order] in ([1, 1, 0, 0], [0, 0, 1, 1]) and links[1] < min(links[0], links[2])
+
+
+def test_large_places_are_dealt_to_ranges(documents, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_TOKENS", 20_000)
+    check_packing(documents)
+
+
+def test_candidates_of_a_seed(documents):
+    """Of the ten best in a shard, those that the rarest ids give; and every unused document comes, once."""
+    ids = [np.array(i, np.uint16) for i in whole(WORD, [r["text"] for r in documents.collect()])]
+    df = np.zeros(1 << 16)
+    for i in ids:
+        df[np.unique(i)] += 1
+    idf = np.log1p((len(ids) - df + .5) / (df + .5))
+    shard = packing.Bm25Shard(ids, idf, float(np.mean([len(i) for i in ids])))
+    unused = np.ones(len(ids), bool)
+    hits = 0
+    for n in range(0, len(ids), 10):
+        unused[:] = True
+        unused[[n, (n + 1) % len(ids)]] = False
+        order = list(shard.nearest(ids[n], unused))
+        assert sorted(order) == np.flatnonzero(unused).tolist()
+        best = np.argsort(-np.where(unused, shard.scores(ids[n]), -1), kind="stable")[:10]
+        hits += len(set(order[:10]) & set(best.tolist()))
+    assert hits >= 0.9 * 10 * len(range(0, len(ids), 10))
+
+
 def test_document_frequencies(documents):
     tokens = packing.token_ids(documents, WORD)
     got = {r["id"]: r["df"] for r in packing.document_frequencies(tokens).collect()}

@@ -69,3 +69,37 @@ def test_training_rows_are_bounded(spark, frame):
     docs = frame([(i, "x") for i in range(300)])
     labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id bigint, toxic int")
     assert X.training_rows(docs, labels, 50).count() == 50
+
+
+def test_matching_equals_a_plain_search(spark):
+    """Weights of the hits, by trying every entry and phrase at every place."""
+    import math
+    import random
+    rng = random.Random(7)
+    lexicon = X.Lexicon({" ab ": 2.0, " ab": .5, " abc": 1.5, " c ": 1.0, " ba ": .25, " b c ": 3.0},
+                        ("c ab", "abcd ab", "ab b", "b c", "no such"))
+    texts = ["", "ab", "c ab ab", "abcd ab abcd"] + [" ".join(
+        "".join(rng.choice("abcd") for _ in range(rng.randrange(1, 5))) for _ in range(rng.randrange(40))) for _ in range(400)]
+    for text in texts:
+        folded = X.fold(text)
+        excused = [(i, i + len(X.fold(p)) - 1) for p in lexicon.exceptions for i in range(len(folded)) if folded.startswith(X.fold(p), i)]
+        total = 0.0
+        for i in range(len(folded)):
+            hits = [w for e, w in lexicon.weights.items() if folded.startswith(e, i)]
+            if hits and not any(a <= i < b for a, b in excused):
+                total += max(hits)
+        a, b = lexicon.features(text)
+        assert math.isclose(a, math.log1p(total), abs_tol=1e-12)
+        assert math.isclose(b, math.log1p(100 * total / (folded.count(" ") or 1)), abs_tol=1e-12)
+        assert len(list(X._outside(list(range(30)), sorted(excused)))) == sum(not any(a <= i < b for a, b in excused) for i in range(30))
+
+
+def test_harmless_phrases_are_learned(spark, frame):
+    """A toxic word that, beside one other word, is found in clean rows only."""
+    texts = [(i, f"vile word{i % 7} text" if i % 2 == 0 else f"vile cheese word{i % 5}" if i % 4 == 1 else f"nice word{i % 7} text")
+             for i in range(800)]
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i, _ in texts], "doc_id bigint, toxic int")
+    lexicon = X.learn(frame(texts), labels)
+    assert " vile " in lexicon.weights and "vile cheese" in lexicon.exceptions
+    assert lexicon.features("some vile cheese here")[0] == 0 < lexicon.features("some vile man here")[0]
+    assert lexicon.phrases("a vile man, vile") == {"a vile", "vile man", "man vile"}
