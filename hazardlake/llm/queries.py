@@ -58,7 +58,7 @@ def op9_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spotsigs.compare(spotsigs.fingerprint_documents(table(spark, sf_dir, "documents")))
+    return spotsigs.with_classes(table(spark, sf_dir, "documents"))
 
 
 def op11_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,8 +3,8 @@
 A text is folded to lower-case words between single spaces. Where content follows a common word (the
 last of a run of them is the anchor), the anchor and the next two content words are a chain; the
 hashes of its different chains are a text's signatures. Likeness is the Jaccard index of two
-signature sets, which their lengths alone bound: sets are filed by length, and pairs whose
-lengths are too far apart are pruned without being compared.
+signature sets, which their lengths alone bound: sets are filed by length parts, and pairs whose
+lengths are too far apart are pruned without being compared. `spot_join` finds the classes of near copies.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import prepare, shuffle_partitions, text_or_empty
+from .common import prepare, shuffle_partitions, text_or_empty, written
+from .spot_join import LEAST, length_part, spot_classes
 
 # Common words of English, German, French and Spanish.
 COMMON = tuple((
@@ -61,12 +62,6 @@ def with_signatures(rows: DataFrame, text: str, name: str, common: tuple = COMMO
         .withColumn(name, found).drop("_folded", "_chains")
 
 
-def length_part(size: Column, least: float) -> Column:
-    """The number of the part that holds sets of this length. Sets that are alike by `least` or more
-    lie in the same part or in neighbouring ones."""
-    return F.when(size == 0, -2).otherwise(F.floor(F.log(size.cast("double")) / math.log(1 / least)))
-
-
 def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
     """Jaccard index of two signature sets, two empty ones being alike. With a bound, sets that lie
     more than one length part apart, or whose lengths keep the index below it, are pruned: 0."""
@@ -146,9 +141,22 @@ def digest(signature_set: Column) -> Column:
     return F.concat(F.size(signature_set), F.lit("-"), F.md5(F.array_join(signature_set, ",")))
 
 
-def compare(rows: DataFrame, least: float = 0.0) -> DataFrame:
+def with_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
+    """The report of `compare` on `docs`, and `class_id`: the smallest doc_id among the documents that are linked, over
+    any number of steps, by signature sets whose Jaccard index is `least` or more.
+
+    Equal sets are one class, also empty ones. A class of rows without ids has a null id. See
+    `fingerprint_documents` for nulls, ties and repeated rows.
+    """
+    rows = fingerprint_documents(docs)
+    report = written(compare(rows, carried=("own",)), "spot-report")
+    return report.drop("own").join(spot_classes(report, least), "fingerprint")
+
+
+def compare(rows: DataFrame, least: float = 0.0, carried: tuple = ()) -> DataFrame:
     """The columns of a report on the rows of `fingerprint_documents`; see `likeness`."""
     return rows.select(
+        *carried,
         "doc_id", "n_chars", "edited_sha256", digest(F.col("own")).alias("fingerprint"),
         digest(F.col("edited")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("edited"), least).alias("near_edited"),

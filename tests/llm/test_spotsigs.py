@@ -3,7 +3,8 @@ import re
 
 import pytest
 
-from hazardlake.llm import spotsigs as P
+from hazardlake.llm import spot_join, spotsigs as P
+from hazardlake.llm.spot_join import length_part
 
 
 def chains(text):
@@ -68,8 +69,8 @@ def test_pruning_only_drops_what_length_rules_out(spark, least):
     sets = [list(range(n)) for n in (0, 1, 2, 4, 5, 9, 10, 50)]
     df = spark.createDataFrame([(a, b) for a in sets for b in sets], "a array<bigint>, b array<bigint>")
     for r in df.select("a", "b", P.likeness(F.col("a"), F.col("b"), least).alias("x"),
-                       P.length_part(F.size("a"), least or .5).alias("p"),
-                       P.length_part(F.size("b"), least or .5).alias("q")).collect():
+                       length_part(F.size("a"), least or .5).alias("p"),
+                       length_part(F.size("b"), least or .5).alias("q")).collect():
         true = jaccard(set(r["a"]), set(r["b"]))
         assert abs(r["x"] - true) < 1e-12 or r["x"] == 0.0 and true < least
         if true >= (least or .5):
@@ -79,5 +80,64 @@ def test_pruning_only_drops_what_length_rules_out(spark, least):
 def test_runs_without_python_and_shuffles_texts_once(documents):
     from tests.helpers import plan_of
     plan = plan_of(P.compare(P.fingerprint_documents(documents)))
+    classes = plan_of(P.with_classes(documents))
+    assert "Python" not in classes and "Arrow" not in classes
     assert "Python" not in plan and "Arrow" not in plan
     assert plan.count("\n(") and plan.count("Arguments: hashpartitioning") == 1
+
+
+def check_classes(df, sets_of=chains):
+    """Classes by flooding over all pairs of different sets."""
+    rows = [(r["doc_id"], r["text"] or "") for r in df.select("doc_id", "text").collect()]
+    sets = [frozenset(sets_of(t)) for _, t in rows]
+    left, root = set(sets), {}
+    while left:
+        todo = [left.pop()]
+        group = []
+        while todo:
+            now = todo.pop()
+            group.append(now)
+            near = [o for o in left if 5 * min(len(now), len(o)) >= 4 * max(len(now), len(o)) and 5 * len(now & o) >= 4 * len(now | o)]
+            left.difference_update(near)
+            todo += near
+        ids = [i for (i, _), s in zip(rows, sets) if s in group and i is not None]
+        root.update({s: min(ids, default=None) for s in group})
+    got = P.with_classes(df).collect()
+    assert sorted(map(repr, ((r["doc_id"], r["class_id"]) for r in got))) == sorted(
+        map(repr, ((i, root[s]) for (i, _), s in zip(rows, sets))))
+    return len(set(root.values()))
+
+
+def test_classes_of_the_whole_table(documents):
+    check_classes(documents)
+
+
+def test_classes_of_odd_rows(odd, none):
+    check_classes(odd)
+    assert P.with_classes(none).collect() == []
+
+
+@pytest.mark.parametrize("small,hubs,levels", [(16, 4, 4), (2, 1, 2), (2, 1, 5), (3, 2, 1)])
+def test_classes_of_crowds(frame, monkeypatch, small, hubs, levels):
+    """Groups of near copies, a template with its own words in every text, and texts of few signatures."""
+    import random
+    monkeypatch.setattr(spot_join, "SMALL", small)
+    monkeypatch.setattr(spot_join, "HUBS", hubs)
+    monkeypatch.setattr(spot_join, "LEVELS", levels)
+    rng = random.Random(small)
+
+    def text(words):
+        return " ".join(f"the {w} of more{w}" for w in words)
+
+    rows = []
+    for group in range(4):
+        base = [f"g{group}x{i}" for i in range(30)]
+        for _ in range(25):
+            words = list(base)
+            for _ in range(rng.choice([0, 1, 2, 3, 6])):
+                words[rng.randrange(30)] = f"new{rng.randrange(10 ** 6)}"
+            rows.append(text(words))
+    rows += [text([f"tpl{i}" for i in range(20)] + [f"own{n}x{i}" for i in range(rng.choice([3, 5, 8]))]) for n in range(40)]
+    rows += [text([f"few{i}" for i in range(n)]) for n in range(1, 9) for _ in range(2)] + ["the same text", "", "   "]
+    rng.shuffle(rows)
+    assert 40 < check_classes(frame(list(enumerate(rows)))) < 120
