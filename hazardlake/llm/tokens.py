@@ -195,3 +195,8 @@ def encoder(path: str, spaces: bool) -> PieceEncoder:
     if key not in _encoders:
         _encoders[key] = PieceEncoder(path, spaces)
     return _encoders[key]
+
+
+def forget() -> None:
+    """Drop the encoders of this worker process, with all they remember."""
+    _encoders.clear()
