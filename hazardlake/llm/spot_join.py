@@ -1,8 +1,9 @@
 """Classes of near copies among signature sets: a prefix-filtered Jaccard join that never pairs a whole group.
 
-Sets are ordered by one global order of signatures, frequent ones last. Sets whose Jaccard index reaches a bound share a
-signature among their first few, and their lengths lie in the same part or in neighbouring ones: these signatures and
-length parts are the cells. Small cells are compared pair by pair. In a large cell all members are compared with a few
+Signatures have one global order, rare ones first. Sets whose Jaccard index reaches a bound share a signature
+among their first few, and their lengths lie in the same part or in neighbouring ones: these signatures and length
+parts are the cells. A signature that only one set has comes first of all and makes no cell, so that most sets of
+dissimilar texts are in none. Small cells are compared pair by pair. In a large cell all members are compared with a few
 hubs, which links groups of near copies; members that are still apart are filed anew by one more signature
 each, which similar sets share too, so that the cells get smaller. Every candidate is judged by its whole set.
 """
@@ -22,7 +23,8 @@ SMALL = 16
 HUBS = 4
 # How often large cells are filed anew by one more signature; what is still apart then is compared pair by pair.
 LEVELS = 4
-# Which signatures are frequent is learned from about so many sets (by a hash); it changes the speed only.
+# Signatures that a thousandth of all sets hold, by a sample of about so many sets (by a hash), come last in the order
+# without being counted; so many at most. This changes the speed only.
 SAMPLE_SETS = 20_000
 FREQUENT = 4_000
 EPSILON = 1e-9
@@ -34,27 +36,42 @@ def length_part(size: Column, least: float) -> Column:
     return F.when(size == 0, -2).otherwise(F.floor(F.log(size.cast("double")) / math.log(1 / least) + EPSILON))
 
 
-def _frequent(sets: DataFrame) -> list[int]:
-    """The signatures that most sets of a bounded sample hold, ten at least."""
-    every = max(1, sets.count() // SAMPLE_SETS)
+def _frequent(sets: DataFrame, total: int) -> list[int]:
+    every = max(1, total // SAMPLE_SETS)
     chosen = sets.filter(F.pmod(F.xxhash64("rid"), F.lit(every)) == 0)
-    counted = chosen.select(F.explode("sig").alias("x")).groupBy("x").agg(F.count("*").alias("n")).filter("n >= 10")
-    return [r["x"] for r in counted.orderBy(F.desc("n"), "x").limit(FREQUENT).collect()]
+    counted = chosen.select(F.explode("sig").alias("x")).groupBy("x").agg(F.count("*").alias("n"))
+    many = counted.filter(F.col("n") > max(10, total // every // 1000))
+    return [r["x"] for r in many.orderBy(F.desc("n"), "x").limit(FREQUENT).collect()]
 
 
-def _ordered(sig: Column, frequent: list[int]) -> Column:
-    """A set's signatures in the global order: ascending, frequent ones behind all others."""
-    if not frequent:
-        return sig
-    return F.concat(F.filter(sig, lambda x: ~x.isin(frequent)), F.filter(sig, lambda x: x.isin(frequent)))
+def _candidates(sets: DataFrame, least: float) -> DataFrame:
+    """(rid, n, sig, prefix, alone, tail): the sets that can be alike with another one. The first `prefix` signatures of
+    the order decide; `alone` counts those that no other set has, `tail` holds the others in order."""
+    sized = sets.withColumn("n", F.size("sig")).filter(F.col("n") >= least / (1 - least) - EPSILON)
+    frequent = _frequent(sized, sized.count())
+
+    def known(x):
+        return x.isin(frequent) if frequent else F.lit(False)
+
+    # One shuffle serves the counts and the join: both use the same columns of the same rows.
+    dealt = sized.select("rid", F.explode(F.filter("sig", lambda x: ~known(x))).alias("x")).repartition("x")
+    counts = dealt.groupBy("x").agg(F.count("*").alias("df"), F.min("rid").alias("first")).filter("df > 1").select("x", "df")
+    shared = dealt.join(counts, "x").groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("df", "x"))).alias("held"))
+    prefix = F.col("n") - F.ceil(F.col("n") * F.lit(least) - EPSILON) + 1
+    sizes = sized.select("rid", "n", prefix.cast("int").alias("prefix"), F.size(F.filter("sig", known)).alias("often"))
+    able = written(sizes.join(shared, "rid", "left").withColumn(
+        "alone", F.col("n") - F.col("often") - F.coalesce(F.size("held"), F.lit(0))).filter("prefix > alone"), "spot-able")
+    tail = F.concat(F.coalesce(F.transform("held", lambda h: h["x"]), F.array().cast("array<bigint>")), F.filter("sig", known))
+    return written(able.join(sized.select("rid", "sig"), "rid").select("rid", "n", "sig", "prefix", "alone", tail.alias("tail")),
+                   "spot-sets")
 
 
 def _refiled(members: DataFrame, sets: DataFrame, level: int) -> DataFrame:
     """Members (key, rid, pos) filed by one more signature behind the one at `pos` (from 1). Similar sets
     share as many signatures as the level's number among their first ones, plus the level's number."""
     reach = F.col("prefix") + level
-    with_set = members.join(sets.select("rid", "sig", "prefix"), "rid")
-    following = F.slice("sig", F.col("pos") + 1, F.greatest(reach - F.col("pos"), F.lit(0)))
+    with_set = members.join(sets.select("rid", "tail", "prefix", "alone"), "rid")
+    following = F.slice("tail", F.col("pos") - F.col("alone") + 1, F.greatest(reach - F.col("pos"), F.lit(0)))
     return with_set.select("key", "rid", "visits", "pos", F.posexplode(following).alias("i", "x")).select(
         F.xxhash64("key", "x").alias("key"), "rid", "visits", (F.col("pos") + 1 + F.col("i")).cast("int").alias("pos"))
 
@@ -62,11 +79,12 @@ def _refiled(members: DataFrame, sets: DataFrame, level: int) -> DataFrame:
 def _filed(sets: DataFrame, least: float) -> DataFrame:
     """(key, rid, visits, pos): every set by its first signatures, in its own length part and, as a visitor, in the
     next longer one."""
-    first = sets.select("rid", "n", F.posexplode(F.slice("sig", F.lit(1), F.col("prefix"))).alias("i", "x"))
+    first = sets.select("rid", "n", "alone", F.posexplode(
+        F.slice("tail", F.lit(1), F.col("prefix") - F.col("alone"))).alias("i", "x"))
     part = length_part(F.col("n"), least)
     places = F.array(F.struct(part.alias("part"), F.lit(False).alias("visits")),
                      F.struct((part + 1).alias("part"), F.lit(True).alias("visits")))
-    return first.select("rid", (F.col("i") + 1).alias("pos"), "x", F.explode(places).alias("at")).select(
+    return first.select("rid", (F.col("alone") + F.col("i") + 1).alias("pos"), "x", F.explode(places).alias("at")).select(
         F.xxhash64("x", "at.part").alias("key"), "rid", "at.visits", "pos")
 
 
@@ -108,10 +126,7 @@ def similar_roots(sets: DataFrame, least: float = LEAST) -> DataFrame:
 
     Sets too small to be alike without being equal are in no link.
     """
-    sized = sets.withColumn("n", F.size("sig")).filter(F.col("n") >= least / (1 - least) - EPSILON)
-    prefix = F.col("n") - F.ceil(F.col("n") * F.lit(least) - EPSILON) + 1
-    sets = written(sized.select("rid", "n", prefix.cast("int").alias("prefix"),
-                                _ordered(F.col("sig"), _frequent(sized)).alias("sig")), "spot-sets")
+    sets = _candidates(sets, least)
     members = _filed(sets, least)
     shared = members.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1").select("key")
     members = written(members.join(shared, "key", "left_semi"), "spot-members")
@@ -141,10 +156,11 @@ def _by_hash(level: int):
 
 def spot_classes(rows: DataFrame, least: float = LEAST) -> DataFrame:
     """(fingerprint, class_id): per fingerprint the smallest doc_id of its class; see `similar_roots`. `rows` has doc_id,
-    fingerprint, a name of the signature set, and `own`, the set. A class of only null ids has a null id."""
-    groups = written(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id"), F.first("own").alias("sig"))
-                     .withColumn("rid", F.monotonically_increasing_id()), "spot-groups")
-    roots = similar_roots(groups.select("rid", "sig"), least)
+    row_no, fingerprint, a name of the signature set, and `own`, the set. A class of only null ids has a null id."""
+    groups = written(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id"), F.min("row_no").alias("rid")),
+                     "spot-groups")
+    sets = rows.select(F.col("row_no").alias("rid"), F.col("own").alias("sig")).join(groups.select("rid"), "rid", "left_semi")
+    roots = similar_roots(sets, least)
     named = written(groups.select("fingerprint", "least_id", "rid").join(
         roots.withColumnRenamed("node", "rid"), "rid", "left").withColumn("root", F.coalesce("root", "rid")), "spot-named")
     least_ids = named.groupBy("root").agg(F.min("least_id").alias("class_id"))

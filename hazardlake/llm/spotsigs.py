@@ -149,8 +149,8 @@ def with_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     `fingerprint_documents` for nulls, ties and repeated rows.
     """
     rows = fingerprint_documents(docs)
-    report = written(compare(rows, carried=("own",)), "spot-report")
-    return report.drop("own").join(spot_classes(report, least), "fingerprint")
+    report = written(compare(rows, carried=("own",)).withColumn("row_no", F.monotonically_increasing_id()), "spot-report")
+    return report.drop("own", "row_no").join(spot_classes(report, least), "fingerprint")
 
 
 def compare(rows: DataFrame, least: float = 0.0, carried: tuple = ()) -> DataFrame:
