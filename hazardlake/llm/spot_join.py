@@ -1,8 +1,8 @@
 """Classes of near copies among signature sets: a prefix-filtered Jaccard join that never pairs a whole group.
 
 Signatures have one global order, rare ones first. Sets whose Jaccard index reaches a bound share a signature
-among their first few, and their lengths lie in the same part or in neighbouring ones: these signatures and length
-parts are the cells. A signature that only one set has comes first of all and makes no cell, so that most sets of
+among their first few, the shorter one among fewer, and their lengths lie in the same part or in neighbouring ones:
+these signatures and length parts are the cells. A signature that only one set has comes first of all and makes no cell, so that most sets of
 dissimilar texts are in none. Small cells are compared pair by pair. In a large cell all members are compared with a few
 hubs, which links groups of near copies; members that are still apart are filed anew by one more signature
 each, which similar sets share too, so that the cells get smaller. Every candidate is judged by its whole set.
@@ -18,11 +18,14 @@ from .common import written
 from .components import component_roots
 
 LEAST = 0.8
-# Cells up to this many members are compared pair by pair; larger ones with so many hubs a round.
+# Cells with up to this many members outside of their largest component are compared pair by pair; others with so many
+# hubs a round.
 SMALL = 16
 HUBS = 4
-# How often large cells are filed anew by one more signature; what is still apart then is compared pair by pair.
-LEVELS = 4
+# Rounds of a cell with hubs only; in the later of LEVELS rounds its members are also filed anew by one more signature
+# each. What is still apart in the last round is compared pair by pair.
+HUB_ROUNDS = 2
+LEVELS = 5
 # Signatures that a thousandth of all sets hold, by a sample of about so many sets (by a hash), come last in the order
 # without being counted; so many at most. This changes the speed only.
 SAMPLE_SETS = 20_000
@@ -45,8 +48,8 @@ def _frequent(sets: DataFrame, total: int) -> list[int]:
 
 
 def _candidates(sets: DataFrame, least: float) -> DataFrame:
-    """(rid, n, sig, prefix, alone, tail): the sets that can be alike with another one. The first `prefix` signatures of
-    the order decide; `alone` counts those that no other set has, `tail` holds the others in order."""
+    """(rid, n, sig, prefix, short_prefix, alone, tail): the sets that can be alike with another one. The first `prefix`
+    signatures of the order decide, with a longer set the first `short_prefix`; `alone` counts those that no other set has, `tail` holds the others in order."""
     sized = sets.withColumn("n", F.size("sig")).filter(F.col("n") >= least / (1 - least) - EPSILON)
     frequent = _frequent(sized, sized.count())
 
@@ -57,35 +60,42 @@ def _candidates(sets: DataFrame, least: float) -> DataFrame:
     dealt = sized.select("rid", F.explode(F.filter("sig", lambda x: ~known(x))).alias("x")).repartition("x")
     counts = dealt.groupBy("x").agg(F.count("*").alias("df"), F.min("rid").alias("first")).filter("df > 1").select("x", "df")
     shared = dealt.join(counts, "x").groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("df", "x"))).alias("held"))
-    prefix = F.col("n") - F.ceil(F.col("n") * F.lit(least) - EPSILON) + 1
-    sizes = sized.select("rid", "n", prefix.cast("int").alias("prefix"), F.size(F.filter("sig", known)).alias("often"))
+    def first(share):  # how many first signatures hold one of those shared with a set, if that share is
+        return (F.col("n") - F.ceil(F.col("n") * F.lit(share) - EPSILON) + 1).cast("int")
+
+    sizes = sized.select("rid", "n", first(least).alias("prefix"), first(2 * least / (1 + least)).alias("short_prefix"), F.size(F.filter("sig", known)).alias("often"))
     able = written(sizes.join(shared, "rid", "left").withColumn(
         "alone", F.col("n") - F.col("often") - F.coalesce(F.size("held"), F.lit(0))).filter("prefix > alone"), "spot-able")
     tail = F.concat(F.coalesce(F.transform("held", lambda h: h["x"]), F.array().cast("array<bigint>")), F.filter("sig", known))
-    return written(able.join(sized.select("rid", "sig"), "rid").select("rid", "n", "sig", "prefix", "alone", tail.alias("tail")),
+    return written(able.join(sized.select("rid", "sig"), "rid").select("rid", "n", "sig", "prefix", "short_prefix", "alone", tail.alias("tail")),
                    "spot-sets")
 
 
 def _refiled(members: DataFrame, sets: DataFrame, level: int) -> DataFrame:
-    """Members (key, rid, pos) filed by one more signature behind the one at `pos` (from 1). Similar sets
-    share as many signatures as the level's number among their first ones, plus the level's number."""
-    reach = F.col("prefix") + level
-    with_set = members.join(sets.select("rid", "tail", "prefix", "alone"), "rid")
+    """Members filed by one more signature behind the one at `pos` (from 1). Similar sets share as many signatures as
+    the level's number, and one more, among their first ones plus the level's number."""
+    reach = F.when(F.col("longer"), F.col("prefix")).otherwise(F.col("short_prefix")) + level
+    with_set = members.join(sets.select("rid", "tail", "prefix", "short_prefix", "alone"), "rid")
     following = F.slice("tail", F.col("pos") - F.col("alone") + 1, F.greatest(reach - F.col("pos"), F.lit(0)))
-    return with_set.select("key", "rid", "visits", "pos", F.posexplode(following).alias("i", "x")).select(
-        F.xxhash64("key", "x").alias("key"), "rid", "visits", (F.col("pos") + 1 + F.col("i")).cast("int").alias("pos"))
+    return with_set.select("key", "rid", "longer", "pos", F.posexplode(following).alias("i", "x")).select(
+        F.xxhash64("key", "x").alias("key"), "rid", "longer", (F.col("pos") + 1 + F.col("i")).cast("int").alias("pos"))
 
 
 def _filed(sets: DataFrame, least: float) -> DataFrame:
-    """(key, rid, visits, pos): every set by its first signatures, in its own length part and, as a visitor, in the
-    next longer one."""
-    first = sets.select("rid", "n", "alone", F.posexplode(
-        F.slice("tail", F.lit(1), F.col("prefix") - F.col("alone"))).alias("i", "x"))
+    """(key, rid, longer, pos): every set by its first signatures and length part, as the longer one of a pair, and, by
+    fewer of them, as the shorter one in its own and in the next part: more must be shared with a longer set."""
+    first = sets.select("rid", "n", "alone", "short_prefix", F.posexplode(
+        F.slice("tail", F.lit(1), F.col("prefix") - F.col("alone"))).alias("i", "x")) \
+        .withColumn("pos", F.col("alone") + F.col("i") + 1)
     part = length_part(F.col("n"), least)
-    places = F.array(F.struct(part.alias("part"), F.lit(False).alias("visits")),
-                     F.struct((part + 1).alias("part"), F.lit(True).alias("visits")))
-    return first.select("rid", (F.col("alone") + F.col("i") + 1).alias("pos"), "x", F.explode(places).alias("at")).select(
-        F.xxhash64("x", "at.part").alias("key"), "rid", "at.visits", "pos")
+
+    def place(part, longer):
+        return F.struct(part.alias("part"), F.lit(longer).alias("longer"))
+
+    as_shorter = F.when(F.col("pos") <= F.col("short_prefix"), F.array(place(part, False), place(part + 1, False)))
+    places = F.concat(F.array(place(part, True)), F.coalesce(as_shorter, F.array().cast("array<struct<part:bigint,longer:boolean>>")))
+    return first.select("rid", "pos", "x", F.explode(places).alias("at")).select(
+        F.xxhash64("x", "at.part").alias("key"), "rid", "at.longer", F.col("pos").cast("int").alias("pos"))
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -100,18 +110,23 @@ def _alike(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 
 def _open(members: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """Members of the cells that have more than one component, with their root and the cell's size."""
+    """Members of the cells in which a longer and a shorter one may be apart, with their root, the cell's most frequent
+    root, and how many members have another one."""
     rooted = members.withColumn("root", F.col("rid")) if roots is None else members.join(
         roots.withColumnRenamed("node", "rid"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
-    keys = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size")) \
-        .filter("x != y").select("key", "size")
+    shares = rooted.groupBy("key", "root").agg(F.count("*").alias("n"), F.count_if("longer").alias("longer"))
+    keys = shares.groupBy("key").agg(
+        F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"), F.sum("longer").alias("longer"), F.count("*").alias("roots"))
+    keys = keys.filter("roots > 1 and longer > 0 and longer < n").select(
+        "key", F.col("most.root").alias("main"), (F.col("n") - F.col("most.n")).alias("others"))
     return written(rooted.join(keys, "key"), "spot-cells")
 
 
 def _pairs(cells: DataFrame) -> DataFrame:
-    other = cells.select("key", F.col("rid").alias("b"), F.col("root").alias("root_b"), F.col("visits").alias("visits_b"))
-    return cells.join(other, "key").filter("rid < b and root != root_b and not (visits and visits_b)").select(
-        F.col("rid").alias("a"), "b")
+    """Each member outside of its cell's most frequent component with all members of other components."""
+    other = cells.select("key", F.col("rid").alias("b"), F.col("root").alias("root_b"), F.col("longer").alias("longer_b"))
+    return cells.filter("root != main").join(other, "key").filter("root != root_b and longer != longer_b").select(
+        F.least("rid", "b").alias("a"), F.greatest("rid", "b").alias("b"))
 
 
 def _with_hubs(cells: DataFrame, hubs: DataFrame) -> DataFrame:
@@ -135,18 +150,19 @@ def similar_roots(sets: DataFrame, least: float = LEAST) -> DataFrame:
         cells = _open(members, roots)
         if cells.isEmpty():
             break
-        large = cells.filter(F.col("size") > SMALL) if level < LEVELS else cells.limit(0)
+        large = cells.filter(F.col("others") > SMALL) if level < LEVELS else cells.limit(0)
         place = F.row_number().over(_by_hash(level))
         hubs = written(large.withColumn("i", place).filter(F.col("i") <= HUBS).drop("i"), "spot-hubs")
-        small = cells.filter(F.col("size") <= SMALL) if level < LEVELS else cells
+        small = cells.filter(F.col("others") <= SMALL) if level < LEVELS else cells
         pairs = _pairs(small).unionByName(_with_hubs(large, hubs)).distinct()
         found = written(_alike(written(pairs, "spot-pairs"), sets, least), "spot-links")
         links = found if links is None else links.unionByName(found)
         roots = component_roots(links)
         links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         if level < LEVELS:
-            apart = _open(large.select("key", "rid", "visits", "pos"), roots)
-            members = written(_refiled(apart.select("key", "rid", "visits", "pos"), sets, level), "spot-members")
+            members = large.select("key", "rid", "longer", "pos")
+            if level > HUB_ROUNDS:
+                members = written(_refiled(_open(members, roots).select(*members.columns), sets, level - HUB_ROUNDS), "spot-members")
     return roots if roots is not None else component_roots(sets.select(F.col("rid").alias("a"), F.col("rid").alias("b")).limit(0))
 
 

@@ -117,7 +117,7 @@ def test_classes_of_odd_rows(odd, none):
     assert P.with_classes(none).collect() == []
 
 
-@pytest.mark.parametrize("small,hubs,levels", [(16, 4, 4), (2, 1, 2), (2, 1, 5), (3, 2, 1)])
+@pytest.mark.parametrize("small,hubs,levels", [(16, 4, 5), (2, 1, 6)])
 def test_classes_of_crowds(frame, monkeypatch, small, hubs, levels):
     """Groups of near copies, a template with its own words in every text, and texts of few signatures."""
     import random
