@@ -116,7 +116,11 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
-    """One row of `docs` per text: that with the largest doc_id, all its columns."""
+    """One row of `docs` per text: that with the largest doc_id, all its columns.
+
+    A null text counts as empty. A null doc_id is smaller than any other; of rows that repeat both id and text
+    exactly one stays. Extra columns are carried along; an empty table gives no rows.
+    """
     mark = "_row_of_exact_dedup"
     marked = written(docs.withColumn(mark, F.monotonically_increasing_id()), "documents")
     kept = _judged(digested(marked, mark), index).filter("kept").select(F.col("row_no").alias(mark))
