@@ -2,7 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir), works on all its predecessor kept and returns a DataFrame,
 which is written as Parquet and read again as the next one's `docs`. All but the last return the
-columns of `documents`.
+columns of `documents`, extra ones included.
+
+In every stage a null text counts as empty, whole texts count however long they are, and an empty table gives
+no rows. Rows without a doc_id, and rows that repeat one, are rows of their own; where one of several must
+stay, null ids come last in `near dedup` and first in `exact dedup`, and exactly one row stays.
 """
 
 from __future__ import annotations
