@@ -13,7 +13,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import prepare, shuffle_partitions, text_or_empty, written
+from .common import prepare, shuffle_partitions, shuffles_dropped, text_or_empty, written
 from .spot_join import LEAST, length_part, spot_classes
 
 # Common words of English, German, French and Spanish.
@@ -149,8 +149,10 @@ def with_classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     `fingerprint_documents` for nulls, ties and repeated rows.
     """
     rows = fingerprint_documents(docs)
-    report = written(compare(rows, carried=("own",)).withColumn("row_no", F.monotonically_increasing_id()), "spot-report")
-    return report.drop("own", "row_no").join(spot_classes(report, least), "fingerprint")
+    with shuffles_dropped(docs.sparkSession):
+        report = written(compare(rows, carried=("own",)).withColumn("row_no", F.monotonically_increasing_id()), "spot-report")
+        classes = spot_classes(report, least)
+    return report.drop("own", "row_no").join(classes, "fingerprint")
 
 
 def compare(rows: DataFrame, least: float = 0.0, carried: tuple = ()) -> DataFrame:
