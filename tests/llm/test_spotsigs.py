@@ -141,3 +141,33 @@ def test_classes_of_crowds(frame, monkeypatch, small, hubs, levels):
     rows += [text([f"few{i}" for i in range(n)]) for n in range(1, 9) for _ in range(2)] + ["the same text", "", "   "]
     rng.shuffle(rows)
     assert 40 < check_classes(frame(list(enumerate(rows)))) < 120
+
+
+def test_sketches_refuse_no_alike_pair(spark):
+    """Pairs of sets around the bound, of 1 to 600 signatures: all alike ones stay, few of the others."""
+    import random
+    from pyspark.sql import functions as F
+    rng = random.Random(5)
+    rows = []
+    for n in [1, 2, 5, 9, 10, 40, 200, 600] * 12:
+        base = [rng.getrandbits(64) - (1 << 63) for _ in range(n)]
+        gone = rng.choice([0, 1, n // 9, n // 8, n // 4, n // 2])
+        other = base[gone:] + [rng.getrandbits(64) - (1 << 63) for _ in range(rng.choice([0, gone, n // 5]))]
+        rows.append((base, other, rng.choice([0, 1, n // 10])))
+    # `alone` signatures of the first set stand outside of its tail.
+    df = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>, alone int")
+
+    def with_sketch(df, name, alone):
+        return df.withColumns({"tail": F.col(name), "alone": alone, "n": F.size(name) + alone}).withColumn(
+            f"sketch_{name}", spot_join._sketch()).drop("tail", "n", "alone")
+
+    both = with_sketch(df.withColumn("own", F.col("alone")), "a", F.col("own"))
+    both = with_sketch(both, "b", F.lit(0)).withColumn("kept", spot_join._may_be_alike("sketch_a", "sketch_b", 0.8))
+    kept_apart = apart = 0
+    for r in both.select("a", "b", "own", "kept").collect():
+        a, b = set(r["a"]), set(r["b"])
+        alike = 5 * len(a & b) >= 4 * (len(a | b) + r["own"])
+        assert r["kept"] or not alike
+        apart += not alike
+        kept_apart += r["kept"] and not alike
+    assert apart > 30 and kept_apart < apart / 3
