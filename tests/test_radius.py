@@ -154,3 +154,14 @@ def test_wide_columns_stay_out_of_the_grid_shuffle(spark):
     assert df.first().body == "long text" and df.first().extra == "wide"
     grid = [line for line in plan_of(df).split("\n\n") if "hashpartitioning(_cell" in line]
     assert grid and not any("body" in block or "extra" in block for block in grid)
+
+
+def test_pairs_of_narrow_columns_are_not_shuffled(spark):
+    """Columns of fixed width come along by the grid: what is shuffled are rows and points, never pairs."""
+    hazards = spark.createDataFrame([(7, 1.0, 1.0, 3)], "seq long, lat double, lon double, size int")
+    points = spark.createDataFrame([(1, 1.0, 1.0, 10.0, 2.5)], "qid int, lat double, lon double, radius_km double, weight double")
+    df = radius.radius_join(points, hazards, hazard_key="seq", broadcast_rows=0)
+    assert (df.first().size, df.first().weight, df.first().distance_km) == (3, 2.5, 0.0)
+    assert sorted(df.columns) == sorted(["qid", "weight", "radius_km", "seq", "size", "lat", "lon", "distance_km"])
+    shuffled = [block for block in plan_of(df).split("\n\n") if "hashpartitioning(" in block]
+    assert shuffled and all("hashpartitioning(_cell" in block for block in shuffled)
