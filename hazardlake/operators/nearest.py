@@ -28,6 +28,7 @@ CROWDED = 2
 # Distances are compared along the chord, with room for rounding.
 SLACK = 1 + 1e-9
 TINY = 1e-12
+TASKS_PER_CORE = 4
 AXES = ("x", "y", "z")
 CUBE = ("level", "cx", "cy", "cz")
 
@@ -43,7 +44,8 @@ def _chord(km: Column) -> Column:
 
 
 def _side(level: Column) -> Column:
-    return F.pow(F.lit(2.0), F.lit(1) - level)
+    # By shift, not by pow: it is used many times a cube.
+    return F.lit(2.0) / F.call_function("shiftleft", F.lit(1), level)
 
 
 def _placed(hazards: DataFrame, key: str, most: int) -> DataFrame:
@@ -97,6 +99,11 @@ def _within_reach(cubes: DataFrame) -> DataFrame:
         .drop("_upto").filter(F.col("near") <= F.col("reach") * SLACK + TINY)
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt over the cores: each of them is multiplied, so that few bytes are much work."""
+    return rows.repartition(TASKS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def _start(points: DataFrame, counts: DataFrame) -> DataFrame:
     """The cubes around each point from which its search starts.
 
@@ -115,7 +122,7 @@ def _start(points: DataFrame, counts: DataFrame) -> DataFrame:
         "level": F.greatest(F.coalesce("full", F.lit(0)), of_radius - of_radius % STEP),
         "reach": F.least("chord", sure)}).drop("full")
     side, reach = _side(F.col("level")), F.col("reach") * SLACK + TINY
-    cubes = searches
+    cubes = _spread(searches)
     for a in AXES:
         first, last = F.floor((F.col(a) + 1 - reach) / side), F.floor((F.col(a) + 1 + reach) / side)
         cubes = cubes.withColumn(f"c{a}", F.explode(F.sequence(F.greatest(first, F.lit(0)).cast("int"), last.cast("int"))))
@@ -126,9 +133,13 @@ def _refined(cubes: DataFrame, counts: DataFrame) -> DataFrame:
     """Crowded cubes replaced by the smaller ones in them that hold rows and are within reach."""
     crowded = F.col("crowded")
     parts = range(1 << STEP)
-    inner = cubes.filter(crowded).drop("n", "near", "far", "crowded").withColumn("level", F.col("level") + STEP)
+    inner = _spread(cubes.filter(crowded).drop("n", "near", "far", "crowded")).withColumn("level", F.col("level") + STEP)
     for a in AXES:
-        inner = inner.withColumn(f"c{a}", F.explode(F.array(*[F.shiftleft(f"c{a}", STEP) + p for p in parts])))
+        # What is beyond reach along one axis is dropped before the next one multiplies it.
+        low = F.col(f"c{a}") * _side(F.col("level")) - 1
+        gap = F.greatest(low - F.col(a), F.col(a) - low - _side(F.col("level")))
+        inner = inner.withColumn(f"c{a}", F.explode(F.array(*[F.shiftleft(f"c{a}", STEP) + p for p in parts]))) \
+            .filter(gap <= F.col("reach") * SLACK + TINY)
     inner = _measured(inner).join(counts, list(CUBE))
     return _within_reach(cubes.filter(~crowded).drop("crowded").unionByName(inner))
 

@@ -442,10 +442,14 @@ def near_beyond_the_line(spark, sf):
 def near_report(spark, sf):
     points = I.search_points(spark, sf)
     hits = nearest.nearest_join(points, _hazards(spark, sf))
-    report = radius.near_report(points, hits)
+    report = radius.near_report(points, hits.select(*LISTED))
     return report.select("qid", "lat", "lon", "radius_km", "count", _listed().alias("hazards"))
 
 
+# What `_listed` shows of a hit.
+LISTED = ("qid", "n", "event_id", "distance_km")
+
+
 def _listed():
     return F.array_join(F.transform("hazards", lambda h: F.concat_ws(
         ":", h.event_id, h.distance_km.cast("string"))), "|")
@@ -465,7 +469,7 @@ def near_requests(spark, sf):
     """Every request: its report, or the reason it is refused (limits above 500 among them)."""
     valid, refused = split_queries(I.requests(spark, sf))
     hits = nearest.nearest_join(valid.drop("question"), _hazards(spark, sf), most=MAX_LIMIT)
-    report = radius.near_report(valid, hits).select("qid", "count", F.md5(_listed()).alias("hazards"))
+    report = radius.near_report(valid, hits.select(*LISTED)).select("qid", "count", F.md5(_listed()).alias("hazards"))
     return report.unionByName(refused.select("qid", "reason"), allowMissingColumns=True)
 
 

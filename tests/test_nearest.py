@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazardlake.operators import nearest
-from helpers import haversine
+from helpers import haversine, plan_of
 
 H = "event_id string, lat double, lon double"
 Q = "qid long, lat double, lon double, radius_km double, limit int"
@@ -80,3 +80,15 @@ def test_empty_sides(spark, empty):
     got = nearest.nearest_join(spark.createDataFrame([] if empty == "points" else points[:9], Q),
                                spark.createDataFrame([] if empty == "hazards" else hazards[:50], H))
     assert got.count() == 0
+
+
+def test_few_bytes_of_many_cubes_are_dealt_over_the_cores(spark):
+    """A refined cube is 64 smaller ones: the work is split however small the tables are."""
+    cubes = spark.createDataFrame(
+        [(1, 5, 0.5, 0.5, 0.5, 0.1, 0.1, 0, 0, 0, 0, 99, 0.0, 1.0, True)],
+        "qid long, limit long, lat double, lon double, x double, y double, z double, level int, cx int, cy int, cz int, "
+        "n long, near double, far double, crowded boolean").withColumn("reach", F.lit(1.0)).withColumn("radius_km", F.lit(1.0))
+    counts = spark.createDataFrame([(2, 2, 2, 2, 9)], "level int, cx int, cy int, cz int, n long")
+    refined = nearest._refined(cubes, counts)
+    assert refined.count() <= 1
+    assert "REPARTITION_BY_NUM" in plan_of(refined) and str(4 * spark.sparkContext.defaultParallelism) in plan_of(refined)
