@@ -1,89 +1,131 @@
 """Ranking by meaning within a radius, with bounds that spare comparisons.
 
-The rows of a grid cell are split into parts by the signs of a few fixed projections of their vectors, and each part
-into rings by the angle to its centre. From a question's angle to the centre follows the best cosine that any
-member of a ring can have. The rings of best promise are compared first; the k-th cosine found there rules out,
-without a doubt, every ring whose best possible cosine is below it.
+Questions and rows meet in blocks (see `blocks`). The rows of a block are split into parts by the signs of a few fixed
+projections of their vectors, and each part into rings by the angle to its centre. From a question's angle to the
+centre follows the best cosine that any member of a ring can have. The rings of best promise are compared first; the
+k-th cosine found there rules out, without a doubt, every ring whose best possible cosine is below it. No row per
+question and ring, and none per pair, leaves a block.
 """
 
 from __future__ import annotations
 
 import random
+from collections.abc import Iterator
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..functions import dot, haversine_km, l2_normalize
+from ..functions import haversine_km
 from ..session import stored
-from .radius import DEFAULT_RADIUS_KM, grid_cell, touched_cells
+from .blocks import both_sides, in_blocks, inner, places, vectors_of, within
+from .radius import DEFAULT_RADIUS_KM
 
-# A cell is split into as many parts as it takes for one to hold about so many rows.
+# A block is split into as many parts as it takes for one to hold about so many rows.
 PART_ROWS = 32
 RING_DEGREES = 10
-RING = ("_cell", "_part", "_ring")
 MOST_BITS = 12
 # The first comparisons take the rings of best promise, up to so many times k rows.
 FIRST = 8
 SLACK = 1e-9
-
-
-def _signs(vec: Column, dimensions: int) -> Column:
-    """MOST_BITS bits: on which side of fixed hyperplanes a vector lies."""
-    rng, out = random.Random(17), F.lit(0)
-    for bit in range(MOST_BITS):
-        plane = F.array(*[F.lit(rng.gauss(0, 1)) for _ in range(dimensions)])
-        out = out + F.when(dot(vec, plane) >= 0, 1 << bit).otherwise(0)
-    return out.cast("int")
-
-
-def _filed(rows: DataFrame, levels: list[int], dimensions: int) -> DataFrame:
-    """(event_id, _cell, _part): the cell of every row at every level in use, and its part of it."""
-    cells = [grid_cell(F.col("lat"), F.col("lon"), F.lit(level)) for level in levels]
-    none = F.array().cast("array<bigint>")
-    filed = stored(rows.select("event_id", _signs(F.col("vec"), dimensions).alias("_signs"), F.explode(
-        F.array(*cells) if cells else none).alias("_cell")), "ball-cells")
-    bits = F.floor(F.log2(F.greatest(F.col("n") / PART_ROWS, F.lit(1.0)))).cast("int")
-    counts = filed.groupBy("_cell").agg(F.count("*").alias("n")).select(
-        "_cell", F.least(bits, F.lit(MOST_BITS)).alias("_bits"))
-    return stored(filed.join(counts, "_cell").select(
-        "event_id", "_cell", F.expr("_signs & (shiftleft(1, _bits) - 1)").alias("_part")), "ball-members")
-
-
-def _rings(members: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(event_id, _cell, _part, _ring), and every ring with its size, its part's unit centre, and the least and the
-    greatest cosine of a member to it."""
-    with_vec = members.join(rows.select("event_id", "vec"), "event_id")
-    centres = stored(with_vec.groupBy("_cell", "_part").agg(
-        vector_to_array(Summarizer.mean(array_to_vector("vec"))).alias("_mean"))
-        .select("_cell", "_part", l2_normalize(F.col("_mean")).alias("_centre")), "ball-centres")
-    angle = F.degrees(F.acos(F.greatest(F.least("_cosine", F.lit(1.0)), F.lit(-1.0))))
-    placed = stored(with_vec.join(centres, ["_cell", "_part"]).withColumn("_cosine", dot(F.col("vec"), F.col("_centre"))).select(
-        "event_id", "_cell", "_part", "_cosine", F.floor(angle / RING_DEGREES).cast("int").alias("_ring")), "ring-members")
-    rings = placed.groupBy("_cell", "_part", "_ring").agg(
-        F.count("*").alias("_n"), F.min("_cosine").alias("_least"), F.max("_cosine").alias("_greatest"))
-    return placed.drop("_cosine"), rings.join(centres, ["_cell", "_part"])
-
-
-def _best_possible(to_centre: Column, least: Column, greatest: Column) -> Column:
+# So many bounds, of questions and rings, are held at once.
+BOUNDS_AT_ONCE = 1 << 20
+
+
+def _rings(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The order in which the vectors lie ring by ring, the rings' first places and the end, each ring's unit centre
+    (of its part), and the least and the greatest cosine of a member to it."""
+    n, width = vectors.shape
+    rng, part = random.Random(17), np.zeros(n, np.int64)
+    for bit in range(min(MOST_BITS, max(n // PART_ROWS, 1).bit_length() - 1)):
+        plane = np.array([rng.gauss(0, 1) for _ in range(width)])
+        part |= (vectors @ plane >= 0).astype(np.int64) << bit
+    kinds, part = np.unique(part, return_inverse=True)
+    centres = np.zeros((len(kinds), width))
+    np.add.at(centres, part, vectors)
+    sizes = np.sqrt(np.einsum("ij,ij->i", centres, centres))[:, None]
+    centres = np.divide(centres, sizes, out=np.zeros_like(centres), where=sizes > 0)
+    cosine = np.einsum("ij,ij->i", vectors, centres[part])
+    ring = np.floor(np.degrees(np.arccos(np.clip(cosine, -1, 1))) / RING_DEGREES).astype(np.int64)
+    order = np.lexsort((ring, part))
+    change = np.flatnonzero((np.diff(part[order]) != 0) | (np.diff(ring[order]) != 0)) + 1
+    first = np.concatenate([[0], change])
+    return (order, np.append(first, n), centres[part[order[first]]],
+            np.minimum.reduceat(cosine[order], first), np.maximum.reduceat(cosine[order], first))
+
+
+def _best_possible(to_centre: np.ndarray, least: np.ndarray, greatest: np.ndarray) -> np.ndarray:
     """The greatest cosine to a question that a member of a ring can have: that of the difference of the angles to
     the ring's nearer edge, 1 inside the ring."""
-    def sine(c):
-        return F.sqrt(F.greatest(1 - c * c, F.lit(0.0)))
-
-    edge = F.when(to_centre > greatest, greatest).otherwise(least)
-    inside = to_centre.between(least, greatest)
-    return F.when(inside, F.lit(1.0)).otherwise(to_centre * edge + sine(to_centre) * sine(edge)) + SLACK
-
-
-def _compared(chosen: DataFrame, members: DataFrame, rows: DataFrame, questions: DataFrame) -> DataFrame:
-    """(qid, event_id, distance_km, similarity) of all rows in the chosen rings that are within the radius."""
-    keys = chosen.select("qid", *RING).join(members, list(RING)).select("qid", "event_id")
-    asked = questions.select("qid", "qvec", F.col("lat").alias("_qlat"), F.col("lon").alias("_qlon"), F.col("radius_km").alias("_r"))
-    pairs = keys.join(rows, "event_id").join(asked, "qid").withColumn(
-        "distance_km", haversine_km(F.col("_qlat"), F.col("_qlon"), F.col("lat"), F.col("lon")))
-    return pairs.filter(F.col("distance_km") <= F.col("_r")).select(
-        "qid", "event_id", "distance_km", dot(F.col("qvec"), F.col("vec")).alias("similarity"))
+    edge = np.where(to_centre > greatest, greatest, least)
+    sine = np.sqrt(np.maximum(1 - to_centre * to_centre, 0)) * np.sqrt(np.maximum(1 - edge * edge, 0))
+    inside = (to_centre >= least) & (to_centre <= greatest)
+    return np.where(inside, 1.0, to_centre * edge + sine) + SLACK
+
+
+def _found(questions: pa.RecordBatch, rows: pa.RecordBatch) -> Iterator[tuple]:
+    """(question, row, similarity, compared): places in the block of pairs within the radius, among which are each question's
+    `_k` best; and how many pairs were compared for them."""
+    k, radius = questions.column("_k").to_numpy(), questions.column("_r").to_numpy()
+    width = max(int(b.column("_size").to_numpy().max()) for b in (questions, rows))
+    q, h = vectors_of(questions, width), vectors_of(rows, width)
+    order, bounds, centres, least, greatest = _rings(h)
+    h, sizes = h[order], np.diff(bounds)
+    q_place, h_place = places(questions), tuple(c[order] for c in places(rows))
+    step = max(1, BOUNDS_AT_ONCE // len(sizes))
+    for first in range(0, len(q), step):
+        part = slice(first, first + step)
+        asked, reach, most = q[part], radius[part], k[part]
+        at = tuple(c[part] for c in q_place)
+
+        def compare(chosen: np.ndarray, kth: np.ndarray) -> tuple[np.ndarray, ...]:
+            """Pairs of the questions with the members of their chosen rings, within the radius and not below `kth`."""
+            out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+            for ring in np.flatnonzero(chosen.any(axis=0)):
+                a, band = np.flatnonzero(chosen[:, ring]), slice(bounds[ring], bounds[ring + 1])
+                about = asked[a] @ h[band].T
+                near = (about >= kth[a, None] - SLACK) & within(
+                    tuple(c[a] for c in at), reach[a], tuple(c[band] for c in h_place))
+                i, j = np.nonzero(near)
+                out.append((a[i], j + bounds[ring], inner(asked[a[i]], h[band][j])))
+            return tuple(np.concatenate(c) for c in zip(*out))
+
+        promise = _best_possible(asked @ centres.T, least, greatest)
+        by_promise = np.argsort(-promise, axis=1, kind="stable")
+        before = np.cumsum(sizes[by_promise], axis=1) - sizes[by_promise]
+        early = np.zeros(promise.shape, bool)
+        np.put_along_axis(early, by_promise, before < FIRST * most[:, None], axis=1)
+        a, b, similarity = compare(early, np.full(len(asked), -np.inf))
+        # Each question's k-th cosine so far.
+        kth, ranked = np.full(len(asked), -np.inf), np.lexsort((-similarity, a))
+        n = np.arange(len(ranked)) - np.searchsorted(a[ranked], np.arange(len(asked)))[a[ranked]]
+        last = ranked[n == most[a[ranked]] - 1]
+        kth[a[last]] = similarity[last]
+        late = ~early & (promise >= kth[:, None])
+        more = compare(late, kth)
+        a, b, similarity = (np.concatenate(c) for c in zip((a, b, similarity), more))
+        # Rows of a block are in the order of their ids, by which ties go.
+        ranked = np.lexsort((order[b], -similarity, a))
+        n = np.arange(len(ranked)) - np.searchsorted(a[ranked], np.arange(len(asked)))[a[ranked]]
+        kept = ranked[n < most[a[ranked]]]
+        yield a[kept] + first, order[b[kept]], similarity[kept], int(((early | late) @ sizes).sum())
+
+
+def _by_rings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs; and for each block a row without ids that counts its comparisons and all its pairs."""
+    names = ["qid", "_qlat", "_qlon", "event_id", "_lat", "_lon", "similarity", "_compared", "_all"]
+    for questions, rows in both_sides(batches):
+        compared = 0
+        for a, b, similarity, n in _found(questions, rows):
+            compared += n
+            a, b, none = pa.array(a), pa.array(b), pa.nulls(len(a), pa.int64())
+            yield pa.RecordBatch.from_arrays([
+                *[questions.column(c).take(a) for c in ("qid", "_lat", "_lon")],
+                *[rows.column(c).take(b) for c in ("event_id", "_lat", "_lon")], pa.array(similarity), none, none], names)
+        empty = [pa.nulls(1, c.type) for c in (*[questions.column(c) for c in ("qid", "_lat", "_lon")],
+                                               *[rows.column(c) for c in ("event_id", "_lat", "_lon")])]
+        yield pa.RecordBatch.from_arrays([
+            *empty, pa.nulls(1, pa.float64()), pa.array([compared]), pa.array([len(questions) * len(rows)])], names)
 
 
 def ball_pairs(questions: DataFrame, hazards: DataFrame, k: int, radius_km: float | None = None) -> tuple[DataFrame, int, int]:
@@ -94,28 +136,16 @@ def ball_pairs(questions: DataFrame, hazards: DataFrame, k: int, radius_km: floa
     `questions` has qid, lat, lon, qvec and, unless given, radius_km; `hazards` has event_id, lat, lon and
     vec, all vectors being unit vectors of one length or zero. Rows without a position or vector take no part.
     """
-    asked = questions if radius_km is None and "radius_km" in questions.columns else questions.withColumn(
-        "radius_km", F.lit(float(radius_km if radius_km is not None else DEFAULT_RADIUS_KM)))
-    asked = stored(asked.select("qid", "lat", "lon", "radius_km", "qvec"), "ball-questions")
-    rows = stored(hazards.filter("lat is not null and lon is not null and vec is not null").select(
-        "event_id", "lat", "lon", "vec"), "ball-rows")
-    first = rows.select(F.size("vec")).first()
-    cells, levels = touched_cells(asked.select("qid", "lat", "lon", "radius_km"), F.col("radius_km"))
-    members = _filed(rows, levels, first[0] if first else 0)
-    members, rings = _rings(members, rows)
-    promise = _best_possible(dot(F.col("qvec"), F.col("_centre")), F.col("_least"), F.col("_greatest"))
-    met = stored(cells.select("qid", "_cell").join(rings, "_cell").join(asked.select("qid", "qvec"), "qid")
-                 .select("qid", *RING, "_n", promise.alias("_best")), "ball-bounds")
-    order = Window.partitionBy("qid").orderBy(F.desc("_best"), "_ring", "_cell", "_part")
-    before = F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = stored(met.withColumn("_before", before), "ball-order")
-    early = ranked.filter(F.col("_before") < FIRST * k)
-    found = stored(_compared(early, members, rows, asked), "ball-pairs")
-    place = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("similarity"), "event_id"))
-    bound = found.withColumn("_n", place).filter(F.col("_n") <= k).groupBy("qid").agg(
-        F.min(F.when(F.col("_n") == k, F.col("similarity"))).alias("_kth"))
-    late = stored(ranked.filter(F.col("_before") >= FIRST * k).join(bound, "qid", "left").filter(
-        F.col("_kth").isNull() | (F.col("_best") >= F.col("_kth"))), "ball-late")
-    total = ranked.agg(F.sum("_n"), F.sum(F.when(F.col("_before") < FIRST * k, F.col("_n")))).first()
-    compared = (total[1] or 0) + (late.agg(F.sum("_n")).first()[0] or 0)
-    return found.unionByName(_compared(late, members, rows, asked)), compared, total[0] or 0
+    radius = F.col("radius_km") if radius_km is None and "radius_km" in questions.columns else F.lit(
+        float(radius_km if radius_km is not None else DEFAULT_RADIUS_KM))
+    blocks = in_blocks(questions.filter("qvec is not null"), hazards.filter("vec is not null"), F.lit(k), radius)
+    ids = {f.name: f.dataType for f in blocks.schema.fields}
+    double, whole = T.DoubleType(), T.LongType()
+    schema = T.StructType([T.StructField(c, t) for c, t in (
+        ("qid", ids["qid"]), ("_qlat", double), ("_qlon", double), ("event_id", ids["event_id"]), ("_lat", double),
+        ("_lon", double), ("similarity", double), ("_compared", whole), ("_all", whole))])
+    found = stored(blocks.mapInArrow(_by_rings, schema), "ball-pairs")
+    compared, every = found.agg(F.sum("_compared"), F.sum("_all")).first()
+    distance = haversine_km(F.col("_qlat"), F.col("_qlon"), F.col("_lat"), F.col("_lon"))
+    pairs = found.filter("_all is null").select("qid", "event_id", distance.alias("distance_km"), "similarity")
+    return pairs, compared or 0, every or 0
