@@ -275,3 +275,20 @@ def test_added_tokens_in_texts(documents, path, spaces):
     code = PieceEncoder(path, spaces)
     for _ in range(2):  # the second time from memory
         assert [i.tolist() for i in code.encode(texts)] == expect
+
+
+def test_lines_cut_at_once(documents, monkeypatch):
+    """Texts are cut by lines in one go, also among texts that are not, and each different piece is looked up once."""
+    texts = [r["text"] for r in documents.limit(200).collect()]
+    odd = ["", "\n", "a\n\nb. c,\n", "Straße, ÉTÉ. ça\nx", "é x. y", "<|endoftext|> a", "Σ ΑΣ. x", "ΟΔΟΣ", "a.b, c", "ÿ ÷ ×", "don't",
+           "the end.\x00 x", "İ x. y", "'s Is'", "word 12 3a b4, c"]
+    code = PieceEncoder(WORD, False)
+    looked = []
+    places = code._places
+    monkeypatch.setattr(code, "_places", lambda pieces: looked.append(pieces) or places(pieces))
+    mixed = odd + texts + odd
+    for _ in range(2):
+        assert [i.tolist() + [2] for i in code.encode(mixed)] == whole(WORD, mixed)
+    by_lines = max(looked, key=len)
+    assert len(by_lines) == len(set(by_lines))
+    assert code.encode([]) == []
