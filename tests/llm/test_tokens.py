@@ -92,15 +92,34 @@ def test_scores_are_bm25():
         assert np.allclose(shard.scores(query), expect)
 
 
-def test_neighbours_share_windows():
-    """Texts of two vocabularies, mixed: a window is filled with its seed's own kind first."""
+def test_seeds_score_by_all_ids(monkeypatch):
+    """Dense ids and postings together give the scores of the definition; the first of equal seeds wins."""
     rng = np.random.default_rng(1)
-    ids = [(rng.integers(0, 40, 100) + 1000 * (i % 2)).astype(np.uint32) for i in range(40)]
-    pieces = packing.pack_shard(ids, np.ones(2000), 100.0, window=500)
+    ids = [(rng.integers(0, 40, 100) ** 2).astype(np.uint16) for _ in range(60)]
+    idf, seeds = rng.random(2000), [np.unique(i) for i in [*ids[:20], ids[0], ids[0][:1]]]
+    shard = packing.Bm25Shard(ids, idf, 90.0)
+    expect = np.array([shard.scores(s) / len(s) ** .5 for s in seeds]).T
+    for dense, cells in ((1, 1), (2, 200), (16, 1 << 20)):
+        monkeypatch.setattr(packing, "DENSE", dense)
+        monkeypatch.setattr(packing, "CELLS", cells)
+        table = packing.Seeds(seeds)
+        assert np.allclose(table.scores(*packing._bm25(ids, idf, 90.0), len(ids)), expect, rtol=1e-5)
+        seed, best = table.nearest(ids, idf, 90.0)
+        assert np.allclose(best, expect.max(1), rtol=1e-5) and np.allclose(expect[range(60), seed], best, rtol=1e-5)
+        assert (seed != 20).all()
+
+
+def test_neighbours_share_windows(frame):
+    """Texts of two vocabularies, mixed: windows hold one kind, but for one in which the kinds meet."""
+    rng = np.random.default_rng(1)
+    words = ["red blue green black white".split(), "one two three four five".split()]
+    kind = dict(zip(range(0, 1000, 10), rng.permutation([0, 1] * 50).tolist()))
+    assert {kind[n] for n in range(0, 1000, 100)} == {0, 1}
+    df = frame([(n, " ".join(rng.choice(words[k], 400))) for n, k in kind.items()])
     kinds = defaultdict(set)
-    for doc, _, _, sequence, _ in pieces:
-        kinds[sequence].add(doc % 2)
-    assert all(len(k) == 1 for k in kinds.values())
+    for p in packing.pack(df, WORD, window=1024).collect():
+        kinds[p["sequence_id"]].add(kind[p["doc_id"]])
+    assert len(kinds) > 30 and sum(len(k) > 1 for k in kinds.values()) <= 1
 
 
 def brute_bm25(ids, queries):
@@ -148,26 +167,45 @@ def test_search_of_odd_rows(odd, none, monkeypatch):
     assert packing.bm25_neighbours(none, WORD).collect() == []
 
 
-def shard_recall(spark, sf):
-    """The share of the true ten neighbours of ids divisible by 100 that lie in the seed's own shard."""
+@pytest.mark.parametrize("sf, every, at_once", [("sf0.001", 10, 3), ("sf0.001", 40, 8192), ("sf0.01", 100, 8192)])
+def test_texts_follow_their_best_seed(spark, monkeypatch, sf, every, at_once):
+    """In the packed order each text stands behind the seed that scores it highest of all seeds, and those of one seed
+    by descending score, whatever number of seeds is sent at once."""
+    monkeypatch.setattr(packing, "SEED_EVERY", every)
+    monkeypatch.setattr(packing, "SEEDS_AT_ONCE", at_once)
     docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
-    true = defaultdict(set)
-    for r in packing.bm25_neighbours(docs, WORD).collect():
-        true[r["query_id"]].add(r["doc_id"])
-    shard = {r["doc_id"]: r["sequence_id"] >> 40 for r in packing.pack(docs, WORD).select("doc_id", "sequence_id").collect()}
-    return np.mean([shard[q] == shard[d] for q, found in true.items() for d in found])
-
-
-@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
-def test_neighbours_lie_in_the_shard(spark, sf):
-    assert shard_recall(spark, sf) >= 0.9
-
-
-def test_segments_of_the_lexical_order():
-    assert packing.segments([3, 3, 3, 3], [.9, .1, .9], 6) == [[0, 1], [2, 3]]
-    assert packing.segments([3, 3, 3, 3], [.9, .1, .9], 100) == [[0, 1, 2, 3]]
-    assert packing.segments([9, 1, 1, 1], [.1, .2, .3], 5) == [[0], [1, 2, 3]]
-    assert packing.segments([0], [], 5) == [[0]]
+    rows = [(r["doc_id"], r["text"] or "") for r in docs.select("doc_id", "text").collect()]
+    ids = [np.array(i) for i in whole(WORD, [t for _, t in rows])]
+    at = {i: n for n, (i, _) in enumerate(rows)}
+    asked = [i for i, _ in rows if i % every == 0]
+    scores = {i: x / len(np.unique(ids[at[i]])) ** .5 for i, x in zip(asked, brute_bm25(ids, [ids[at[i]] for i in asked]))}
+    best = np.max(list(scores.values()), axis=0)
+    order = [p["doc_id"] for p in sorted((p for p in packing.pack(docs, WORD).collect() if p["start"] == 0),
+                                         key=lambda p: (p["sequence_id"], p["offset"]))]
+    assert sorted(order) == sorted(at) and order[0] in scores
+    for doc_id in order:
+        if doc_id in scores:
+            seed, last = doc_id, np.inf
+            continue
+        score = scores[seed][at[doc_id]]
+        assert score >= best[at[doc_id]] - 1e-3 and score <= last + 2e-3
+        last = score
+
+
+def test_no_row_is_a_seed(frame):
+    """Ids that 100 does not divide, and null ids: the first row is the seed."""
+    check_packing(frame([(1, "alpha beta"), (None, "beta gamma"), (3, None), (7, "alpha " * 9000)]))
+
+
+def test_cuts():
+    for total in (1, 7, 16, 20, 23, 32):
+        places = [(q, o + k) for first, size in ((0, total // 3), (total // 3, total - total // 3))
+                  for _, n, q, o in packing.cut(first, size, total, 8) for k in range(n)]
+        rooms = [8] * (total // 8) + [b for b in (4, 2, 1) if total % 8 & b]
+        assert places == [(q, o) for q, room in enumerate(rooms) for o in range(room)]
+
+
+def test_lexical_order():
     # Two languages, each with two most frequent words: those of one language follow each other.
     idf = np.ones(100)
     sample = [(c, np.array([c, 50 * (c % 2) + 10 + i % 7, 50 * (c % 2) + 20])) for i in range(40) for c in (1, 2, 3, 4)]
@@ -175,31 +213,6 @@ def test_segments_of_the_lexical_order():
     assert [c % 2 for c in order] in ([1, 1, 0, 0], [0, 0, 1, 1]) and links[1] < min(links[0], links[2])
 
 
-def test_large_places_are_dealt_to_ranges(documents, monkeypatch):
-    monkeypatch.setattr(packing, "SHARD_TOKENS", 20_000)
-    check_packing(documents)
-
-
-def test_candidates_of_a_seed(documents):
-    """Of the ten best in a shard, those that the rarest ids give; and every unused document comes, once."""
-    ids = [np.array(i, np.uint16) for i in whole(WORD, [r["text"] for r in documents.collect()])]
-    df = np.zeros(1 << 16)
-    for i in ids:
-        df[np.unique(i)] += 1
-    idf = np.log1p((len(ids) - df + .5) / (df + .5))
-    shard = packing.Bm25Shard(ids, idf, float(np.mean([len(i) for i in ids])))
-    unused = np.ones(len(ids), bool)
-    hits = 0
-    for n in range(0, len(ids), 10):
-        unused[:] = True
-        unused[[n, (n + 1) % len(ids)]] = False
-        order = list(shard.nearest(ids[n], unused))
-        assert sorted(order) == np.flatnonzero(unused).tolist()
-        best = np.argsort(-np.where(unused, shard.scores(ids[n]), -1), kind="stable")[:10]
-        hits += len(set(order[:10]) & set(best.tolist()))
-    assert hits >= 0.9 * 10 * len(range(0, len(ids), 10))
-
-
 def test_document_frequencies(documents):
     tokens = packing.token_ids(documents, WORD)
     got = {r["id"]: r["df"] for r in packing.document_frequencies(tokens).collect()}
