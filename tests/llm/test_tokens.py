@@ -305,3 +305,38 @@ def test_lines_cut_at_once(documents, monkeypatch):
     by_lines = max(looked, key=len)
     assert len(by_lines) == len(set(by_lines))
     assert code.encode([]) == []
+
+
+def test_lexical_order_of_all_documents(frame, monkeypatch):
+    """Every common id has its place, however many there are, and every document counts."""
+    many = [(c, np.array([c, 600 + c % 3, 700 + c])) for c in range(400)]
+    order, _ = packing.lexical_order(many, np.ones(2000))
+    assert sorted(order) == list(range(400)) and order[0] == 0
+    monkeypatch.setattr(packing, "COUNTED_IDS", 50)
+    words = "red blue green black white one two three four five".split()
+    df = frame([(i, " ".join([words[i % 9]] * 3 + [words[9 - i % 4], words[i % 7]])) for i in range(90)])
+    tokens = packing.token_ids(df, WORD)
+    rows = [(r["common"], np.frombuffer(r["ids"], packing.STORED)) for r in tokens.collect()]
+    idf, mean, order = packing._learned(tokens)
+    expect, mean_length, _, _ = packing._statistics(tokens)
+    assert np.array_equal(idf[:len(expect)], expect) and mean == mean_length
+    assert order == packing.lexical_order(rows, idf)[0] and set(order) == {c for c, _ in rows}
+    got = {(r["common"], i): n for r in packing.vocabularies(tokens).collect()
+           for i, n in zip(np.frombuffer(r["ids"], packing.STORED).tolist(), np.frombuffer(r["docs"], "<i8").tolist())}
+    counts = defaultdict(int)
+    for c, ids in rows:
+        for i in set(ids.tolist()):
+            counts[c, i] += 1
+    assert got == counts
+
+
+def test_postings_added_in_lots(monkeypatch):
+    rng = np.random.default_rng(3)
+    ids = [(rng.integers(0, 40, 100) ** 2).astype(np.uint16) for _ in range(60)]
+    idf, table = rng.random(2000), packing.Seeds([np.unique(i) for i in ids[:20]])
+    whole_lot = table.scores(*packing._bm25(ids, idf, 90.0), len(ids))
+    monkeypatch.setattr(packing, "DENSE", 1)
+    for lot in (1, 7, 100, 1 << 20):
+        monkeypatch.setattr(packing, "POSTINGS", lot)
+        sparse = packing.Seeds([np.unique(i) for i in ids[:20]])
+        assert np.allclose(sparse.scores(*packing._bm25(ids, idf, 90.0), len(ids)), whole_lot, rtol=1e-5)
