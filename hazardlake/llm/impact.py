@@ -26,6 +26,8 @@ ROUNDS = 8
 FEW = 1 / 32
 # Shards that a block of queries meets first, for bounds on the others.
 PILOT = 4
+# Shards, or blocks, that one task writes to one file, more or less: so many rows are read at once.
+AT_ONCE = 8
 
 INDEX = ("shard bigint, n int, width int, rows binary, ids binary, vectors binary, seg_dim binary, seg_low binary, "
          "seg_high binary, seg_size binary, members binary")
@@ -144,6 +146,16 @@ def _bytes(values, dtype=np.int64) -> bytes:
     return np.ascontiguousarray(values, dtype).tobytes()
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Integers in the fewest bytes each (2, 4 or 8) that hold them all."""
+    low, high = (int(values.min()), int(values.max())) if values.size else (0, 0)
+    return _bytes(values, next(t for t in ("<i2", "<i4", "<i8") if np.iinfo(t).min <= low and high <= np.iinfo(t).max))
+
+
+def _unpacked(data: bytes, count: int) -> np.ndarray:
+    return _array(data, f"<i{len(data) // count}" if count else np.int64)
+
+
 def _row(schema: str, values: list) -> pa.RecordBatch:
     names, types = zip(*(f.split(" ") for f in schema.split(", ")))
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
@@ -155,7 +167,7 @@ def _dealt(rows: DataFrame, cells: int, name: str) -> tuple[DataFrame, int]:
     total = rows.agg(F.sum(F.greatest(F.size("vector"), F.lit(1)))).first()[0] or 0
     groups = max(1, -(-total // cells))
     numbered = rows.withColumn(name, F.pmod(F.xxhash64("row_no"), F.lit(groups)))
-    return numbered.repartition(name).sortWithinPartitions(name, "row_no"), groups
+    return numbered.repartition(-(-groups // AT_ONCE), name).sortWithinPartitions(name, "row_no"), groups
 
 
 class ImpactIndex:
@@ -173,9 +185,9 @@ class ImpactIndex:
         def run(batches):
             for number, rows, ids, matrix in _groups(batches, "shard"):
                 s = ImpactShard(matrix)
-                yield _row(INDEX, [number, s.n, s.width, _bytes(rows), _bytes(ids), _bytes(matrix),
+                yield _row(INDEX, [number, s.n, s.width, _bytes(rows), _bytes(ids), _packed(matrix),
                                    _bytes(s.dim, np.int32), _bytes(s.low), _bytes(s.high), _bytes(s.size),
-                                   _bytes(s.members, np.int32)])
+                                   _packed(s.members)])
 
         return cls(written(dealt.mapInArrow(run, INDEX), "impact-index"), shards)
 
@@ -195,7 +207,7 @@ class ImpactIndex:
 
         def to_blocks(batches):
             for number, rows, ids, matrix in _groups(batches, "block"):
-                yield _row(BLOCKS, [number, *matrix.shape, _bytes(rows), _bytes(ids), _bytes(matrix)])
+                yield _row(BLOCKS, [number, *matrix.shape, _bytes(rows), _bytes(ids), _packed(matrix)])
 
         blocks = written(dealt.mapInArrow(to_blocks, BLOCKS), "query-blocks")
         every = F.sequence(F.lit(0).cast("long"), F.lit(self.shards - 1).cast("long"))
@@ -211,7 +223,10 @@ class ImpactIndex:
         return _best(hits, k).select("query_row", "query_id", "rank", "row_no", "vec_id", "score")
 
     def _hits(self, blocks: DataFrame, shards: Column, k: int, skip_own: bool) -> DataFrame:
-        """The best of each of the named shards for the queries of each block."""
+        """The best of each of the named shards for the queries of each block.
+
+        Blocks repeated by shard, and shards, are far larger than the files that Spark sizes them by: neither is broadcast.
+        """
         asked = blocks.withColumn("shard", F.explode(shards)).select("shard", "block", *[
             F.col(c).alias(f"q_{c}") for c in ("n", "width", "rows", "ids", "vectors")],
             *[c for c in ("bounds",) if c in blocks.columns])
@@ -221,7 +236,7 @@ class ImpactIndex:
                 for row in batch.to_pylist():
                     yield _answers(row, k, skip_own)
 
-        return asked.join(self.table, "shard").mapInArrow(run, HITS)
+        return asked.hint("merge").join(self.table.hint("merge"), "shard").mapInArrow(run, HITS)
 
 
 def _best(hits: DataFrame, k: int) -> DataFrame:
@@ -235,14 +250,15 @@ def _array(data: bytes, dtype=np.int64) -> np.ndarray:
 
 def _answers(row: dict, k: int, skip_own: bool) -> pa.RecordBatch:
     """The best vectors of one shard for one block of queries."""
-    vectors = _array(row["vectors"]).reshape(row["n"], row["width"])
+    cells = row["n"] * row["width"]
+    vectors = _unpacked(row["vectors"], cells).reshape(row["n"], row["width"]).astype(np.int64)
     shard = ImpactShard(vectors, (_array(row["seg_dim"], np.int32), _array(row["seg_low"]), _array(row["seg_high"]),
-                                  _array(row["seg_size"]), _array(row["members"], np.int32)))
+                                  _array(row["seg_size"]), _unpacked(row["members"], cells)))
     rows, ids = _array(row["rows"]), _array(row["ids"])
     places = {r: i for i, r in enumerate(rows.tolist())} if skip_own else {}
     bounds = {b["query_row"]: b["score"] for b in row.get("bounds") or []}
     out = [[], [], [], [], [], []]
-    queries = _array(row["q_vectors"]).reshape(row["q_n"], row["q_width"])
+    queries = _unpacked(row["q_vectors"], row["q_n"] * row["q_width"]).reshape(row["q_n"], row["q_width"])
     longest = np.sqrt(shard.norms.max()) if shard.n else 0.0
     for query_row, query_id, query in zip(_array(row["q_rows"]).tolist(), _array(row["q_ids"]).tolist(), queries):
         q = _fitted(query, shard.width)

@@ -86,3 +86,23 @@ def test_possible_members(seed):
             found, read = shard.possible(q, 10, least, place)
             assert set(np.flatnonzero(scores >= tenth)) <= set(found.tolist())
             assert read < vectors.size and len(found) <= 2000 * impact.FEW
+
+
+def test_shards_and_blocks_are_not_broadcast(spark):
+    """Their files are small, the rows are not: blocks repeated by shard would fill the driver."""
+    rows = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(50)], SCHEMA)
+    vectors = impact.integer_vectors(rows)
+    index = impact.ImpactIndex.build(vectors)
+    blocks = spark.createDataFrame([(0, 1, 2, *[impact._bytes([0])] * 2, impact._packed(np.array([[1, 2]])))], impact.BLOCKS)
+    hits = index._hits(blocks, F.array(F.lit(0).cast("long")), 3, False)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert sorted(r["score"] for r in hits.collect()) == [8192] * 3
+
+
+@pytest.mark.parametrize("top,size", [(0, 2), (32767, 2), (32768, 4), (1 << 31, 8)])
+def test_integers_are_held_in_few_bytes(top, size):
+    values = np.array([[-1, 0], [5, top]])
+    held = impact._packed(values)
+    assert len(held) == 4 * size and (impact._unpacked(held, 4).reshape(2, 2) == values).all()
+    assert len(impact._unpacked(impact._packed(values[:0]), 0)) == 0
