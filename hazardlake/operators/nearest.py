@@ -1,5 +1,8 @@
 """Nearest-first search around every row of a points table, without making all pairs.
 
+Rows whose keys and positions fit a broadcast (measured) are sent to the tasks as a tree (see `kdtree`), in which each point finds
+its own nearest ones; no pair is shuffled. Otherwise points and rows meet by cubes:
+
 Positions are points of the unit sphere, filed in an octree: cubes of side 2, 1/2, 1/8, ... Rows are counted
 per cube. A search starts from the cubes around its point that are just large enough to hold as many
 rows as it wants; the counts of cubes bound how far its last hit can be, cubes beyond that are dropped, and crowded
@@ -11,11 +14,14 @@ from __future__ import annotations
 
 from math import pi
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import haversine_km, round_exact
 from ..functions.geo import EARTH_RADIUS_KM
-from ..session import stored
+from ..session import BROADCAST_BYTES, fits_broadcast, measure, ship_code, stored
+from .kdtree import Tree, unit_vectors
 from .radius import DEFAULT_LIMIT
 
 # Cubes of level L have a side of 2 / 2^L; those of the finest level measure 12 m.
@@ -29,6 +35,8 @@ CROWDED = 2
 SLACK = 1 + 1e-9
 TINY = 1e-12
 TASKS_PER_CORE = 4
+# A task finds so many hits, more or less.
+HITS_PER_TASK = 200_000
 AXES = ("x", "y", "z")
 CUBE = ("level", "cx", "cy", "cz")
 
@@ -149,14 +157,15 @@ def _with_crowded(cubes: DataFrame) -> DataFrame:
     return cubes.withColumn("crowded", many & (F.col("level") < FINEST))
 
 
-def nearest_candidates(points: DataFrame, hazards: DataFrame, key: str = "event_id", most: int = DEFAULT_LIMIT) -> DataFrame:
+def nearest_candidates(points: DataFrame, hazards: DataFrame, key: str = "event_id", most: int = DEFAULT_LIMIT,
+                       placed: DataFrame | None = None) -> DataFrame:
     """(qid, limit, key, distance_km): pairs among which are the `limit` nearest rows of every point within its
     radius; a point meets a number of rows that is bounded by a multiple of its limit.
 
     `points` has qid, lat, lon, radius_km and limit, none above `most`. Rows are crowded at a spot without end only
     if they differ in position by less than the finest cube; they all are candidates then.
     """
-    placed = stored(_placed(hazards, key, most), "nearest-rows")
+    placed = placed or stored(_placed(hazards, key, most), "nearest-rows")
     counts = stored(_by_cube(placed.select("cx", "cy", "cz"), list(LEVELS)).groupBy(*CUBE).agg(
         F.count("*").alias("n")), "nearest-counts")
     wanted = points.filter((F.col("limit") > 0) & (F.col("radius_km") >= 0)).select(
@@ -174,9 +183,61 @@ def nearest_candidates(points: DataFrame, hazards: DataFrame, key: str = "event_
     return pairs.filter(near_enough).select("qid", "limit", key, "distance_km")
 
 
+def _found_in_tree(points: DataFrame, lat: np.ndarray, lon: np.ndarray, name: str) -> DataFrame:
+    """`points` with `name`: the numbers of rows (by their positions) among which are the `limit` nearest within the radius, and
+    few others."""
+    spark = points.sparkSession
+    ship_code(spark)
+    sent = spark.sparkContext.broadcast(Tree(unit_vectors(lat, lon)))
+
+    @F.arrow_udf("array<int>")
+    def search(lat: pa.Array, lon: pa.Array, radius: pa.Array, limit: pa.Array) -> pa.Array:
+        lat, lon, radius = (c.to_numpy(zero_copy_only=False).astype(float) for c in (lat, lon, radius))
+        whole = np.isfinite(lat) & np.isfinite(lon)
+        reach = 2 * np.sin(np.fmin(radius / (2 * EARTH_RADIUS_KM), pi / 2))
+        counts = np.zeros(len(lat), np.int64)
+        counts[whole], rows = sent.value.nearest(
+            unit_vectors(lat[whole], lon[whole]), reach[whole], limit.to_numpy(zero_copy_only=False)[whole])
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(rows.astype(np.int32)))
+
+    return points.withColumn(name, search("lat", "lon", "radius_km", "limit"))
+
+
+def _ranked_in_tree(points: DataFrame, placed: DataFrame, key: str, carried: list[str]) -> DataFrame:
+    """(qid, key, lat and lon of the row, distance_km, n, `carried`): the hits of every point, ranked by unrounded distance,
+    then key. Only the numbers of the rows found are shuffled; the result is partitioned by qid."""
+    spark = points.sparkSession
+    rows = placed.select(key, "lat", "lon").toArrow()
+    lat, lon = (rows.column(c).to_numpy().astype(float) for c in ("lat", "lon"))
+    finite = np.isfinite(lat) & np.isfinite(lon)  # others are near to nothing
+    rows = rows.filter(pa.array(finite)).append_column("_row", pa.array(np.arange(int(finite.sum())), pa.int32()))
+    known = spark.createDataFrame(rows.to_pandas() if not rows.num_rows else rows, schema=T.StructType([
+        *placed.select(key, "lat", "lon").schema.fields, T.StructField("_row", T.IntegerType())]))
+    known = known.withColumnsRenamed({"lat": "_lat", "lon": "_lon"})
+    wanted = points.filter((F.col("limit") > 0) & (F.col("radius_km") >= 0)).withColumns({
+        "limit": F.col("limit").cast("long"), "radius_km": F.col("radius_km").cast("double")})
+    hits = wanted.agg(F.sum(F.least("limit", F.lit(rows.num_rows)))).first()[0] or 0
+    tasks = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, -(-int(hits) // HITS_PER_TASK))
+    found = _found_in_tree(wanted.repartition(tasks), lat[finite], lon[finite], "_found").repartition(tasks, "qid")
+    pairs = found.withColumn("_row", F.explode("_found")).drop("_found").join(F.broadcast(known), "_row").withColumn(
+        "distance_km", haversine_km(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon")))
+    order = Window.partitionBy("qid").orderBy("distance_km", key)
+    return pairs.filter(F.col("distance_km") <= F.col("radius_km")).withColumn("n", F.row_number().over(order)).filter(
+        F.col("n") <= F.col("limit")).select(
+        "qid", key, F.col("_lat").alias("lat"), F.col("_lon").alias("lon"), "distance_km", "n", *carried)
+
+
+def _with_columns_of(hits: DataFrame, hazards: DataFrame, key: str) -> DataFrame:
+    """Hits (with key, lat and lon) with the other columns of their rows; hits stay in place where rows are few."""
+    if set(hazards.columns) <= {key, "lat", "lon"}:
+        return hits.drop(*[c for c in ("lat", "lon") if c not in hazards.columns])
+    rows = stored(hazards, "nearest-hazards")
+    return hits.drop("lat", "lon").join(F.broadcast(rows) if fits_broadcast(rows) else rows, key)
+
+
 def nearest_join(points: DataFrame, hazards: DataFrame, radius_km: float | None = None,
                  limit: int | None = None, point_key: str = "qid", hazard_key: str = "event_id",
-                 most: int | None = None) -> DataFrame:
+                 most: int | None = None, tree_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Per point the nearest rows within its radius, up to its limit, ranked by `n`; distances rounded after the cut.
 
     Equal to ranking all pairs of `radius_join` by distance, then key, and to `nearest_per_point`. Radius and limit
@@ -191,11 +252,16 @@ def nearest_join(points: DataFrame, hazards: DataFrame, radius_km: float | None
     if most is None:
         most = limit if limit is not None else asked.agg(F.max("limit")).first()[0] or 1
     asked = asked.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    found = nearest_candidates(asked.select("qid", "lat", "lon", "radius_km", "limit"), hazards, hazard_key, most)
+    others = [c for c in asked.columns if c not in ("qid", "lat", "lon", "limit", *hazards.columns)]
+    placed = stored(_placed(hazards, hazard_key, most), "nearest-rows")
+    if measure(placed)[1] <= tree_bytes:
+        ranked = _ranked_in_tree(asked, placed, hazard_key, others)
+        return _with_columns_of(ranked, hazards, hazard_key).withColumn(
+            "distance_km", round_exact(F.col("distance_km"), 1)).withColumnRenamed("qid", point_key)
+    found = nearest_candidates(asked.select("qid", "lat", "lon", "radius_km", "limit"), hazards, hazard_key, most, placed)
     order = Window.partitionBy("qid").orderBy("distance_km", hazard_key)
     # The constant bound lets every task cut its rows before the shuffle.
     ranked = found.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= most) \
         .filter(F.col("n") <= F.col("limit")).drop("limit")
-    carried = asked.select("qid", *[c for c in asked.columns if c not in ("qid", "lat", "lon", "limit", *hazards.columns)])
-    return ranked.join(hazards, hazard_key).join(carried, "qid") \
+    return ranked.join(hazards, hazard_key).join(asked.select("qid", *others), "qid") \
         .withColumn("distance_km", round_exact(F.col("distance_km"), 1)).withColumnRenamed("qid", point_key)

@@ -1,10 +1,11 @@
 """Nearest-first joins against a plain ranking of all pairs."""
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hazardlake.operators import nearest
+from hazardlake.operators import kdtree, nearest
 from helpers import haversine, plan_of
 
 H = "event_id string, lat double, lon double"
@@ -92,3 +93,28 @@ def test_few_bytes_of_many_cubes_are_dealt_over_the_cores(spark):
     refined = nearest._refined(cubes, counts)
     assert refined.count() <= 1
     assert "REPARTITION_BY_NUM" in plan_of(refined) and str(4 * spark.sparkContext.defaultParallelism) in plan_of(refined)
+
+
+def test_both_ways_are_equal(spark):
+    """Rows sent as a tree, and rows met by cubes: the same hits and columns; no pair of the tree is shuffled."""
+    points, hazards = _data()
+    p, h = spark.createDataFrame(points, Q), spark.createDataFrame(hazards, H).withColumn("title", F.lit("t"))
+    tree, cubes = nearest.nearest_join(p, h), nearest.nearest_join(p, h, tree_bytes=0)
+    assert _got(tree) == _got(cubes) == _expected(points, hazards) and set(tree.columns) == set(cubes.columns)
+    plan = tree.groupBy("qid").agg(F.collect_list("event_id"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+
+
+def test_tree_finds_ties_and_no_farther_row():
+    rng = np.random.default_rng(5)
+    at = kdtree.unit_vectors(rng.integers(-9, 9, 3000) * 10.0, rng.integers(-18, 18, 3000) * 10.0)  # many at one place
+    tree = kdtree.Tree(at)
+    asked = kdtree.unit_vectors(rng.uniform(-90, 90, 700), rng.uniform(-180, 180, 700))
+    asked[:200] = at[:200]
+    reach, limit = rng.choice([0.0, .01, .3, 2.0], 700), rng.integers(1, 900, 700)
+    counts, rows = tree.nearest(asked, reach, limit)
+    for point, r, k, found in zip(asked, reach, limit, np.split(rows, np.cumsum(counts)[:-1])):
+        chord = np.sqrt(((at - point) ** 2).sum(1))
+        last = min(r, np.sort(chord)[k - 1]) * kdtree.SLACK + kdtree.TINY
+        assert set(found.tolist()) == set(np.flatnonzero(chord <= last).tolist())
+    assert kdtree.Tree(at[:0]).nearest(asked, reach, limit)[0].tolist() == [0] * 700
