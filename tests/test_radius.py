@@ -165,3 +165,29 @@ def test_pairs_of_narrow_columns_are_not_shuffled(spark):
     assert sorted(df.columns) == sorted(["qid", "weight", "radius_km", "seq", "size", "lat", "lon", "distance_km"])
     shuffled = [block for block in plan_of(df).split("\n\n") if "hashpartitioning(" in block]
     assert shuffled and all("hashpartitioning(_cell" in block for block in shuffled)
+
+
+def test_points_are_sent_where_their_cells_are_many(spark):
+    """Points that fit a broadcast are sent once each, and hazards stay in place, poles and date line included."""
+    rng = random.Random(4)
+    radii = [0.0, 5, 90, 700, 2500, 9000, 12000, 20000, 20100]
+    points = [(i, lat, lon, float(radii[i % 9])) for i, (lat, lon) in enumerate(
+        _positions(rng, 80) + [(90.0, 5.0), (-90.0, 5.0), (89.9, 179.9), (0.0, -180.0), (0.0, 539.5), (10.0, 179.99)])]
+    points += [(900, None, 1.0, 50.0), (901, 1.0, 1.0, None)]
+    data = [(str(i), *p) for i, p in enumerate(_positions(rng, 900, 60))]
+    data += [("w", 10.0, -179.9), ("e", 0.0, 180.0), ("over", 0.0, 541.0), ("pole", 90.0, -160.0), ("south", -89.9, 0.0), ("half", 1.0, None)]
+    df = radius.radius_join(spark.createDataFrame(points, "qid long, lat double, lon double, radius_km double"),
+                            spark.createDataFrame(data, H), broadcast_rows=len(points))
+    assert "hashpartitioning" not in plan_of(df)
+    assert _pairs(df) == sorted((q, h) for q, a, b, r in points for h, lat, lon in data
+                                if None not in (a, b, r, lat, lon) and haversine(a, b, lat, lon) <= r)
+
+
+def test_few_levels_are_shuffled(spark):
+    """Levels that little work lies in are joined to the next; every level of a point is covered by one in use."""
+    reaching = spark.range(100).select((2 + F.col("id") % 7).cast("int").alias("_level"))
+    assert radius._tiers(reaching) == (8, radius.TOP_LEVEL) or radius._tiers(reaching)[-3:] == (7, 8, radius.TOP_LEVEL)
+    assert radius._tiers(reaching.filter("_level < 0")) == (radius.TOP_LEVEL,)
+    points = spark.range(300).select(F.col("id").alias("qid"), F.lit(1.0).alias("lat"), F.lit(2.0).alias("lon"),
+                                     (100.0 * (1 + F.col("id") % 40)).alias("radius_km"))
+    assert len(radius._tiers(radius._with_reach(points, F.col("radius_km")))) <= 3
