@@ -26,7 +26,7 @@ ROUNDS = 8
 FEW = 1 / 32
 # Shards that a block of queries meets first, for bounds on the others.
 PILOT = 4
-# Shards, or blocks, that one task writes to one file, more or less: so many rows are read at once.
+# Shards, or blocks, that one task writes to one file at most, more or less: so many rows are read at once.
 AT_ONCE = 8
 
 INDEX = ("shard bigint, n int, width int, rows binary, ids binary, vectors binary, seg_dim binary, seg_low binary, "
@@ -167,7 +167,8 @@ def _dealt(rows: DataFrame, cells: int, name: str) -> tuple[DataFrame, int]:
     total = rows.agg(F.sum(F.greatest(F.size("vector"), F.lit(1)))).first()[0] or 0
     groups = max(1, -(-total // cells))
     numbered = rows.withColumn(name, F.pmod(F.xxhash64("row_no"), F.lit(groups)))
-    return numbered.repartition(-(-groups // AT_ONCE), name).sortWithinPartitions(name, "row_no"), groups
+    tasks = max(-(-groups // AT_ONCE), min(groups, rows.sparkSession.sparkContext.defaultParallelism))
+    return numbered.repartition(tasks, name).sortWithinPartitions(name, "row_no"), groups
 
 
 class ImpactIndex:
